@@ -67,8 +67,8 @@ def a8(spark, sf):
     return x.conservation(features, kept, features.filter("kind IS NULL"))
 
 
-@query("a9_geometry_kinds", """SELECT CASE size % 5 WHEN 0 THEN 'Point' WHEN 1 THEN 'LineString' ELSE 'Polygon' END AS geom_type, count(*) AS rows,
- CASE WHEN size % 5 < 2 THEN count(*) ELSE 0 END AS dropped_rows FROM corners GROUP BY size % 5 < 2, 1""", ("corners",))
+@query("a9_geometry_kinds", """SELECT CASE WHEN size < 10 THEN 'Point' WHEN size < 20 THEN 'LineString' ELSE 'Polygon' END AS geom_type, count(*) AS rows,
+ CASE WHEN size < 20 THEN count(*) ELSE 0 END AS dropped_rows FROM corners GROUP BY size < 20, 1""", ("corners",))
 def a9(spark, sf):
     return s.geometry_kinds(mixed_geometries(spark, sf))
 

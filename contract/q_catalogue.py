@@ -11,7 +11,7 @@ from shoalgrid.plans import catalogue as cat
 from shoalgrid.plans import reports as rp
 from shoalgrid.sources.catalogue import flatten_layer_tree, without_id
 
-_CONV = "native_asset IS NOT NULL AND pos % 3 <> 0"
+_CONV = "native_asset IS NOT NULL AND balance > 1500e0"
 INPUTS["cat_layers"] = f"""
 SELECT l.*, west + 10.5e0 AS east, south + 20.25e0 AS north, cast(1980 + pos % 40 AS int) AS start_year, cast(2000 + pos % 20 AS int) AS end_year,
  {_CONV} AS is_converted, 'Depth m ' || cast(pos % 5 AS string) AS custom_a FROM ({INPUTS['layers']}) l"""
@@ -90,9 +90,9 @@ def c2(spark, sf):
 _ITEM_COLUMNS = "id, family, collection, variable, item_id, upper(substr(item_id, 1, 1)) || lower(substr(replace(item_id, '_', ' '), 2)) AS title, start_day AS \"start\", end_day AS \"end\""
 
 
-def item_view(df):
+def item_view(df, *more):
     return df.select(
-        "id", "family", "collection", "variable", "item_id", "title",
+        *more, "id", "family", "collection", "variable", "item_id", "title",
         *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("start", "end")],
     )
 
@@ -105,10 +105,10 @@ def c3(spark, sf):
 @query("c4_converted_items", f"{ITEMS_SQL} SELECT {_ITEM_COLUMNS}, native_variable FROM items_ WHERE kind = 'converted'", ("cat_layers", "names"))
 def c4(spark, sf):
     found = cat.newest_items(cat.converted_items(cat_layers(spark, sf), asset_variables(spark, sf), made(spark, sf, "names"), "local"))
-    return item_view(found).join(found.select("family", "collection", "item_id", "native_variable"), ["family", "collection", "item_id"])
+    return item_view(found, "native_variable")
 
 
-@query("c5_item_assets", f"""{ITEMS_SQL} SELECT item_id, collection, 1 + 1 + CASE WHEN kind = 'native' THEN 0 WHEN suffix(native_asset, '.zip') THEN 2 ELSE 1 END AS assets,
+@query("c5_item_assets", f"""{ITEMS_SQL} SELECT item_id, collection, (2 + CASE WHEN kind = 'native' THEN 0 WHEN suffix(native_asset, '.zip') THEN 2 ELSE 1 END)::BIGINT AS assets,
  CASE WHEN kind = 'converted' THEN 'application/vnd+zarr' END AS grid_media FROM items_""", ("cat_layers", "names"))
 def c5(spark, sf):
     return cat.item_assets(items(spark, sf)).groupBy("family", "collection", "item_id").agg(

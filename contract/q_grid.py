@@ -44,7 +44,7 @@ def g4(spark, sf):
 SELECT 'price' AS variable, chunk_row::BIGINT AS chunk_row, chunk_col::BIGINT AS chunk_col, 2500::BIGINT AS cells, count(*) AS filled, min(place)::BIGINT AS first_at, sum((place * round(price::FLOAT::DOUBLE))::BIGINT)::BIGINT AS place_sum FROM p GROUP BY ALL""", ("corners",))
 def g5(spark, sf):
     cells = g.cell_attributes(part_cells(spark, sf), part_bounds(spark, sf), ["price"])
-    chunks = g.grid_chunks(g.grid_values(cells, ["price"], [], None), 50)
+    chunks = g.grid_chunks(g.grid_values(cells, ["price"]), 50)
     opened = chunks.select("*", F.posexplode("values").alias("at", "value")).groupBy("variable", "chunk_row", "chunk_col")
     return opened.agg(
         F.count(F.lit(1)).alias("cells"), F.count("value").alias("filled"),

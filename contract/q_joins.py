@@ -56,7 +56,7 @@ def j4(spark, sf):
         "id", "native_asset", F.create_map(F.lit("B"), "arco_b", F.lit("A"), "arco_a").alias("native_arco_mapping"),
         F.when(~F.col("bare"), links).alias("converted_arco_assets"),
     )
-    out = st.reuse_converted_assets(layers, state)
+    out = st.reuse_converted_assets(st.attach_previous(layers, state))
     return out.select("id", F.coalesce(F.array_join("converted_arco_assets", ","), F.lit("")).alias("converted"))
 
 
@@ -88,15 +88,15 @@ def j6(spark, sf):
 
 
 INPUTS["layer_variables"] = " UNION ALL ".join(
-    f"""SELECT id, pos, native_asset, {n} AS n, 'NAT_{n}' AS native_variable,
+    f"""SELECT id, pos, native_asset, balance > {n} * 2000e0 AS in_asset, 'NAT_{n}' AS native_variable,
  'var_' || cast((pos % 5) * 10 + {n} AS string) AS variable FROM ({INPUTS['layers']}) l{n}""" for n in range(3)
 )
 
 
-@query("j7_attribute_flags", """SELECT v.id, v.native_variable, v.variable, (v.pos + v.n) % 3 <> 0 AS in_arco, v.pos % 4 = 0 AND (v.pos + v.n) % 3 <> 0 AS in_stac FROM layer_variables v""", ("layer_variables",))
+@query("j7_attribute_flags", """SELECT v.id, v.native_variable, v.variable, in_asset AS in_arco, in_asset AND coalesce(suffix(native_asset, '.parquet'), FALSE) AS in_stac FROM layer_variables v""", ("layer_variables",))
 def j7(spark, sf):
     mapped = made(spark, sf, "layer_variables")
-    present = mapped.filter((F.col("pos") + F.col("n")) % 3 != 0)
+    present = mapped.filter("in_asset")
     published = present.filter("native_asset LIKE '%.parquet'")
     flags = rp.attribute_flags(mapped, present.select("id", F.col("variable").alias("name")), published)
     return flags.select("id", "native_variable", "variable", "in_arco", "in_stac")
@@ -140,10 +140,10 @@ def j11(spark, sf):
     return ex.sync_plan(made(spark, sf, "local_files"), made(spark, sf, "remote_files")).select("key", "action")
 
 
-@query("j12_variables_in_assets", "SELECT id, variable, (pos + n) % 3 <> 0 AS present FROM layer_variables", ("layer_variables",))
+@query("j12_variables_in_assets", "SELECT id, variable, in_asset AS present FROM layer_variables", ("layer_variables",))
 def j12(spark, sf):
     mapped = made(spark, sf, "layer_variables")
-    assets = mapped.filter((F.col("pos") + F.col("n")) % 3 != 0).select("id", F.col("variable").alias("name"))
+    assets = mapped.filter("in_asset").select("id", F.col("variable").alias("name"))
     there = cat.variables_in_assets(mapped, assets).withColumn("present", F.lit(True))
     return there.unionByName(cat.variables_missing(mapped, assets).withColumn("present", F.lit(False))).select("id", "variable", "present")
 
@@ -161,7 +161,7 @@ def j13(spark, sf):
     return g.merge_grids([*grids, clash], ["latitude", "longitude"], ["click", "view", "error"])
 
 
-INPUTS["hourly"] = "SELECT user_id, hour, max(value) AS value FROM (SELECT user_id, hour(ts) AS hour, value FROM @events) e GROUP BY user_id, hour"
+INPUTS["hourly"] = "SELECT user_id, hour, max(value) AS value FROM (SELECT user_id, cast(hour(ts) AS bigint) AS hour, value FROM @events) e GROUP BY user_id, hour"
 
 
 @query("j14_dense_cube", """SELECT u.user_id, h.hour, value FROM (SELECT DISTINCT user_id FROM hourly) u CROSS JOIN (SELECT DISTINCT hour FROM hourly) h

@@ -134,14 +134,14 @@ def m7(spark, sf):
 
 
 INPUTS["info_docs"] = """
-SELECT 'ds' || cast(s_suppkey AS string) AS dataset, CASE WHEN s_suppkey % 4 = 3 THEN NULL ELSE '{"table":{"rows":[["attribute","NC_GLOBAL","geospatial_lon_min","double","' || cast(s_nationkey AS string)
+SELECT 'ds' || cast(s_suppkey AS string) AS dataset, CASE WHEN s_acctbal < 2000e0 THEN NULL ELSE '{"table":{"rows":[["attribute","NC_GLOBAL","geospatial_lon_min","double","' || cast(s_nationkey AS string)
  || '"],["attribute","time","geospatial_lon_min","double","999"],["attribute","NC_GLOBAL","time_coverage_start","String","2000-01-01"]' || CASE WHEN s_suppkey % 4 = 2 THEN '' ELSE ',["attribute","NC_GLOBAL","time_coverage_end","String","2010-01-01"]' END || ']}}' END AS json FROM @supplier"""
 INPUTS["folder_pages"] = """
 SELECT 'ds' || cast(s_suppkey AS string) AS dataset, '<tr><td><img class="B" alt="[BIN]"></td><td><a href="f' || cast(s_suppkey AS string) || '.nc">x</a></td></tr>' AS html FROM @supplier"""
 
 
-@query("m8_harvest", """SELECT 'ds' || s_suppkey AS dataset, 'Bio ' || s_name || ' layer' AS title, s_nationkey::VARCHAR AS west, NULL::VARCHAR AS east, '2000-01-01' AS "start",
- CASE WHEN s_suppkey % 4 <> 2 THEN '2010-01-01' END AS "end", 'temp_' || s_suppkey || ',salt' AS variables, 'https://h/dir/f' || s_suppkey || '.nc' AS download_url FROM supplier WHERE s_suppkey % 4 <> 3""")
+@query("m8_harvest", """SELECT 'ds' || s_suppkey AS dataset, 'Sea ' || s_name || ' layer' AS title, s_nationkey::VARCHAR AS west, NULL::VARCHAR AS east, '2000-01-01' AS "start",
+ CASE WHEN s_suppkey % 4 <> 2 THEN '2010-01-01' END AS "end", 'temp_' || s_suppkey || ',salt' AS variables, 'https://h/dir/f' || s_suppkey || '.nc' AS download_url FROM supplier WHERE s_acctbal >= 2000""")
 def m8(spark, sf):
     index = cat.harvest_index(made(spark, sf, "index_docs"), "json")
     info = cat.info_rows(made(spark, sf, "info_docs"), "json", "dataset")

@@ -63,11 +63,11 @@ def mixed_geometries(spark, sf):
     point = F.unhex(F.lit("0101000000" + "00" * 16))
     line = F.unhex(F.lit("000000000200000000"))
     return part_polygons(spark, sf).withColumn(
-        "geometry", F.when(F.col("size") % 5 == 0, point).when(F.col("size") % 5 == 1, line).otherwise(F.col("geometry"))
+        "geometry", F.when(F.col("size") < 10, point).when(F.col("size") < 20, line).otherwise(F.col("geometry"))
     )
 
 
-@query("p8_polygons_only", "SELECT feature_id, size FROM corners WHERE size % 5 > 1", ("corners",))
+@query("p8_polygons_only", "SELECT feature_id, size FROM corners WHERE size >= 20", ("corners",))
 def p8(spark, sf):
     return s.polygons_only(mixed_geometries(spark, sf)).select("feature_id", "size")
 
@@ -110,9 +110,10 @@ def p13(spark, sf):
 
 def coded_grid(spark, sf):
     features, spec = part_bounds(spark, sf), part_spec(spark, sf)
-    cells = g.label_cells(g.cell_attributes(part_cells(spark, sf, spec), features, ["kind", "price"]), spec)
     codes = g.category_codes(features, ["brand", "kind"])
-    return g.grid_values(cells, ["price"], ["kind"], codes), codes
+    coded = g.encode_features(features, ["kind"], codes)
+    cells = g.label_cells(g.cell_attributes(part_cells(spark, sf, spec), coded, ["kind", "price"]), spec)
+    return g.grid_values(cells, ["kind", "price"]), codes
 
 
 LABELLED = """

@@ -50,9 +50,9 @@ UNION ALL SELECT c.variable, row, col, code::DOUBLE FROM cells JOIN labels_ l US
 def k5(spark, sf):
     path = scratch_path(spark, "k5")
     features = part_bounds(spark, sf)
-    cells = g.cell_attributes(part_cells(spark, sf), features, ["brand", "kind", "price"])
-    codes = g.category_codes(features, ["brand", "kind"])
-    w.write_grid(g.grid_values(cells, ["price"], ["brand", "kind"], codes), path)
+    coded = g.encode_features(features, ["brand", "kind"], g.category_codes(features, ["brand", "kind"]))
+    cells = g.cell_attributes(part_cells(spark, sf), coded, ["brand", "kind", "price"])
+    w.write_grid(g.grid_values(cells, ["brand", "kind", "price"]), path)
     opened = g.open_chunks(spark.read.parquet(path))
     return opened.select(
         "variable", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"),

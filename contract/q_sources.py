@@ -112,12 +112,12 @@ def s8(spark, sf):
 
 INPUTS["index_docs"] = """
 SELECT s_suppkey, '{"table":{"rows":[["g' || cast(s_suppkey AS string) || '","","","","https://h/' || cast(s_suppkey AS string)
- || '","https://h/dir/","Bio ' || s_name || ' layer","","","","https://h/info","","","","","ds' || cast(s_suppkey AS string)
+ || '","https://h/dir/","Sea ' || s_name || ' layer","","","","https://h/info","","","","","ds' || cast(s_suppkey AS string)
  || '"],["","","","","","","","","","","","","","","","allDatasets"]]}}' AS json FROM @supplier"""
 
 
 @query("s9_harvest_index", """SELECT 'g' || s_suppkey AS url_index, 'https://h/' || s_suppkey AS url, 'https://h/dir/' AS directory,
- 'Bio ' || s_name || ' layer' AS title, 'https://h/info' AS info_url, 'ds' || s_suppkey AS dataset FROM supplier""")
+ 'Sea ' || s_name || ' layer' AS title, 'https://h/info' AS info_url, 'ds' || s_suppkey AS dataset FROM supplier""")
 def s9(spark, sf):
     return cat.harvest_index(made(spark, sf, "index_docs"), "json")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,8 +32,16 @@ WORLD = (-180.0, -90.0, 180.0, 90.0)
 STAMP = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
+def _shape(form: str) -> str:
+    """Pattern of the texts a date form can read, so that others are not even tried."""
+    pieces = re.findall(r"'[^']*'|y+|M+|d+|H+|m+|s+|X+|.", form)
+    known = {"yyyy": r"\d{4}", "MMMM": "[A-Za-z]+", "MMM": "[A-Za-z]+", "XXX": r"(?:Z|[+-]\d\d:\d\d)"}
+    digits = {"M": r"\d{1,2}", "d": r"\d{1,2}", "MM": r"\d\d", "dd": r"\d\d", "HH": r"\d\d", "mm": r"\d\d", "ss": r"\d\d"}
+    return "^" + "".join({**known, **digits}.get(p) or re.escape(p.strip("'")) for p in pieces) + r"\z"
+
+
 def _first_parse(text: Column, forms: list[str]) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in forms])
+    return F.coalesce(*[F.when(text.rlike(_shape(f)), F.try_to_timestamp(text, F.lit(f))) for f in forms])
 
 
 def time_pair(start: Column, end: Column) -> Column:
@@ -46,7 +56,8 @@ def _let(value: Column, use) -> Column:
 def single_date(text: Column) -> Column:
     """A text that is one date after 1900-01-01, else null."""
     earliest = F.lit("1900-01-01").cast("timestamp")
-    return _let(_first_parse(F.trim(text), SINGLE_DATE_FORMS), lambda d: F.when(d > earliest, d))
+    found = _let(F.trim(text), lambda t: _first_parse(t, SINGLE_DATE_FORMS))
+    return _let(found, lambda d: F.when(d > earliest, d))
 
 
 def date_range(text: Column) -> Column:
@@ -56,8 +67,8 @@ def date_range(text: Column) -> Column:
     ])
 
     def ends(halves):
-        start, end = (_first_parse(F.trim(halves[i]), RANGE_DATE_FORMS) for i in (0, 1))
-        return _let(time_pair(start, end), lambda p: F.when(p["start"].isNotNull(), p))
+        parsed = F.transform(halves, lambda h: _first_parse(F.trim(h), RANGE_DATE_FORMS))
+        return _let(parsed, lambda p: F.when(p[0].isNotNull(), time_pair(p[0], p[1])))
 
     return _let(F.split(text, separator), ends)
 
@@ -77,7 +88,7 @@ def record_date(text: Column) -> Column:
         .when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00")))
         .otherwise(text)
     )
-    return _first_parse(F.split_part(padded, F.lit("."), F.lit(1)), RECORD_DATE_FORMS)
+    return _let(F.split_part(padded, F.lit("."), F.lit(1)), lambda t: _first_parse(t, RECORD_DATE_FORMS))
 
 
 def close_extent(extent: Column, run_year: int) -> Column:

@@ -26,37 +26,49 @@ def well_formed(xml: Column) -> Column:
     return F.when(probe.isNotNull() & probe[_MARK].isNull(), xml)
 
 
-def _text(xml: Column, path: str) -> Column:
-    return F.nullif(F.xpath_string(xml, F.lit(f"({path})[1]")), F.lit(""))
+# A private-use character parts the values of one look into a record; it is blanked in the values.
+_PART = "\ue000"
 
 
-def _number(xml: Column, path: str) -> Column:
-    return F.trim(_text(xml, path)).try_cast("double")
+def _side(side: str, axis: str) -> str:
+    return _path("EX_GeographicBoundingBox", f"{side}Bound{axis}", "Decimal")
+
+
+_PERIOD = f"({_path('TimePeriod')})[1]"
+_PATHS = {
+    "west": _side("west", "Longitude"), "south": _side("south", "Latitude"),
+    "east": _side("east", "Longitude"), "north": _side("north", "Latitude"),
+    "period": f"name({_PERIOD})",
+    "begin": _PERIOD + "/*[local-name()='beginPosition']", "end": _PERIOD + "/*[local-name()='endPosition']",
+    "organisation": f"({_path('CI_ResponsibleParty')})[1]//*[local-name()='organisationName']/*[local-name()='CharacterString']",
+    "constraints": _path("otherConstraints") + "/*[local-name()='CharacterString']",
+}
 
 
 def record_facts(records: DataFrame, xml: str) -> DataFrame:
-    """Add box, period, organisation and constraints of each record; nulls for broken records."""
-    ok = F.col("__xml")
-    sides = [
-        _number(ok, _path("EX_GeographicBoundingBox", f"{side}Bound{axis}", "Decimal"))
-        for side, axis in (("west", "Longitude"), ("south", "Latitude"), ("east", "Longitude"), ("north", "Latitude"))
-    ]
-    box = rectangle(*sides)
-    period = f"({_path('TimePeriod')})[1]"
-    begin = _text(ok, period + "/*[local-name()='beginPosition']")
-    end = _text(ok, period + "/*[local-name()='endPosition']")
-    has_period = F.xpath_boolean(ok, F.lit(_path("TimePeriod")))
+    """Add box, period, organisation and constraints of each record; nulls for broken records.
+
+    The values come out of two XPath expressions, so a record is not read once per value.
+    """
+    def look(names):
+        paths = [p if p.startswith("name(") else f"({p})[1]" for p in map(_PATHS.get, names)]
+        joined = f", '{_PART}', ".join(f"translate({p}, '{_PART}', ' ')" for p in paths)
+        return F.split(F.xpath_string("__xml", F.lit(f"concat({joined})")), _PART)
+
+    names = list(_PATHS)
+    found = records.withColumn("__xml", well_formed(F.col(xml))).withColumn(
+        "__v", F.concat(look(names[:4]), look(names[4:]))
+    )
+    v = {n: F.nullif(F.get("__v", F.lit(i)), F.lit("")) for i, n in enumerate(_PATHS)}
+    sides = [F.trim(v[n]).try_cast("double") for n in ("west", "south", "east", "north")]
+    period = time_pair(record_date(v["begin"]), record_date(v["end"]))
     return (
-        records.withColumn("__xml", well_formed(F.col(xml)))
-        .withColumn("is_broken", F.col(xml).isNotNull() & F.col("__xml").isNull())
-        .withColumn("box", F.when(sides[0].isNotNull(), box))
-        .withColumn("period", F.when(has_period, time_pair(record_date(begin), record_date(end))))
-        .withColumn(
-            "organisation",
-            _text(ok, f"({_path('CI_ResponsibleParty')})[1]//*[local-name()='organisationName']/*[local-name()='CharacterString']"),
-        )
-        .withColumn("constraints", _text(ok, _path("otherConstraints") + "/*[local-name()='CharacterString']"))
-        .drop("__xml")
+        found.withColumn("is_broken", F.col(xml).isNotNull() & F.col("__xml").isNull())
+        .withColumn("box", F.when(sides[0].isNotNull(), rectangle(*sides)))
+        .withColumn("period", F.when(v["period"].isNotNull(), period))
+        .withColumn("organisation", v["organisation"])
+        .withColumn("constraints", v["constraints"])
+        .drop("__xml", "__v")
     )
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,6 +37,11 @@ CONVERTIBLE_SUFFIXES = [".nc", ".shp", ".gdb", ".tif", ".csv", ".parquet", ".zar
 CONVERTIBLE_PIECES = [".zarr/", ".parquet/"]
 # Texts that stand for "no category".
 BLANK_CATEGORIES = [" ", "nan", ""]
+# Characters that count as white space in names.
+SPACES = (
+    " \t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 # Schema links of the item extensions.
 PROJECTION_EXTENSION = "https://stac-extensions.github.io/projection/v1.1.0/schema.json"
 DATACUBE_EXTENSION = "https://stac-extensions.github.io/datacube/v1.0.0/schema.json"
@@ -53,17 +56,11 @@ def slug(text: Column) -> Column:
 
     ``½`` and other number signs stay, combining marks go, and ``__`` is halved once only.
     """
-    steps = [
-        (r"(?U)^[.\s]+", ""),
-        (r"(?U)[.\s]+$", ""),
-        ("/", "_"),
-        (r"(?U)[-\s]+", "_"),
-        ("__", "_"),
-        (r"(?U)[^\p{L}\p{N}_\s.-]", ""),
-        ("²", "_2"),
-        ("³", "_3"),
-    ]
-    return F.lower(reduce(lambda c, s: F.regexp_replace(c, s[0], s[1]), steps, text))
+    trimmed = F.replace(F.btrim(text, F.lit("." + SPACES)), F.lit("/"), F.lit("_"))
+    joined = F.replace(F.regexp_replace(trimmed, r"(?U)[-\s\x1c-\x1f]+", "_"), F.lit("__"), F.lit("_"))
+    kept = F.regexp_replace(joined, r"[^\p{L}\p{N}_.-]", "")
+    squares = F.replace(kept, F.lit("²"), F.lit("_2"))
+    return F.lower(F.replace(squares, F.lit("³"), F.lit("_3")))
 
 
 def storage_key(lot: Column, layer_id: Column, name: Column) -> Column:
@@ -96,6 +93,12 @@ def map_link(url: Column, layers: Column, version: Column, extent: Column, time:
     return F.when(~F.contains(url, F.lit("GetLegendGraphic")), timed)
 
 
+def source_value(sources: Column, kind: str) -> Column:
+    """Value of the last metadata source of a kind, '' if there is none."""
+    hits = F.filter(sources, lambda s: s["metadata_type"] == kind)
+    return F.coalesce(F.try_element_at(hits, F.lit(-1))["metadata_value"], F.lit(""))
+
+
 def media_type(url: Column) -> Column:
     """Struct ``kind, title, media, role`` of a link, null if the kind is unknown."""
     def entry(row):

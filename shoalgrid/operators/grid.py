@@ -148,24 +148,26 @@ def category_codes(features: DataFrame, names: list[str]) -> DataFrame:
     return rank_by_position(firsts, ["variable"], "__first", "code").select("variable", "label", "code")
 
 
-def grid_values(cells: DataFrame, numbers: list[str], texts: list[str], categories: DataFrame | None) -> DataFrame:
-    """Long grid ``row, col, variable, value``: numbers as float, text as its category code."""
-    keep = ["row", "col", *[c for c in ("latitude", "longitude") if c in cells.columns]]
-    parts = []
-    if numbers:
-        parts.append(
-            cells.select(*keep, *[F.col(n).cast("float").alias(n) for n in numbers])
-            .unpivot(keep, numbers, "variable", "value")
-        )
-    if texts:
-        long = cells.select(*keep, *[clean_category(F.col(n)).alias(n) for n in texts]).unpivot(
-            keep, texts, "variable", "label"
-        )
-        parts.append(
-            lookup(long, categories, ["variable", "label"])
-            .select(*keep, "variable", F.col("code").cast("float").alias("value"))
+def encode_features(features: DataFrame, texts: list[str], categories: DataFrame) -> DataFrame:
+    """Features with the text variables as category codes.
+
+    Codes are looked up once per feature, before the features meet the far more numerous cells.
+    """
+    for name in texts:
+        codes = categories.filter(F.col("variable") == name).select(
+            F.col("label").alias("__label"), F.col("code").cast("float").alias("__code")
         )
-    return reduce(DataFrame.unionByName, parts)
+        labelled = features.withColumn("__label", clean_category(F.col(name))).drop(name)
+        features = lookup(labelled, codes, ["__label"]).drop("__label").withColumnRenamed("__code", name)
+    return features
+
+
+def grid_values(cells: DataFrame, names: list[str]) -> DataFrame:
+    """Long grid ``row, col, variable, value`` (float) of cells with their attributes."""
+    keep = ["row", "col", *[c for c in ("latitude", "longitude") if c in cells.columns]]
+    return cells.select(*keep, *[F.col(n).cast("float").alias(n) for n in names]).unpivot(
+        keep, names, "variable", "value"
+    )
 
 
 def decode_categories(grid: DataFrame, categories: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def reuse_asset_by_url(layers: DataFrame) -> DataFrame:
     return lookup(layers, firsts, ["download_url"])
 
 
-def reuse_converted_assets(layers: DataFrame, previous: DataFrame) -> DataFrame:
+def reuse_converted_assets(attached: DataFrame) -> DataFrame:
     """Converted links of the previous state for layers with equal native asset and equal mapping.
 
     Maps have no equality, so their sorted entries are compared.
@@ -56,9 +56,8 @@ def reuse_converted_assets(layers: DataFrame, previous: DataFrame) -> DataFrame:
     kept = F.filter(
         F.col("prev_converted_arco_assets"), lambda a: F.contains(a, F.lit(".zarr")) | F.contains(a, F.lit(".parquet"))
     )
-    return attach_previous(layers, previous).withColumn(
-        "converted_arco_assets", F.when(same, kept).otherwise(F.array().cast("array<string>"))
-    )
+    none = F.array().cast("array<string>")
+    return attached.withColumn("converted_arco_assets", F.coalesce(F.when(same, kept), none))
 
 
 def all_assets(layers: DataFrame, with_converted: bool = True) -> DataFrame:

@@ -139,13 +139,19 @@ def item_assets(items: DataFrame, keys: list[str] = ["family", "collection", "it
     )
 
 
+_HULL = {
+    "west": (F.min, "extent.west"), "south": (F.min, "extent.south"), "east": (F.max, "extent.east"),
+    "north": (F.max, "extent.north"), "start": (F.min, "start"), "end": (F.max, "end"),
+}
+
+
+def _hull() -> list[Column]:
+    return [fn(column).alias(name) for name, (fn, column) in _HULL.items()] + [F.count(F.lit(1)).alias("items")]
+
+
 def collection_extents(items: DataFrame) -> DataFrame:
     """Hull of the items of each collection in space and time."""
-    return items.groupBy("family", "collection").agg(
-        F.min("extent.west").alias("west"), F.min("extent.south").alias("south"),
-        F.max("extent.east").alias("east"), F.max("extent.north").alias("north"),
-        F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("items"),
-    )
+    return items.groupBy("family", "collection").agg(*_hull())
 
 
 def unique_providers(rows: DataFrame, keys: list[str], providers: str, pos: str) -> DataFrame:
@@ -157,16 +163,12 @@ def unique_providers(rows: DataFrame, keys: list[str], providers: str, pos: str)
 
 
 def collections(items: DataFrame) -> DataFrame:
-    """Collections with the facts of their first item and the hull of all their items."""
-    place = F.struct("pos", "kind", "variable")
-    firsts = items.groupBy("family", "collection").agg(
-        F.min_by(F.struct("variable", "layer_providers", "id"), place).alias("f")
-    )
-    return collection_extents(items).join(firsts, ["family", "collection"]).select(
+    """Collections with the facts of their first item and the hull of all their items, in one pass."""
+    first = F.min_by(F.struct("variable", "layer_providers", "id"), F.struct("pos", "kind", "variable"))
+    return items.groupBy("family", "collection").agg(first.alias("f"), *_hull()).select(
         "family", "collection", F.col("f.variable").alias("title"),
         F.concat(F.lit("A collection of "), F.col("f.variable"), F.lit(" data")).alias("description"),
-        F.lit(COLLECTION_LICENCE).alias("licence"), F.col("f.layer_providers").alias("providers"),
-        "west", "south", "east", "north", "start", "end", "items",
+        F.lit(COLLECTION_LICENCE).alias("licence"), F.col("f.layer_providers").alias("providers"), *_HULL, "items",
     )
 
 

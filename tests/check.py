@@ -46,6 +46,11 @@ def compare(spark, con, sf, fn, sql):
     if len(got) != len(want):
         return f"rows {len(got)} vs {len(want)}; e.g. {got[:2]} vs {want[:2]}"
     types = {n: t for n, t in df.dtypes}
+    plain_types = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    other = {d[0]: str(d[1]) for d in cur.description}
+    unlike = [(n, t, other[n]) for n, t in types.items() if plain_types.get(t) != other[n]]
+    if unlike:
+        return f"types unlike: {unlike}"
     odd = [n for n, t in types.items() if t.startswith(("array", "map", "struct", "decimal", "float", "void"))]
     if odd:
         return f"types not plain: {odd}"
