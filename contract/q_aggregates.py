@@ -145,7 +145,7 @@ def a16(spark, sf):
     return g.last_writer(cells)
 
 
-@query("a17_distinct_collections", f"""{ITEMS_SQL} SELECT family, collection, arg_min(variable, (pos, kind, variable)) AS title, count(*) AS items FROM items_ GROUP BY ALL""", ("cat_layers", "names"))
+@query("a17_distinct_collections", f"""{ITEMS_SQL} SELECT family, collection, arg_min(variable, (pos, item_pos)) AS title, count(*) AS items FROM items_ GROUP BY ALL""", ("cat_layers", "names"))
 def a17(spark, sf):
     return cat.collections(items(spark, sf)).select("family", "collection", "title", "items")
 

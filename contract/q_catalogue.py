@@ -54,10 +54,14 @@ def asset_variables(spark, sf):
     return mapped.filter("variable <> 'lost'").select("id", F.col("variable").alias("name"))
 
 
-def items(spark, sf):
+def made_items(spark, sf):
     layers, names = cat_layers(spark, sf), made(spark, sf, "names")
     native = cat.native_items(layers, names, "local")
-    return cat.newest_items(native.unionByName(cat.converted_items(layers, asset_variables(spark, sf), names, "local")))
+    return native.unionByName(cat.converted_items(layers, asset_variables(spark, sf), names, "local"))
+
+
+def items(spark, sf):
+    return cat.newest_items(made_items(spark, sf))
 
 
 # The same rows put together by hand: one native item per layer, two converted ones.
@@ -66,12 +70,12 @@ WITH best AS (SELECT standard_name, arg_min(convention, file) AS convention FROM
 base AS (SELECT *, regexp_replace(download_url, '\\.[a-z]+/?$', '.csv') AS csv_url, lower(subtheme) AS family, start_year || '-01-01' AS d0, end_year || '-12-31' AS d1,
   west || '_' || south || '_' || east || '_' || north AS box FROM cat_layers WHERE native_asset IS NOT NULL),
 rows_ AS (
- SELECT *, 'native' AS kind, subsubtheme AS variable, NULL AS native_variable, replace(lower(name), '#', '') AS item_id FROM base WHERE subsubtheme <> ''
- UNION ALL SELECT *, 'converted', 'depth_m_' || pos % 5, 'DEPTH', 'depth_m_' || pos % 5 || '_' || d0 || 'T00:00:00Z_' || d1 || 'T00:00:00Z_' || box FROM base WHERE is_converted
- UNION ALL SELECT *, 'converted', 'zone', 'ZONE', 'zone_' || d0 || 'T00:00:00Z_' || d1 || 'T00:00:00Z_' || box FROM base WHERE is_converted),
-items_ AS (SELECT r.* EXCLUDE (download_url), csv_url AS download_url, coalesce(convention, 'local') || '-' || lower(variable) AS collection, d0 || ' 00:00:00' AS start_day, d1 || ' 00:00:00' AS end_day
- FROM rows_ r LEFT JOIN best ON standard_name = lower(variable)
- QUALIFY row_number() OVER (PARTITION BY family, collection, item_id ORDER BY pos DESC) = 1)"""
+ SELECT *, 0 AS item_pos, 'native' AS kind, subsubtheme AS variable, NULL AS native_variable, replace(lower(name), '#', '') AS item_id FROM base WHERE subsubtheme <> ''
+ UNION ALL SELECT *, 1, 'converted', 'depth_m_' || pos % 5, 'DEPTH', 'depth_m_' || pos % 5 || '_' || d0 || 'T00:00:00Z_' || d1 || 'T00:00:00Z_' || box FROM base WHERE is_converted AND subsubtheme <> ''
+ UNION ALL SELECT *, 2, 'converted', 'zone', 'ZONE', 'zone_' || d0 || 'T00:00:00Z_' || d1 || 'T00:00:00Z_' || box FROM base WHERE is_converted AND subsubtheme <> ''),
+made_ AS (SELECT r.* EXCLUDE (download_url), csv_url AS download_url, coalesce(convention, 'local') || '-' || lower(variable) AS collection, d0 || ' 00:00:00' AS start_day, d1 || ' 00:00:00' AS end_day
+ FROM rows_ r LEFT JOIN best ON standard_name = lower(variable)),
+items_ AS (SELECT * FROM made_ QUALIFY row_number() OVER (PARTITION BY family, collection, item_id ORDER BY pos DESC, item_pos DESC) = 1)"""
 
 
 @query("c1_families", """SELECT lower(subtheme) AS family, min(pos) AS first_pos, lower(subtheme) AS title, 'Variable Family ' || lower(subtheme) AS description FROM cat_layers GROUP BY ALL""", ("cat_layers",))
@@ -79,7 +83,7 @@ def c1(spark, sf):
     return cat.families(cat_layers(spark, sf))
 
 
-@query("c2_collections", f"""{ITEMS_SQL}, f AS (SELECT family, collection, arg_min(variable, (pos, kind, variable)) AS title, arg_min(thematic_lot, (pos, kind, variable)) AS provider FROM items_ GROUP BY ALL)
+@query("c2_collections", f"""{ITEMS_SQL}, f AS (SELECT family, collection, arg_min(variable, (pos, item_pos)) AS title, arg_min(thematic_lot, (pos, item_pos)) AS provider FROM items_ GROUP BY ALL)
 SELECT f.*, 'A collection of ' || title || ' data' AS description, 'CC-BY-4.0+' AS licence, min(west) AS west, max(north) AS north, count(*) AS items FROM f JOIN items_ USING (family, collection) GROUP BY ALL""", ("cat_layers", "names"))
 def c2(spark, sf):
     return cat.collections(items(spark, sf)).select(
@@ -117,17 +121,17 @@ def c5(spark, sf):
 
 
 @query("c6_layer_status", f"""{ITEMS_SQL} SELECT l.id, l.pos, CASE WHEN count(i.id) > 0 THEN 'yes' ELSE 'no' END AS in_stac, count(i.id) AS items
- FROM cat_layers l LEFT JOIN items_ i ON l.id = i.id GROUP BY l.id, l.pos""", ("cat_layers", "names"))
+ FROM cat_layers l LEFT JOIN made_ i ON l.id = i.id GROUP BY l.id, l.pos""", ("cat_layers", "names"))
 def c6(spark, sf):
-    return cat.layer_status(cat_layers(spark, sf), items(spark, sf))
+    return cat.layer_status(cat_layers(spark, sf), made_items(spark, sf))
 
 
 @query("c7_attribute_table", f"""{ITEMS_SQL}, rows2 AS (SELECT id, pos, name, coalesce(native_data_product, '') AS data_product, is_converted, unnest(CASE WHEN is_converted THEN
   [{{'n': 'DEPTH', 'v': 'depth_m_' || pos % 5}}, {{'n': 'ZONE', 'v': 'zone'}}, {{'n': 'gone', 'v': 'lost'}}] ELSE [{{'n': '', 'v': ''}}] END) AS a FROM cat_layers)
 SELECT r.id, r.name AS collection_item, data_product, a.n AS updated_native_variable, a.v AS updated_arco_variable, coalesce(r.is_converted, FALSE) AND a.v <> 'lost' AS in_arco, i.id IS NOT NULL AS in_stac
- FROM rows2 r LEFT JOIN items_ i ON r.id = i.id AND i.kind = 'converted' AND i.variable = a.v""", ("cat_layers", "names"))
+ FROM rows2 r LEFT JOIN made_ i ON r.id = i.id AND i.kind = 'converted' AND i.variable = a.v""", ("cat_layers", "names"))
 def c7(spark, sf):
-    published = cat.variables_published(items(spark, sf))
+    published = cat.variables_published(made_items(spark, sf))
     return rp.attribute_table(cat_layers(spark, sf), asset_variables(spark, sf), published).select(
         "id", "collection_item", "data_product", "updated_native_variable", "updated_arco_variable", "in_arco", "in_stac"
     )
@@ -140,10 +144,10 @@ def c8(spark, sf):
 
 
 @query("c9_transformation_table", f"""{ITEMS_SQL} SELECT l.id, l.thematic_lot, l.name AS title, coalesce(l.native_asset, '') AS native_asset, l.subtheme AS family, l.subsubtheme AS collection,
- CASE WHEN count(i.id) > 0 THEN 'yes' ELSE 'no' END AS in_stac FROM cat_layers l LEFT JOIN items_ i ON l.id = i.id GROUP BY ALL""", ("cat_layers", "names"))
+ CASE WHEN count(i.id) > 0 THEN 'yes' ELSE 'no' END AS in_stac FROM cat_layers l LEFT JOIN made_ i ON l.id = i.id GROUP BY ALL""", ("cat_layers", "names"))
 def c9(spark, sf):
     layers = cat_layers(spark, sf)
-    status = cat.layer_status(layers, items(spark, sf)).select("id", "in_stac")
+    status = cat.layer_status(layers, made_items(spark, sf)).select("id", "in_stac")
     run = layers.drop("in_stac").join(status, "id")
     portal = rp.portal_table(made(spark, sf, "layers"), made(spark, sf, "metadata_rows"), [])
     return rp.transformation_table(portal, run).select("id", "thematic_lot", "title", "native_asset", "family", "collection", "in_stac")

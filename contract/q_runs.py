@@ -10,7 +10,7 @@ from shoalgrid.functions.extents import rectangle, time_pair
 from shoalgrid.functions.records import record_facts
 from shoalgrid.operators import state as st
 from shoalgrid.plans import catalogue as cat
-from shoalgrid.plans.run import RunSettings, build_catalogue, complete_layers, convert_features, grid_features
+from shoalgrid.plans.run import RunSettings, build_catalogue, complete_layers, convert_features, grid_features, stage
 from shoalgrid.sources.catalogue import flatten_layer_tree, with_id, without_id
 
 SETTINGS = RunSettings(run_year=2024, record_host="https://g.example.org")
@@ -38,8 +38,8 @@ l4 AS (SELECT *, CASE WHEN balance > 5000 THEN '2001-02-03' WHEN pos % 3 > 0 AND
  CASE WHEN balance > 0 THEN '1.5_2.5_3.5_4.5' WHEN pos % 5 > 0 AND pos % 7 > 0 THEN (pos % 170) || '.5_-' || (pos % 80) || '.25_175.0_80.0' ELSE '-180.0_-90.0_180.0_90.0' END AS box,
  balance > 0 AND prev_asset IS NOT DISTINCT FROM native_asset AND prev_asset IS NOT NULL AS is_converted FROM l3 WHERE native_asset IS NOT NULL),
 r AS (SELECT *, 'native' AS kind, subsubtheme AS variable, replace(lower(name), '#', '') AS item_id FROM l4 WHERE subsubtheme <> ''
- UNION ALL SELECT *, 'converted', 'depth_m', 'depth_m_' || d0 || 'T00:00:00Z_' || d1 || 'T00:00:00Z_' || box FROM l4 WHERE is_converted
- UNION ALL SELECT *, 'converted', 'zone', 'zone_' || d0 || 'T00:00:00Z_' || d1 || 'T00:00:00Z_' || box FROM l4 WHERE is_converted),
+ UNION ALL SELECT *, 'converted', 'depth_m', 'depth_m_' || d0 || 'T00:00:00Z_' || d1 || 'T00:00:00Z_' || box FROM l4 WHERE is_converted AND subsubtheme <> ''
+ UNION ALL SELECT *, 'converted', 'zone', 'zone_' || d0 || 'T00:00:00Z_' || d1 || 'T00:00:00Z_' || box FROM l4 WHERE is_converted AND subsubtheme <> ''),
 out AS (SELECT r.*, coalesce(convention, 'local') || '-' || lower(variable) AS collection FROM r LEFT JOIN best ON standard_name = lower(variable)
  QUALIFY row_number() OVER (PARTITION BY family, collection, item_id ORDER BY pos DESC) = 1)
 SELECT kind, id, family, collection, item_id FROM out"""
@@ -47,7 +47,7 @@ SELECT kind, id, family, collection, item_id FROM out"""
 
 def run_layers(spark, sf):
     """Completed layers and the rejects of the tree."""
-    tree = flatten_layer_tree(made(spark, sf, "run_trees"), "json", "pos", _FIELDS)
+    tree = stage(flatten_layer_tree(made(spark, sf, "run_trees"), "json", "pos", _FIELDS), "tree")
     links = F.array(*[F.concat(F.lit("https://s3.example.org/c"), "id", F.lit(x)) for x in (".parquet", ".zarr", ".csv")])
     mapping = F.create_map(F.lit("ZONE"), F.lit("zone"), F.lit("DEPTH"), F.lit("depth_m"))
     previous = st.newest_rows(made(spark, sf, "state_rows"), ["id"], "pos").withColumns({

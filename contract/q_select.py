@@ -154,6 +154,11 @@ INPUTS["wanted"] = """
 SELECT id, CASE pos % 3 WHEN 0 THEN 'F1.gdb_zones' WHEN 1 THEN 'O2.shp' ELSE 'P0.gdb' END AS native_data_product FROM (""" + INPUTS["layers"] + ") l"
 
 
+@query("p17_convertible_files", "SELECT id, pos, path FROM packages WHERE NOT suffix(path, '.txt')", ("packages",))
+def p17_files(spark, sf):
+    return s.convertible_files(made(spark, sf, "packages"))
+
+
 @query("p17_choose_products", """SELECT w.id, w.p AS product, w.l AS product_layer, arg_min(path, pos) AS path FROM
  (SELECT id, CASE WHEN contains(native_data_product, '.gdb_') THEN split_part(native_data_product, '_', 1) ELSE native_data_product END AS p,
   CASE WHEN contains(native_data_product, '.gdb_') THEN split_part(native_data_product, '_', 2) END AS l FROM wanted) w

@@ -35,6 +35,8 @@ DOWNLOAD_PIECES = ["parquet/", "geoparquet/"]
 # File types and link pieces the converters take.
 CONVERTIBLE_SUFFIXES = [".nc", ".shp", ".gdb", ".tif", ".csv", ".parquet", ".zarr"]
 CONVERTIBLE_PIECES = [".zarr/", ".parquet/"]
+# File types looked for inside a package.
+PACKAGED_SUFFIXES = [".shp", ".gdb", ".tif", ".csv", ".nc", ".parquet"]
 # Texts that stand for "no category".
 BLANK_CATEGORIES = [" ", "nan", ""]
 # Characters that count as white space in names.
@@ -136,7 +138,12 @@ def is_geo_candidate(url: Column) -> Column:
     return url.rlike(r"\.parquet/?$")
 
 
+def is_packaged_product(path: Column) -> Column:
+    return path.rlike(f"(?:{'|'.join(_quote(s) for s in PACKAGED_SUFFIXES)})\\z")
+
+
 def is_convertible(path: Column) -> Column:
+    """Whether a fetched product can be converted as it is (packages are opened first)."""
     ends = "|".join(_quote(s) for s in CONVERTIBLE_SUFFIXES)
     pieces = "|".join(_quote(s) for s in CONVERTIBLE_PIECES)
     return path.rlike(f"(?:{ends})\\z|{pieces}")

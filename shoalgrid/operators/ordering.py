@@ -16,7 +16,7 @@ BLOCK = 1 << 20
 def rank_by_position(df: DataFrame, group: list[str], pos: str, name: str, block: int = BLOCK) -> DataFrame:
     """Number the rows of each group from 1 by the unique whole number ``pos``."""
     keys = [*group, "__block"]
-    cut = df.withColumn("__block", F.floor(F.col(pos) / F.lit(block)).cast("long"))
+    cut = df.withColumn("__block", F.call_function("div", F.col(pos), F.lit(block)))
     before = W.partitionBy(*(group or [F.lit(0)])).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(*keys)

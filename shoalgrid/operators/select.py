@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoalgrid.functions.text import is_convertible, is_download, link_name, split_product
+from shoalgrid.functions.text import is_convertible, is_download, is_packaged_product, split_product
 
 # WKB type codes (1 point .. 7 collection) by name.
 WKB_KINDS = {
@@ -113,14 +113,19 @@ def first_rows(df: DataFrame, n: int = 10) -> DataFrame:
     return df.limit(n)
 
 
+def convertible_files(manifest: DataFrame) -> DataFrame:
+    """Fetched files that can be converted without opening a package."""
+    return manifest.filter(is_convertible(F.col("path")))
+
+
 def choose_products(layers: DataFrame, manifest: DataFrame) -> DataFrame:
     """Match each layer's named product with the convertible files of its package, by exact name.
 
     ``layers``: id, native_data_product. ``manifest``: id, path, pos. The first file of a name wins.
     """
     files = (
-        manifest.filter(is_convertible(F.col("path")))
-        .withColumn("product", link_name(F.col("path")))
+        manifest.filter(is_packaged_product(F.col("path")))
+        .withColumn("product", F.substring_index("path", "/", -1))
         .groupBy("id", "product")
         .agg(F.min_by("path", "pos").alias("path"))
     )

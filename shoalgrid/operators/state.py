@@ -9,7 +9,7 @@ from shoalgrid.operators.skew import lookup
 
 
 def newest_rows(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
-    """The last row per key by ``pos``, as an aggregate that combines on the map side."""
+    """The last row per key by ``pos`` (a number or a struct), combined on the map side."""
     rest = [c for c in df.columns if c not in keys]
     last = F.max_by(F.struct(*rest), F.col(pos)).alias("__last")
     return df.groupBy(*keys).agg(last).select(*keys, *[F.col(f"__last.{c}").alias(c) for c in rest])

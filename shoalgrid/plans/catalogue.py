@@ -73,14 +73,21 @@ def _variable_keys(asset_variables: DataFrame) -> DataFrame:
     return asset_variables.select("id", F.col("name").alias("variable")).distinct()
 
 
+def _ready(layers: DataFrame) -> DataFrame:
+    """Layers that can be catalogued; without a native item there are no converted ones either."""
+    return layers.filter(F.col("native_asset").isNotNull() & (F.coalesce("subsubtheme", F.lit("")) != ""))
+
+
 def native_items(layers: DataFrame, names: DataFrame, fallback: str) -> DataFrame:
     """One native item per layer that has a native asset and a subsubtheme."""
-    ready = layers.filter(F.col("native_asset").isNotNull() & (F.coalesce("subsubtheme", F.lit("")) != ""))
+    ready = _ready(layers)
     rows = (
         ready.withColumn("kind", F.lit("native"))
         .withColumn("variable", F.col("subsubtheme"))
         .withColumn("native_variable", F.lit(None).cast("string"))
         .withColumn("item_id", native_item_id(F.col("name")))
+        .withColumn("item_pos", F.lit(0))
+        .withColumn("layer_providers", F.col("provider"))
     )
     return _finish(with_collection(rows, names, fallback))
 
@@ -89,8 +96,8 @@ def converted_items(
     layers: DataFrame, asset_variables: DataFrame, names: DataFrame, fallback: str
 ) -> DataFrame:
     """One item per layer and mapped variable that is present in the converted assets."""
-    ready = layers.filter(F.col("native_asset").isNotNull() & (F.size("converted_arco_assets") > 0))
-    mapped = variables_in_assets(mapped_variables(ready), asset_variables)
+    ready = _ready(layers).filter(F.size("converted_arco_assets") > 0)
+    mapped = variables_in_assets(mapped_variables(ready).filter(F.col("variable") != ""), asset_variables)
     described = F.when(
         F.map_contains_key("attributes", F.col("variable")),
         F.try_element_at("arco_variable_description", F.col("variable")),
@@ -104,7 +111,9 @@ def converted_items(
                 F.col("variable"), day_start(F.col("time.start")), day_start(F.col("time.end")), F.col("extent"), described
             ),
         )
-        .drop("map_pos")
+        .withColumn("item_pos", F.col("map_pos") + 1)
+        # the native item comes first and has added the lot to the layer's providers
+        .withColumn("layer_providers", item_providers(F.col("provider"), F.col("thematic_lot")))
     )
     return _finish(with_collection(rows, names, fallback))
 
@@ -115,14 +124,14 @@ def _finish(rows: DataFrame) -> DataFrame:
         "native_variable", "item_id", item_title(F.col("item_id")).alias("title"),
         day_start(F.col("time.start")).alias("start"), day_start(F.col("time.end")).alias("end"), "extent",
         item_providers(F.col("provider"), F.col("thematic_lot")).alias("providers"),
-        F.col("provider").alias("layer_providers"), "data_rights",
+        "layer_providers", "data_rights", F.struct("pos", "item_pos").alias("place"),
         "assets", "native_asset", "converted_arco_assets",
     )
 
 
 def newest_items(items: DataFrame) -> DataFrame:
-    """The newest item of each (family, collection, item_id)."""
-    return newest_rows(items, ["family", "collection", "item_id"], "pos")
+    """The newest item of each (family, collection, item_id), in order of layer and variable."""
+    return newest_rows(items, ["family", "collection", "item_id"], "place")
 
 
 def item_assets(items: DataFrame, keys: list[str] = ["family", "collection", "item_id"]) -> DataFrame:
@@ -164,7 +173,7 @@ def unique_providers(rows: DataFrame, keys: list[str], providers: str, pos: str)
 
 def collections(items: DataFrame) -> DataFrame:
     """Collections with the facts of their first item and the hull of all their items, in one pass."""
-    first = F.min_by(F.struct("variable", "layer_providers", "id"), F.struct("pos", "kind", "variable"))
+    first = F.min_by(F.struct("variable", "layer_providers", "id"), "place")
     return items.groupBy("family", "collection").agg(first.alias("f"), *_hull()).select(
         "family", "collection", F.col("f.variable").alias("title"),
         F.concat(F.lit("A collection of "), F.col("f.variable"), F.lit(" data")).alias("description"),
@@ -186,7 +195,7 @@ def item_documents(items: DataFrame) -> DataFrame:
 
 
 def layer_status(layers: DataFrame, items: DataFrame) -> DataFrame:
-    """in_stac yes/no per layer, with the number of items made from it."""
+    """in_stac yes/no per layer, with the number of items made from it (before newer ones replace them)."""
     made = items.groupBy("id").agg(F.count(F.lit(1)).alias("items"))
     return layers.select("id", "pos").join(made, "id", "left").select(
         "id", "pos", F.when(F.col("items").isNotNull(), "yes").otherwise("no").alias("in_stac"),

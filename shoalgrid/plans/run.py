@@ -108,8 +108,8 @@ def build_catalogue(
     made = cat.native_items(layers, names, fallback).unionByName(
         cat.converted_items(layers, asset_columns, names, fallback)
     )
-    items = stage(cat.newest_items(made), "items")
-    status = cat.layer_status(layers, items)
+    made = stage(made, "items")
+    items = stage(cat.newest_items(made), "newest_items")
     missing = cat.variables_missing(
         cat.mapped_variables(layers.filter(F.size("converted_arco_assets") > 0)), asset_columns
     )
@@ -118,9 +118,9 @@ def build_catalogue(
         "collections": cat.collections(items),
         "items": items,
         "item_assets": cat.item_assets(items),
-        "status": status,
-        "attribute_table": rp.attribute_table(layers, asset_columns, cat.variables_published(items)),
-        "standard_names": cat.extend_names(names, items, fallback),
+        "status": cat.layer_status(layers, made),
+        "attribute_table": rp.attribute_table(layers, asset_columns, cat.variables_published(made)),
+        "standard_names": cat.extend_names(names, made, fallback),
         "issues": cat.issues(layers, rejects, missing),
     }
 

@@ -13,9 +13,17 @@ from shoalgrid.operators.grid import TILE, grid_chunks
 COMPACT_ROWS = 10_000_000
 
 
+def balanced(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of one folder together, so that a folder gets few files; large folders are split evenly."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 def write_features(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.option("compression", "snappy")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        writer = balanced(df, partition_by).write.partitionBy(*partition_by)
+    else:
+        writer = df.write
+    writer.option("compression", "snappy").parquet(path)
 
 
 def write_geo_features(df: DataFrame, path: str, source_crs: str, geometry: str = "geometry") -> None:
@@ -50,7 +58,7 @@ def write_renamed(df: DataFrame, folder: str, title: str, mapping: dict[str, str
 
 def write_grid(grid: DataFrame, path: str, attributes: DataFrame | None = None, size: int = TILE) -> None:
     """Grid store: chunk arrays by variable, with the dataset attributes beside them."""
-    grid_chunks(grid, size).write.partitionBy("variable").option("compression", "snappy").parquet(path)
+    balanced(grid_chunks(grid, size), ["variable"]).write.partitionBy("variable").option("compression", "snappy").parquet(path)
     if attributes is not None:
         attributes.write.parquet(f"{path}_attributes")
 
@@ -63,7 +71,8 @@ def write_snapshot(layers: DataFrame, path: str, snapshot: str) -> None:
 def write_documents(df: DataFrame, path: str, hierarchy: list[str]) -> None:
     """One JSON document per row in text files laid out by the hierarchy columns."""
     body = [c for c in df.columns if c not in hierarchy]
-    df.select(*hierarchy, F.to_json(F.struct(*body)).alias("value")).write.partitionBy(*hierarchy).text(path)
+    documents = df.select(*hierarchy, F.to_json(F.struct(*body)).alias("value"))
+    balanced(documents, hierarchy).write.partitionBy(*hierarchy).text(path)
 
 
 def write_report(df: DataFrame, path: str, single_file: bool = False) -> None:

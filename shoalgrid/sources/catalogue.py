@@ -111,7 +111,7 @@ def harvest_index(documents: DataFrame, json: str) -> DataFrame:
     return (
         documents.select(F.explode(rows).alias("r"))
         .select(*[F.get("r", F.lit(i)).alias(n) for n, i in places.items()])
-        .filter(F.col("dataset") != "allDatasets")
+        .filter(~F.col("dataset").eqNullSafe("allDatasets"))
     )
 
 
