@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from contract.geo import BURN_SQL, CATEGORY_SQL, part_bounds, part_cells, part_spec
+from contract.geo import BURN_SQL, part_bounds
 from contract.registry import INPUTS, made, query, table
 from contract.q_catalogue import ITEMS_SQL, items
 from contract.q_select import LABELLED, coded_grid, mixed_geometries

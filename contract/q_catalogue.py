@@ -6,7 +6,6 @@ from contract.registry import INPUTS, made, query
 from contract import q_sources  # noqa: F401  (inputs)
 from shoalgrid.functions.extents import provider, rectangle, time_pair
 from shoalgrid.functions.text import description_map, name_mapping
-from shoalgrid.operators.extents import metadata_columns
 from shoalgrid.plans import catalogue as cat
 from shoalgrid.plans import reports as rp
 from shoalgrid.sources.catalogue import flatten_layer_tree, without_id

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from contract.geo import BURN_SQL, CATEGORY_SQL, part_bounds, part_cells
 from contract.registry import INPUTS, made, query, table
 from contract import q_sources  # noqa: F401  (inputs)
-from shoalgrid.operators import extents as x
 from shoalgrid.operators import grid as g
 from shoalgrid.operators import state as st
 from shoalgrid.plans import catalogue as cat

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from contract.registry import INPUTS, made, query, table
 from contract import q_functions, q_joins, q_sources  # noqa: F401  (inputs)
-from shoalgrid.operators.columns import null_report  # noqa: F401
 from shoalgrid.plans import exchange as ex
 from shoalgrid.plans import maintain as m
 from shoalgrid.sources import catalogue as cat

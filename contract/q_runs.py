@@ -3,14 +3,17 @@
 from pyspark.sql import functions as F
 
 from contract.geo import BURN_SQL, CATEGORY_SQL, part_polygons
+from contract.q_select import LABELLED, coded_grid
 from contract.registry import INPUTS, made, query
-from contract.q_catalogue import cat_layers
 from contract import q_sources  # noqa: F401  (inputs)
 from shoalgrid.functions.extents import rectangle, time_pair
 from shoalgrid.functions.records import record_facts
 from shoalgrid.operators import state as st
 from shoalgrid.plans import catalogue as cat
-from shoalgrid.plans.run import RunSettings, build_catalogue, complete_layers, convert_features, grid_features, stage
+from shoalgrid.plans.run import (
+    RunSettings, build_catalogue, complete_layers, convert_features, grid_features, publish_grid, stage, table_to_cube,
+)
+from shoalgrid.session import scratch_path
 from shoalgrid.sources.catalogue import flatten_layer_tree, with_id, without_id
 
 SETTINGS = RunSettings(run_year=2024, record_host="https://g.example.org")
@@ -80,3 +83,33 @@ def run_feature_grid(spark, sf):
         "variable", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"),
         F.round(F.col("value").cast("double"), 3).alias("value"),
     )
+
+
+INPUTS["daily"] = """
+SELECT latitude AS lat, longitude AS lon, date_trunc('day', time) AS time, max(value) AS READING, count(*) AS hits FROM (""" + INPUTS["readings"] + """) r
+GROUP BY latitude, longitude, date_trunc('day', time)"""
+
+
+@query("run_table_to_cube", """WITH d AS (SELECT lat AS latitude, lon AS longitude, time, READING AS reading, hits FROM daily)
+SELECT a.latitude, o.longitude, strftime(t.time, '%Y-%m-%d') AS day, reading, hits FROM (SELECT DISTINCT latitude FROM d) a CROSS JOIN (SELECT DISTINCT longitude FROM d) o
+ CROSS JOIN (SELECT DISTINCT time FROM d) t LEFT JOIN d ON d.latitude = a.latitude AND d.longitude = o.longitude AND d.time = t.time""", ("daily",))
+def run_table_to_cube(spark, sf):
+    cube = table_to_cube(made(spark, sf, "daily"), {"READING": "reading"})
+    return cube.select("latitude", "longitude", F.date_format("time", "yyyy-MM-dd").alias("day"), "reading", "hits")
+
+
+@query("run_publish_grid", f"""{BURN_SQL},{CATEGORY_SQL},{LABELLED} SELECT v.variable, 'EPSG:4326' AS crs, 'EPSG:3035' AS source_crs, min(latitude) AS geospatial_lat_min, max(longitude) AS geospatial_lon_max,
+ (SELECT count(*) FROM cells) AS filled, CASE v.variable WHEN 'sort' THEN (SELECT count(*) FROM categories WHERE variable = 'kind') ELSE 0 END AS codes, 'parts' AS title
+ FROM places, (VALUES ('price'), ('sort')) v(variable) GROUP BY ALL""", ("corners",))
+def run_publish_grid(spark, sf):
+    grid, codes = coded_grid(spark, sf)
+    path = scratch_path(spark, "published")
+    publish_grid(grid, path, {"kind": "sort"}, "parts", "lot", "asset", "2024-05-01", "EPSG:3035", codes)
+    filled = spark.read.parquet(path).select("variable", F.size(F.filter("values", lambda v: v.isNotNull())).alias("n"))
+    counted = filled.groupBy("variable").agg(F.sum("n").alias("filled"))
+    named = spark.read.parquet(f"{path}_categories").groupBy("variable").agg(F.count(F.lit(1)).alias("codes"))
+    title = spark.read.parquet(f"{path}_attributes").select("title").scalar()
+    return spark.read.parquet(f"{path}_variables").join(counted, "variable").join(named, "variable", "left").select(
+        "variable", "crs", "source_crs", "geospatial_lat_min", "geospatial_lon_max", "filled",
+        F.coalesce("codes", F.lit(0)).alias("codes"), title.alias("title"),
+    )

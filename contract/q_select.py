@@ -17,6 +17,11 @@ def p1(spark, sf):
     return c.apply_mapping(table(spark, sf, "lineitem"), MAPPING).select("l_orderkey", "quantity", "price", "l_tax")
 
 
+@query("p1_rename_grid_variables", "SELECT event_id, CASE variable WHEN 'click' THEN 'clicks' WHEN 'view' THEN 'views' ELSE variable END AS variable FROM readings", ("readings",))
+def p1_grid(spark, sf):
+    return c.rename_grid_variables(made(spark, sf, "readings").select("event_id", "variable"), {"click": "clicks", "view": "views", "none": "x"})
+
+
 @query("p2_project_mapped", "SELECT brand AS maker, price AS cost, 141 + 9 - 141 + 4 + 80 + 4 + 64 AS geometry_bytes FROM corners", ("corners",))
 def p2(spark, sf):
     picked = c.project_mapped(part_polygons(spark, sf), {"brand": "maker", "price": "cost"})

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from contract.geo import part_polygons
 from contract.registry import INPUTS, made, query, table
 from shoalgrid.functions.records import record_facts
-from shoalgrid.operators.geometry import with_bounds
 from shoalgrid.session import scratch_path
 from shoalgrid.sinks.writers import write_features, write_geo_features
 from shoalgrid.sources import catalogue as cat

@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 # Coordinate names that are brought to one form.
 COORDINATE_ALIASES = {"lat": "latitude", "lon": "longitude", "y": "latitude", "x": "longitude"}
 
-_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_REAL = (T.FloatType, T.DoubleType, T.DecimalType)
+_NUMBER = (T.IntegerType, T.LongType, T.DoubleType)
+_SMALL = (T.ByteType, T.ShortType, T.FloatType, T.BooleanType)
 _TIME = (T.TimestampType, T.TimestampNTZType)
 
 
@@ -19,6 +19,14 @@ def apply_mapping(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns and k != v})
 
 
+def rename_grid_variables(grid: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """Standard names in the ``variable`` column of a long grid; names without an entry stay."""
+    if not mapping:
+        return grid
+    names = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    return grid.withColumn("variable", F.coalesce(F.try_element_at(names, F.col("variable")), F.col("variable")))
+
+
 def missing_columns(df: DataFrame, mapping: dict[str, str]) -> list[str]:
     """Mapped native columns that exist neither under their native nor under their standard name."""
     return [k for k, v in mapping.items() if k not in df.columns and v not in df.columns]
@@ -44,19 +52,22 @@ def align_coordinates(df: DataFrame) -> DataFrame:
 
 
 def align_types(df: DataFrame, keep: tuple[str, ...] = ("geometry", "feature_id")) -> DataFrame:
-    """Text for objects, float for numbers, whole seconds for times; ``keep`` is untouched."""
+    """Float for numbers, whole seconds for times, text for what is neither; ``keep`` is untouched.
+
+    Small numbers and flags stay as they are; dates and decimals become text.
+    """
     out = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
-        if field.name in keep:
+        if field.name in keep or isinstance(field.dataType, _SMALL):
             pass
-        elif isinstance(field.dataType, (*_WHOLE, *_REAL)):
+        elif isinstance(field.dataType, _NUMBER):
             column = column.cast("float")
         elif isinstance(field.dataType, _TIME):
             column = F.date_trunc("second", column)
         elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
             column = F.to_json(column)
-        elif not isinstance(field.dataType, (T.DateType, T.BooleanType)):
+        else:
             column = column.cast("string")
         out.append(column.alias(field.name))
     return df.select(*out)

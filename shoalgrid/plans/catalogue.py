@@ -134,8 +134,9 @@ def newest_items(items: DataFrame) -> DataFrame:
     return newest_rows(items, ["family", "collection", "item_id"], "place")
 
 
-def item_assets(items: DataFrame, keys: list[str] = ["family", "collection", "item_id"]) -> DataFrame:
+def item_assets(items: DataFrame) -> DataFrame:
     """One asset per kind and item: assets, native asset, then converted ones; the last wins."""
+    keys = ["family", "collection", "item_id"]
     empty = F.array().cast("array<string>")
     converted = F.when(F.col("kind") == "converted", F.coalesce("converted_arco_assets", empty)).otherwise(empty)
     links = F.concat(F.coalesce("assets", empty), F.array("native_asset"), converted)

@@ -17,11 +17,12 @@ from shoalgrid.operators import columns as c
 from shoalgrid.operators import grid as g
 from shoalgrid.operators import select as s
 from shoalgrid.operators import state as st
-from shoalgrid.operators.extents import total_bounds
+from shoalgrid.operators import extents as x
 from shoalgrid.operators.geometry import polygon_edges, with_bounds
 from shoalgrid.plans import catalogue as cat
 from shoalgrid.plans import reports as rp
 from shoalgrid.session import scratch_path
+from shoalgrid.sinks.writers import write_grid
 
 NO_LINKS = "array<string>"
 
@@ -138,9 +139,39 @@ def grid_features(
 ) -> tuple[DataFrame, DataFrame, g.GridSpec]:
     """Long grid and category codes of polygon features; one burn serves all variables."""
     polygons = s.polygons_only(features)
-    spec = g.grid_spec(total_bounds(polygons), resolution)
+    spec = g.grid_spec(x.total_bounds(polygons), resolution)
     codes = stage(g.category_codes(polygons, texts), "categories") if texts else None
     coded = g.encode_features(polygons.drop("geometry"), texts, codes) if texts else polygons.drop("geometry")
     cells = g.burn_cells(g.burn_spans(polygon_edges(polygons), spec))
     valued = g.cell_attributes(g.label_cells(cells, spec), coded, [*numbers, *texts])
     return g.grid_values(valued, [*numbers, *texts]), codes, spec
+
+
+def table_to_cube(rows: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """Dense cube of a table of readings, one row per coordinate combination.
+
+    Axes are latitude and longitude, then time if there is one, and depth if there are both.
+    """
+    named = c.align_coordinates(c.apply_mapping(rows, mapping))
+    axes = ["latitude", "longitude"]
+    if "time" in named.columns:
+        axes += ["depth", "time"] if "depth" in named.columns else ["time"]
+        named = named.withColumn("time", F.col("time").cast("timestamp"))
+    return g.dense_cube(named, axes, [n for n in named.columns if n not in axes])
+
+
+def publish_grid(
+    grid: DataFrame, path: str, mapping: dict[str, str], title: str, source: str, native_asset: str, run_date: str,
+    source_crs: str, categories: DataFrame | None = None, size: int = g.TILE,
+) -> None:
+    """Grid store under standard names with its tables beside it.
+
+    ``<path>`` holds the chunks, ``<path>_attributes`` one row for the dataset, ``<path>_variables`` extent and CRS per
+    variable, ``<path>_categories`` the codes. ``grid``: row, col, latitude, longitude, variable, value.
+    """
+    named = stage(c.rename_grid_variables(grid, mapping), "grid")
+    write_grid(named, path, x.dataset_attributes(named, title, source, native_asset, run_date), size)
+    variables = x.variable_extent(named)
+    variables.join(g.crs_attributes(variables, source_crs), "variable").write.parquet(f"{path}_variables")
+    if categories is not None:
+        c.rename_grid_variables(categories, mapping).write.parquet(f"{path}_categories")

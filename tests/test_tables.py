@@ -91,6 +91,16 @@ def test_columns(spark):
         c.require_filled(df, ["id"])
 
 
+def test_type_alignment(spark):
+    df = spark.sql("""SELECT 1L AS big, 2 AS whole, CAST(3 AS SHORT) AS small, 1.5D AS real, CAST(1.50 AS DECIMAL(5,2)) AS exact, true AS flag, DATE'2020-01-02' AS day,
+      TIMESTAMP'2020-01-02 03:04:05.678' AS at, 'x' AS word, array(1) AS list, X'01' AS geometry""")
+    aligned = c.align_types(df)
+    assert dict(aligned.dtypes) == {"big": "float", "whole": "float", "small": "smallint", "real": "float", "exact": "string", "flag": "boolean", "day": "string",
+                                    "at": "timestamp", "word": "string", "list": "string", "geometry": "binary"}
+    row = aligned.first()
+    assert (row["exact"], row["day"], row["at"].microsecond, row["list"]) == ("1.50", "2020-01-02", 0, "[1]")
+
+
 def test_dropped_geometries_are_counted(spark):
     df = spark.createDataFrame([(1, bytearray(b"x")), (2, None), (3, None)], "feature_id long, geometry binary")
     kept, seen = c.drop_null_geometries(df)
