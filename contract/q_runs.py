@@ -91,11 +91,11 @@ GROUP BY latitude, longitude, date_trunc('day', time)"""
 
 
 @query("run_table_to_cube", """WITH d AS (SELECT lat AS latitude, lon AS longitude, time, READING AS reading, hits FROM daily)
-SELECT a.latitude, o.longitude, strftime(t.time, '%Y-%m-%d') AS day, reading, hits FROM (SELECT DISTINCT latitude FROM d) a CROSS JOIN (SELECT DISTINCT longitude FROM d) o
+SELECT a.latitude, o.longitude, strftime(t.time, '%Y-%m-%d') AS day, reading, coalesce(hits, 0) AS hits FROM (SELECT DISTINCT latitude FROM d) a CROSS JOIN (SELECT DISTINCT longitude FROM d) o
  CROSS JOIN (SELECT DISTINCT time FROM d) t LEFT JOIN d ON d.latitude = a.latitude AND d.longitude = o.longitude AND d.time = t.time""", ("daily",))
 def run_table_to_cube(spark, sf):
     cube = table_to_cube(made(spark, sf, "daily"), {"READING": "reading"})
-    return cube.select("latitude", "longitude", F.date_format("time", "yyyy-MM-dd").alias("day"), "reading", "hits")
+    return cube.select("latitude", "longitude", F.date_format("time", "yyyy-MM-dd").alias("day"), "reading", F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
 @query("run_publish_grid", f"""{BURN_SQL},{CATEGORY_SQL},{LABELLED} SELECT v.variable, 'EPSG:4326' AS crs, 'EPSG:3035' AS source_crs, min(latitude) AS geospatial_lat_min, max(longitude) AS geospatial_lon_max,

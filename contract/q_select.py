@@ -8,6 +8,9 @@ from shoalgrid.functions.text import first_download
 from shoalgrid.operators import columns as c
 from shoalgrid.operators import grid as g
 from shoalgrid.operators import select as s
+from shoalgrid.session import scratch_path
+from shoalgrid.sinks.writers import write_grid
+from shoalgrid.sources.features import read_chunks
 
 MAPPING = {"l_quantity": "quantity", "l_extendedprice": "price", "l_absent": "absent"}
 
@@ -141,6 +144,16 @@ def p14(spark, sf):
     )
 
 
+@query("p14_chunk_window", f"""{BURN_SQL} SELECT row::BIGINT AS row, col::BIGINT AS col, round(price, 3) AS value FROM cells JOIN corners USING (feature_id)
+ WHERE row BETWEEN 70 AND 190 AND col BETWEEN 130 AND 401""", ("corners",))
+def p14_window(spark, sf):
+    path = scratch_path(spark, "window")
+    grid, _ = coded_grid(spark, sf)
+    write_grid(grid, path, size=50)
+    cells = read_chunks(spark, path, ["price"], (70, 190), (130, 401), 50)
+    return cells.select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), F.round(F.col("value").cast("double"), 3).alias("value"))
+
+
 @query("p15_convertible", "SELECT id, native_data_product IS NOT NULL AS to_convert FROM layers", ("layers",))
 def p15(spark, sf):
     return s.convertible(made(spark, sf, "layers").withColumnRenamed("native_data_product", "attributes")).select("id", "to_convert")

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import struct
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The functions travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EDGE_FIELDS = "part int, ax double, ay double, bx double, by double"
 _FLUSH = 1 << 16
 _BOUNDS = T.StructType([T.StructField(n, T.DoubleType()) for n in ("xmin", "ymin", "xmax", "ymax")])

@@ -176,15 +176,20 @@ def decode_categories(grid: DataFrame, categories: DataFrame) -> DataFrame:
     return lookup(grid, codes, ["variable", "value"])
 
 
+def _layers(grid: DataFrame) -> list[str]:
+    return [c for c in ("time", "depth") if c in grid.columns]
+
+
 def grid_chunks(grid: DataFrame, size: int = TILE) -> DataFrame:
-    """Square chunks as float arrays in row order, missing cells null.
+    """Square chunks as float arrays in row order, missing cells null; one per time and depth, if any.
 
-    A chunk holds at most ``size * size`` values, so the gathered arrays are bounded.
+    ``grid`` has one value per cell, so a chunk gathers at most ``size * size`` of them.
     """
     n = size * size
+    keys = ["variable", *_layers(grid)]
     place = (F.col("row") % size) * size + F.col("col") % size
     gathered = grid.groupBy(
-        "variable",
+        *keys,
         F.floor(F.col("row") / size).cast("int").alias("chunk_row"),
         F.floor(F.col("col") / size).cast("int").alias("chunk_col"),
     ).agg(F.sort_array(F.collect_list(F.struct(place.alias("at"), F.col("value").alias("value")))).alias("__cells"))
@@ -199,16 +204,17 @@ def grid_chunks(grid: DataFrame, size: int = TILE) -> DataFrame:
 
     tail = gap((F.lit(n - 1) - F.element_at(cells, -1)["at"]).cast("int"))
     return gathered.select(
-        "variable", "chunk_row", "chunk_col", F.concat(F.flatten(F.transform(cells, filled)), tail).alias("values")
+        *keys, "chunk_row", "chunk_col", F.concat(F.flatten(F.transform(cells, filled)), tail).alias("values")
     )
 
 
 def open_chunks(chunks: DataFrame, size: int = TILE) -> DataFrame:
     """The long grid behind chunks, empty cells left out."""
-    return chunks.select("variable", "chunk_row", "chunk_col", F.posexplode("values").alias("at", "value")).filter(
+    keys = ["variable", *_layers(chunks)]
+    return chunks.select(*keys, "chunk_row", "chunk_col", F.posexplode("values").alias("at", "value")).filter(
         F.col("value").isNotNull()
     ).select(
-        "variable",
+        *keys,
         (F.col("chunk_row") * size + F.floor(F.col("at") / size).cast("int")).alias("row"),
         (F.col("chunk_col") * size + F.col("at") % size).alias("col"),
         "value",

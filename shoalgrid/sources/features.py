@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from shoalgrid.operators.columns import require_filled
 from shoalgrid.operators.geometry import with_bounds
+from shoalgrid.operators.grid import TILE, open_chunks
 from shoalgrid.operators.ordering import ingest_positions
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -55,6 +56,26 @@ def read_grid(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_chunks(
+    spark: SparkSession, path: str, variables: list[str] | None = None, rows: tuple[int, int] | None = None,
+    cols: tuple[int, int] | None = None, size: int = TILE,
+) -> DataFrame:
+    """Cells of a chunk store inside a window of rows and columns, both ends included.
+
+    Variables are folders and chunk numbers are columns, so only the chunks of the window are read.
+    """
+    chunks = spark.read.parquet(path)
+    if variables is not None:
+        chunks = chunks.filter(F.col("variable").isin(variables))
+    windows = [(name, ends) for name, ends in (("row", rows), ("col", cols)) if ends]
+    for name, (low, high) in windows:
+        chunks = chunks.filter(F.col(f"chunk_{name}").between(low // size, high // size))
+    cells = open_chunks(chunks, size)
+    for name, ends in windows:
+        cells = cells.filter(F.col(name).between(*ends))
+    return cells
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """XML documents of a folder, one row each: uri, xml."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("uri"), F.col("value").alias("xml"))

@@ -155,6 +155,21 @@ def test_chunks_round_trip(spark):
     assert {(r["row"], r["col"]): r["value"] for r in g.open_chunks(chunks, 5).collect()} == cells
 
 
+def test_chunks_keep_times_apart_and_windows_read_few(spark):
+    from shoalgrid.session import scratch_path
+    from shoalgrid.sinks.writers import write_grid
+    from shoalgrid.sources.features import read_chunks
+
+    df = spark.createDataFrame([("v", t, r, c, float(t * 100 + r * 10 + c)) for t in (1, 2) for r in range(9) for c in range(9)],
+                               "variable string, time long, row int, col int, value float")
+    path = scratch_path(spark, "cube")
+    write_grid(df, path, size=3)
+    assert spark.read.parquet(path).count() == 18
+    window = read_chunks(spark, path, ["v"], (2, 4), (0, 3), 3)
+    assert {(r["time"], r["row"], r["col"]): r["value"] for r in window.collect()} == {
+        (t, r, c): float(t * 100 + r * 10 + c) for t in (1, 2) for r in (2, 3, 4) for c in range(4)}
+
+
 def test_dense_cube_of_three_axes(spark):
     rng = random.Random(9)
     spots = {(rng.randrange(6) * 10, f"d{rng.randrange(4)}", rng.randrange(5) / 2): float(i) for i in range(30)}
