@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shoalgrid.operators.skew import lookup
+
 BLOCK = 1 << 20
 
 
@@ -46,7 +48,8 @@ def with_previous(df: DataFrame, group: list[str], pos: str, value: str, name: s
 def ingest_positions(df: DataFrame, path: str, row: str, name: str) -> DataFrame:
     """Stable row positions from (file, row in file): files in name order, rows in file order.
 
-    Only one count per file is gathered; the rows themselves are not sorted or shuffled.
+    Only one count per file is gathered; the rows themselves are not sorted, and not shuffled either
+    while the list of files is small enough to be broadcast.
     """
     before = W.partitionBy(F.lit(0)).orderBy(path).rowsBetween(W.unboundedPreceding, -1)
     starts = (
@@ -55,4 +58,4 @@ def ingest_positions(df: DataFrame, path: str, row: str, name: str) -> DataFrame
         .withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0)))
         .drop("__n")
     )
-    return df.join(starts, path).withColumn(name, F.col("__start") + F.col(row)).drop("__start")
+    return lookup(df, starts, [path], "inner").withColumn(name, F.col("__start") + F.col(row)).drop("__start")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoalgrid.functions.text import is_convertible, is_download, is_packaged_product, split_product
+from shoalgrid.operators.skew import lookup
 
 # WKB type codes (1 point .. 7 collection) by name.
 WKB_KINDS = {
@@ -97,7 +98,7 @@ def category_mask(grid: DataFrame, categories: DataFrame, label: str) -> DataFra
     """Grid cells of one label; the other cells of that variable keep their place with a null value."""
     wanted = categories.filter(F.col("label") == label).select("variable", F.col("code").alias("__code"))
     return (
-        grid.join(wanted, "variable")
+        lookup(grid, wanted, ["variable"], "inner")
         .withColumn("value", F.when(F.col("value") == F.col("__code"), F.col("value")))
         .drop("__code")
     )

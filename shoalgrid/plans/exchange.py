@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shoalgrid.functions.text import first_binary_link, grid_names
 from shoalgrid.operators.extents import global_attributes
+from shoalgrid.operators.skew import lookup
 
 # Global attributes a harvest reads and the columns they become.
 GLOBALS = {
@@ -57,4 +58,5 @@ def only_remote(local: DataFrame, remote: DataFrame) -> DataFrame:
 
 def match_features(items: DataFrame, features: DataFrame) -> DataFrame:
     """Published features whose product id is the id of a local item."""
-    return features.join(items.select(F.col("item_id").alias("product_id")).distinct(), "product_id", "left_semi")
+    local = items.select(F.col("item_id").alias("product_id")).distinct()
+    return lookup(features, local, ["product_id"], "left_semi")

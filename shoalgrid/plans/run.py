@@ -103,8 +103,7 @@ def complete_layers(
 def build_catalogue(
     layers: DataFrame, asset_columns: DataFrame, names: DataFrame, rejects: DataFrame, settings: RunSettings
 ) -> dict[str, DataFrame]:
-    """Catalogue tables of completed layers; layers and items are written once and shared."""
-    layers = stage(layers, "layers")
+    """Catalogue tables of completed layers (a stored table, see ``stage``); items are written once and shared."""
     fallback = settings.fallback_convention
     made = cat.native_items(layers, names, fallback).unionByName(
         cat.converted_items(layers, asset_columns, names, fallback)

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from shoalgrid.functions.extents import time_pair
-from shoalgrid.plans.run import RunSettings, build_catalogue, complete_layers
+from shoalgrid.plans.run import RunSettings, build_catalogue, complete_layers, stage
 
 SETTINGS = RunSettings(run_year=2024, record_host="https://records", select=[{"thematic_lot": ["Physics", "Biology"]}])
 LAYERS = """id string, pos long, name string, thematic_lot string, subtheme string, subsubtheme string,
@@ -43,7 +43,7 @@ def inputs(spark):
 
 
 def run(spark):
-    layers = complete_layers(*inputs(spark), SETTINGS)
+    layers = stage(complete_layers(*inputs(spark), SETTINGS), "layers")
     names = spark.createDataFrame([("cf", "energy", "fam", "cf.json")], "convention string, standard_name string, variable_family string, file string")
     found = spark.createDataFrame([("1", "water_depth")], "id string, name string")
     rejects = spark.createDataFrame([(None, "lost")], "id string, name string")
