@@ -56,7 +56,7 @@ def run_layers(spark, sf):
     previous = st.newest_rows(made(spark, sf, "state_rows"), ["id"], "pos").withColumns({
         "native_arco_mapping": mapping, "converted_arco_assets": F.when(F.col("native_asset").isNotNull(), links),
     })
-    records = record_facts(made(spark, sf, "records"), "xml")
+    records = record_facts(made(spark, sf, "records"), "xml").select("id", "box", "period", "organisation", "constraints")
     nothing = made(spark, sf, "layers").select("id").limit(0)
     extents = nothing.withColumns({
         "grid_time": time_pair(F.lit(None), F.lit(None)), "table_time": time_pair(F.lit(None), F.lit(None)),

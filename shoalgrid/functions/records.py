@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoalgrid.functions.extents import record_date, rectangle, time_pair
+from shoalgrid.functions.text import doi_of
 
 _MARK = "STRING_BROKEN"
 _URI_SCHEMA = "struct<URI:array<struct<_VALUE:string,_protocol:string,_description:string>>>"
@@ -115,3 +116,10 @@ def record_links(records: DataFrame, xml: str, layer_name: str, row_tag: str = "
             F.min("u.at").alias("link_pos"),
         )
     )
+
+
+def record_link_lists(links: DataFrame, key: str) -> DataFrame:
+    """Links of each record in document order, and its DOI. A record's links all come from one document."""
+    doi = F.max(F.when(F.col("description") == "Digital Object Identifier (DOI)", doi_of(F.col("link"))))
+    ordered = F.array_sort(F.collect_list(F.struct("link_pos", "link")))
+    return links.groupBy(key).agg(F.transform(ordered, lambda x: x["link"]).alias("csw_links"), doi.alias("doi"))

@@ -95,6 +95,17 @@ def map_link(url: Column, layers: Column, version: Column, extent: Column, time:
     return F.when(~F.contains(url, F.lit("GetLegendGraphic")), timed)
 
 
+def kept_map_link(assets: Column) -> Column:
+    """First WMS link among the assets of the previous state."""
+    hits = F.filter(assets, lambda a: F.contains(a, F.lit("wms?SERVICE=WMS&REQUEST=GetMap&LAYER")))
+    return F.try_element_at(hits, F.lit(1))
+
+
+def open_store(url: Column) -> Column:
+    """The link itself if it is a table or grid store that can be read in place."""
+    return F.when(F.contains(url, F.lit("https://s3.")) & (is_grid_store(url) | is_table_store(url)), url)
+
+
 def source_value(sources: Column, kind: str) -> Column:
     """Value of the last metadata source of a kind, '' if there is none."""
     hits = F.filter(sources, lambda s: s["metadata_type"] == kind)
@@ -237,9 +248,10 @@ def grid_names(dds: Column) -> Column:
 
 def first_binary_link(html: Column) -> Column:
     """Link behind the first ``[BIN]`` picture of a directory page, null if there is none."""
-    picture = r"<img\b(?=[^>]*\bclass=\"B\")(?=[^>]*\balt=\"\[BIN\]\")[^>]*>"
-    link = r"(?s)" + picture + r".*?</td>\s*<td[^>]*>.*?<a\b[^>]*\bhref=\"([^\"]*)\""
-    return F.nullif(F.regexp_extract(html, link, 1), F.lit(""))
+    picture = r"(?s)<img\b(?=[^>]*\bclass=\"B\")(?=[^>]*\balt=\"\[BIN\]\")[^>]*>(.*)"
+    next_cell = F.split_part(F.regexp_extract(html, picture, 1), F.lit("</td>"), F.lit(2))
+    link = r"(?s)^\s*<td\b.*?<a\b[^>]*\bhref=\"([^\"]*)\""
+    return F.nullif(F.regexp_extract(next_cell, link, 1), F.lit(""))
 
 
 def title_words(title: Column) -> Column:

@@ -38,6 +38,7 @@ class RunSettings:
     select: list[dict[str, list]] = field(default_factory=list)
     download_pieces: tuple[str, ...] = ()
     convert: bool = True
+    with_map_links: bool = False  # the links are not tried out, so they are added on request only
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -48,6 +49,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _map_links(df: DataFrame, settings: RunSettings):
+    """WMS link kept from the previous state, else made from the layer's map properties on request."""
+    kept = t.kept_map_link(F.col("prev_assets")) if "prev_assets" in df.columns else F.lit(None).cast("string")
+    if not settings.with_map_links or "properties" not in df.columns:
+        return kept
+    p = F.col("properties")
+    world = F.array(*[F.lit(v) for v in ("-180", "-90", "180", "90")])
+    extent = F.coalesce(F.transform(p["extent"], t.number_text), world)
+    return F.coalesce(kept, t.map_link(p["url"], p["params"]["LAYERS"], p["params"]["VERSION"], extent, p["params"]["TIME"]))
+
+
 def complete_layers(
     layers: DataFrame, previous: DataFrame, forget_ids: DataFrame, records: DataFrame, data_extents: DataFrame,
     settings: RunSettings,
@@ -55,39 +67,43 @@ def complete_layers(
     """Layers with assets, mapping, providers, time and space extent.
 
     ``layers``: id, pos, name, thematic_lot, subtheme, subsubtheme, metadataSources, temporalDatesExtent, bbox,
-    responsibleParties, attributes. ``previous``: id, download_url, native_asset, native_arco_mapping,
-    converted_arco_assets; one row per id. ``records``: id, box, period, organisation, constraints.
-    ``data_extents``: id, grid_time, table_time, grid_box of the layer's own data.
+    responsibleParties, attributes, and properties if there are map links. ``previous``: id, download_url, native_asset,
+    native_arco_mapping, converted_arco_assets, and assets if known; one row per id. ``records``: id, box, period,
+    organisation, constraints, and csw_links if known. ``data_extents``: id, grid_time, table_time, grid_box of the
+    layer's own data.
     """
-    sources = F.col("metadataSources")
+    sources, none = F.col("metadataSources"), F.array().cast(NO_LINKS)
     based = (
         s.select_layers(layers, settings.select)
         .withColumn("download_url", t.source_value(sources, "download_url"))
         .withColumn("geonetwork_uri", t.source_value(sources, "geonetwork_uri"))
         .withColumn("native_data_product", F.nullif(t.source_value(sources, settings.product_type), F.lit("")))
-        .withColumn(
-            "assets",
-            F.when(F.col("geonetwork_uri") != "", t.record_links(F.col("geonetwork_uri"), settings.record_host))
-            .otherwise(F.array().cast(NO_LINKS)),
-        )
     )
-    kept = st.forget(previous, forget_ids)
-    reused = st.reuse_previous_asset(st.attach_previous(based, kept)).withColumnRenamed("reused_asset", "native_asset")
-    shared = st.reuse_asset_by_url(reused)
+    facts = records.withColumnRenamed("box", "record_box")
+    attached = st.attach_previous(based, st.forget(previous, forget_ids)).join(facts, "id", "left")
+    own_links = F.when(
+        F.col("geonetwork_uri") != "", t.record_links(F.col("geonetwork_uri"), settings.record_host)
+    ).otherwise(none)
+    csw_links = F.coalesce("csw_links", none) if "csw_links" in records.columns else none
+
+    def filled(link):
+        return F.filter(F.array(link), lambda a: a.isNotNull())
+
+    linked = attached.withColumn("assets", F.concat(own_links, filled(_map_links(attached, settings)), csw_links))
+    reused = st.reuse_previous_asset(linked).withColumnRenamed("reused_asset", "native_asset")
     fetched = t.first_download(F.col("download_url"), F.col("assets"), settings.download_pieces)
     with_asset = (
-        shared.withColumn("native_asset", F.coalesce("native_asset", "shared_asset"))
+        st.reuse_asset_by_url(reused)
+        .withColumn("native_asset", F.coalesce("native_asset", "shared_asset", t.open_store(F.col("download_url"))))
         .withColumn("to_fetch", F.when(F.col("native_asset").isNull(), fetched))
-        .withColumn("assets", F.concat("assets", F.filter(F.array("native_asset"), lambda a: a.isNotNull())))
+        .withColumn("assets", F.concat("assets", filled(F.col("native_asset"))))
         .drop("shared_asset")
     )
     mapped = s.convertible(with_asset, settings.convert)
     mapped = mapped.withColumn(
         "native_arco_mapping", F.when(F.col("to_convert"), t.name_mapping(F.col("attributes")))
     ).withColumn("arco_variable_description", F.when(F.col("to_convert"), t.description_map(F.col("attributes"))))
-    converted = st.reuse_converted_assets(mapped)
-    facts = records.select("id", F.col("box").alias("record_box"), "period", "organisation", "constraints")
-    full = converted.join(facts, "id", "left").join(data_extents, "id", "left")
+    full = st.reuse_converted_assets(mapped).join(data_extents, "id", "left")
     times = [F.col("grid_time"), F.col("table_time"), e.text_extent(F.col("temporalDatesExtent")), F.col("period")]
     no_extent = F.array().cast("array<double>")
     return (
@@ -95,7 +111,7 @@ def complete_layers(
         .withColumn("data_rights", e.rights_cascade(F.col("responsibleParties"), F.col("constraints")))
         .withColumn("time", e.time_cascade(times, settings.run_year))
         .withColumn("extent", e.space_cascade(no_extent, F.col("bbox"), F.col("grid_box"), F.col("record_box")))
-        .drop("record_box", "period", "organisation", "constraints", "grid_time", "table_time", "grid_box")
+        .drop(*[name for name in facts.columns if name not in ("id", "doi")], "grid_time", "table_time", "grid_box")
         .drop(*[f"prev_{name}" for name in previous.columns if name != "id"])
     )
 

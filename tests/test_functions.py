@@ -98,6 +98,8 @@ def test_number_grid_names_and_directory_links(spark):
     assert one(spark, t.grid_names(F.lit(dds))) == ["temp"]
     page = '<tr><td><img src="x" class="B" alt="[BIN]"></td><td> <a href="one.nc">1</a></td></tr>'
     assert one(spark, t.first_binary_link(F.lit(page))) == "one.nc"
+    bare = page.replace('<a href="one.nc">1</a>', "none") + page.replace("one", "two")
+    assert one(spark, t.first_binary_link(F.lit(bare))) is None
     assert one(spark, t.first_binary_link(F.lit("<html></html>"))) is None
 
 

@@ -5,9 +5,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from shoalgrid.functions.extents import time_pair
+from shoalgrid.functions.records import record_link_lists, record_links
 from shoalgrid.plans.run import RunSettings, build_catalogue, complete_layers, stage
 
-SETTINGS = RunSettings(run_year=2024, record_host="https://records", select=[{"thematic_lot": ["Physics", "Biology"]}])
+SETTINGS = RunSettings(run_year=2024, record_host="https://records", select=[{"thematic_lot": ["Physics", "Biology"]}], with_map_links=True)
 LAYERS = """id string, pos long, name string, thematic_lot string, subtheme string, subsubtheme string,
  metadataSources array<struct<metadata_type:string,metadata_value:string>>, temporalDatesExtent string,
  bbox array<struct<west:double,south:double,east:double,north:double>>, responsibleParties array<struct<name:string,role:string>>,
@@ -39,7 +40,12 @@ def inputs(spark):
                                     f"id string, box {BOX}, period {TIME}, organisation string, constraints string")
     extents = spark.createDataFrame([("4", None, (dt.datetime(2000, 1, 1), dt.datetime(2001, 1, 1)), (9.0, 9.0, 10.0, 10.0))], f"id string, grid_time {TIME}, table_time {TIME}, grid_box {BOX}")
     again = spark.sql(f"SELECT {none} AS id WHERE false").union(spark.createDataFrame([("3",)], "id string"))
-    return spark.createDataFrame(layers, LAYERS), spark.createDataFrame(previous, PREVIOUS), again, records, extents
+    xml = """<r xmlns:d="http://d"><d:URI description="Digital Object Identifier (DOI)">https://doi/10.1/ab</d:URI><d:URI description="plot">p.png</d:URI></r>"""
+    links = record_link_lists(record_links(spark.createDataFrame([("4", "Fish", xml)], "id string, name string, xml string"), "xml", "name"), "id")
+    table = spark.createDataFrame(layers, LAYERS).withColumn("properties", F.when(F.col("id") == "2", F.struct(
+        F.lit("https://m/wms").alias("url"), F.create_map(F.lit("LAYERS"), F.lit("wind"), F.lit("VERSION"), F.lit("1.1.1")).alias("params"), F.lit(None).cast("array<double>").alias("extent"))))
+    state = spark.createDataFrame(previous, PREVIOUS).withColumn("assets", F.array(F.lit("old.csv"), F.concat(F.lit("https://m/wms?SERVICE=WMS&REQUEST=GetMap&LAYERS="), "id")))
+    return table, state, again, records.join(links, "id", "left"), extents
 
 
 def run(spark):
@@ -59,7 +65,9 @@ def test_catalogue_run(spark):
     assert three["native_asset"] is None and three["to_fetch"] == "b.csv"  # to be made again
     assert four["native_asset"] == "https://s3/f.nc" and four["converted_arco_assets"] == []  # mapping changed
     assert one["converted_arco_assets"] == ["https://s3/a.zarr"]
-    assert [a.split("/")[2] for a in one["assets"]] == ["records", "records", "s3"]
+    assert [a.split("/")[2] for a in one["assets"]] == ["records", "records", "m", "s3"]
+    assert two["assets"][0] == "https://m/wms?SERVICE=WMS&REQUEST=GetMap&LAYERS=wind&VERSION=1.1.1&CRS=CRS:84&BBOX=-180,-90,180,90&WIDTH=800&HEIGHT=600&FORMAT=image/png"
+    assert four["assets"][2:] == ["https://m/wms?SERVICE=WMS&REQUEST=GetMap&LAYERS=4", "https://doi/10.1/ab", "p.png", "https://s3/f.nc"] and four["doi"] == "10.1/ab"
     assert [p["name"] for p in one["provider"]] == ["Org"] and [p["name"] for p in two["provider"]] == ["Physics"]
     assert [p["name"] for p in three["provider"]] == ["Bird Org"] and (three["data_rights"], one["data_rights"]) == ("terms", "CC-BY-4.0")
     assert [r["extent"]["west"] for r in (one, two, three, four)] == [1.0, -180.0, 5.0, 9.0]
@@ -82,7 +90,7 @@ def test_catalogue_run(spark):
     rows = {(r["id"], r["updated_arco_variable"], r["in_arco"], r["in_stac"]) for r in tables["attribute_table"].collect()}
     assert rows == {("1", "water_depth", True, True), ("1", "note", False, False), ("2", "", False, False), ("3", "", False, False), ("4", "water_depth", False, False), ("4", "note", False, False)}
     codes = {(r["id"], r["code"]) for r in tables["issues"].collect()}
-    assert codes == {(None, "no_id"), ("3", "no_subsubtheme"), ("3", "no_native_asset"), ("1", "variable_not_in_assets")}
+    assert codes == {(None, "no_id"), ("3", "no_subsubtheme"), ("3", "no_native_asset"), ("1", "variable_not_in_assets"), ("4", "unknown_kind")}  # the DOI page
     assert {r["standard_name"] for r in tables["standard_names"].collect()} == {"energy", "stock", "water_depth"}
 
 
