@@ -58,3 +58,15 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+
+
+#: Bytes of one Arrow batch: keeps the buffers of JVM and Python worker small beside the heap.
+BATCH_BYTES = "8m"
+
+
+def map_arrow(df: DataFrame, step, schema) -> DataFrame:
+    """``mapInArrow`` in batches of bounded bytes, however long the texts; a setting of the session's own is kept."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, "") in ("", "64m", "64MB", "67108864b", "67108864"):
+        conf.set(key, BATCH_BYTES)
+    return df.mapInArrow(step, schema)

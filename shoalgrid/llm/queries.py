@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoalgrid.llm import suffix
+from shoalgrid.llm import quality, simhash, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +28,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query("op9_suffix_array_dedup")
 def op9(spark, sf):
     return suffix.remove_repeats(table(spark, sf, "documents"))
+
+
+@query("op6_simhash")
+def op6(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op1_quality_rules")
+def op1(spark, sf):
+    return quality.quality_rows(table(spark, sf, "documents"), table(spark, sf, "labels"))
