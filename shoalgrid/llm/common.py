@@ -67,6 +67,6 @@ BATCH_BYTES = "8m"
 def map_arrow(df: DataFrame, step, schema) -> DataFrame:
     """``mapInArrow`` in batches of bounded bytes, however long the texts; a setting of the session's own is kept."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if conf.get(key, "") in ("", "64m", "64MB", "67108864b", "67108864"):
+    if conf.get(key).lower() in ("64m", "64mb", "67108864b", "67108864"):
         conf.set(key, BATCH_BYTES)
     return df.mapInArrow(step, schema)

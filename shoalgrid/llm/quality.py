@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoalgrid.llm.common import SPACES, chunks, text_of, texts_of
+from shoalgrid.llm.common import SPACES, chunks, map_arrow, text_of, texts_of
 
 #: Most labelled rows that the model is fitted on.
 SAMPLE = 3000
@@ -228,7 +228,7 @@ def platt(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 def fit_on(sample: DataFrame) -> tuple[np.ndarray, float, float] | None:
     """Model of a bounded sample (doc_id, label, text); only hashed features come to the driver."""
-    found = sample.mapInArrow(_sample_features, "doc_id string, label int, buckets binary, amounts binary").collect()
+    found = map_arrow(sample, _sample_features, "doc_id string, label int, buckets binary, amounts binary").collect()
     found.sort(key=lambda x: x["doc_id"])
     labels = np.array([1 if x["label"] > 0 else 0 for x in found])
     return fit(labels, [np.frombuffer(x["buckets"], np.int32) for x in found], [np.frombuffer(x["amounts"], np.float32) for x in found])
@@ -269,7 +269,7 @@ def quality_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, thres
     kinds = T.StructType([
         rows.schema["doc_id"], *[T.StructField(f, T.LongType()) for f in FIELDS], T.StructField("base_failed", T.BooleanType()),
         T.StructField("kept", T.BooleanType()), T.StructField("probability", T.DoubleType())])
-    return rows.mapInArrow(_judged(model, threshold), kinds)
+    return map_arrow(rows, _judged(model, threshold), kinds)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD, id_column: str = "doc_id",
@@ -282,4 +282,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshol
         for batch in chunks(batches, text_column, _STRIPE * 8):
             yield batch.filter(pa.array(judge(list(texts_of(pa.compute.fill_null(batch.column(text_column), ""))), model, threshold)["kept"]))
 
-    return docs.mapInArrow(step, kinds)
+    return map_arrow(docs, step, kinds)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoalgrid.llm.common import chunks, digest_of, stage, text_of, texts_of
+from shoalgrid.llm.common import chunks, digest_of, map_arrow, stage, text_of, texts_of
 from shoalgrid.llm.graph import components
 from shoalgrid.operators.skew import lookup
 
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, words: int, id_column: str, text_column: str)
             found = np.array([fingerprint(t, words) for t in texts_of(batch.column("text"))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], names=["doc_id", "sha", "fp"])
 
-    return rows.mapInArrow(step, kinds)
+    return map_arrow(rows, step, kinds)
 
 
 def anchor_masks(reach: int) -> list[np.ndarray]:
@@ -141,9 +141,9 @@ def _to_links(max_bits: int) -> Callable:
 def linked_prints(prints: DataFrame, max_bits: int) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fp``; they join what all close pairs join."""
     reach = RADIUS + (max_bits + 1) // 2
-    at = prints.select("fp").mapInArrow(_to_anchors(reach), "anchor long, fp long")
+    at = map_arrow(prints.select("fp"), _to_anchors(reach), "anchor long, fp long")
     groups = at.groupBy("anchor").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("fps")
-    return groups.mapInArrow(_to_links(max_bits), "a long, b long").distinct()
+    return map_arrow(groups, _to_links(max_bits), "a long, b long").distinct()
 
 
 def _with_components(rows: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:

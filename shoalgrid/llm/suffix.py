@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoalgrid.llm.common import chunks, digest_of, stage, text_of, texts_of
+from shoalgrid.llm.common import chunks, digest_of, map_arrow, stage, text_of, texts_of
 from shoalgrid.operators.skew import lookup
 from shoalgrid.session import scratch_path
 
@@ -138,7 +138,7 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     found = None
     windows = [w for w in WINDOWS if w == 1 or w + GRAM - 1 <= length]
     for window in windows:
-        anchors = stage(todo.mapInArrow(_anchor_batches(length, window), ANCHORS), f"anchors-{window}")
+        anchors = stage(map_arrow(todo, _anchor_batches(length, window), ANCHORS), f"anchors-{window}")
         ranks = anchors.groupBy("hm").agg(F.sum("w").alias("n"), (F.min("t") != F.max("t")).alias("several")).where("n > 1").drop("n")
         live = stage(lookup(anchors, ranks, ["hm"], "inner"), f"live-{window}")
         classes = live.groupBy("hm", "t").agg(
@@ -194,8 +194,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id"
     texts = _distinct_texts(docs, id_column, text_column)
     spans = stage(repeated_spans(texts, length), "spans")
     own = spans.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    cut = texts.select("key", "text").join(own, "key").select("key", "text", "spans").mapInArrow(
-        _cut, "key binary, n_removed long, n_spans long, kept_sha256 string")
+    cut = map_arrow(
+        texts.select("key", "text").join(own, "key").select("key", "text", "spans"), _cut, "key binary, n_removed long, n_spans long, kept_sha256 string")
     copied = texts.where((F.col("copies") > 1) & (F.octet_length("text") >= length)).select(
         "key", F.octet_length("text").cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
         F.lit(hashlib.sha256().hexdigest()).alias("kept_sha256"))
