@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoalgrid.llm import quality, simhash, suffix
+from shoalgrid.llm import lines, lm, mixing, pii, quality, simhash, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +38,23 @@ def op6(spark, sf):
 @query("op1_quality_rules")
 def op1(spark, sf):
     return quality.quality_rows(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op7_pii")
+def op7(spark, sf):
+    return pii.personal_data(table(spark, sf, "documents"))
+
+
+@query("op8_lm_scoring")
+def op8(spark, sf):
+    return lm.score_texts(table(spark, sf, "documents"))
+
+
+@query("op4_line_dedup", lines.SQL)
+def op4(spark, sf):
+    return lines.dedup_lines(table(spark, sf, "documents")).select("doc_id", "text", "line_counts.n_lines", "line_counts.n_removed")
+
+
+@query("op10_source_mixing", mixing.SQL)
+def op10(spark, sf):
+    return mixing.mix(table(spark, sf, "documents"))
