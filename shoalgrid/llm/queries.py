@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoalgrid.llm import lines, lm, mixing, pii, quality, simhash, suffix
+from shoalgrid.llm import lines, lm, mixing, packing, pii, quality, simhash, suffix, warc
+from shoalgrid.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +59,15 @@ def op4(spark, sf):
 @query("op10_source_mixing", mixing.SQL)
 def op10(spark, sf):
     return mixing.mix(table(spark, sf, "documents"))
+
+
+@query("op5_best_fit_packing")
+def op5(spark, sf):
+    return packing.pack(table(spark, sf, "documents"))
+
+
+@query("op3_warc", warc.SQL)
+def op3(spark, sf):
+    path = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf, "pages"), path)
+    return warc.page_facts(warc.read_warc(spark, path))
