@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoalgrid.llm import lines, lm, mixing, packing, pii, quality, simhash, suffix, warc
+from shoalgrid.llm import ann, lines, lm, mixing, packing, pii, quality, simhash, suffix, warc
 from shoalgrid.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op3(spark, sf):
     path = scratch_path(spark, "warc")
     warc.write_warc(table(spark, sf, "pages"), path)
     return warc.page_facts(warc.read_warc(spark, path))
+
+
+@query("op2_nearest_neighbours")
+def op2(spark, sf):
+    return ann.neighbours(table(spark, sf, "embeddings"))
