@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from shoalgrid.llm.common import SPACES, chunks, map_arrow, text_of, texts_of
 
 #: Most labelled rows that the model is fitted on.
-SAMPLE = 3000
+SAMPLE = 1500
 #: Documents with a lower calibrated probability of good quality are rejected.
 THRESHOLD = 0.5
 MIN_WORDS = 10
@@ -188,28 +188,29 @@ def fit(labels: np.ndarray, buckets: list[np.ndarray], amounts: list[np.ndarray]
     if len(labels) < 8 or not 0 < labels.sum() < len(labels):
         return None
     held = np.arange(len(labels)) % 4 == 3
-    if not 0 < labels[~held].sum() < (~held).sum():
+    order = np.argsort(held, kind="stable")  # the rows to learn from, then those to calibrate on
+    labels, learnt = labels[order], int((~held).sum())
+    if not 0 < labels[:learnt].sum() < learnt:
         return None
     size = (1 + len(GRAMS)) << BITS
-    count = np.array([len(x) for x in buckets])
+    count = np.array([len(buckets[i]) for i in order])
     row = np.repeat(np.arange(len(labels)), count)
-    at, value = np.concatenate(buckets), np.concatenate(amounts).astype(np.float64)
-    learnt = ~held[row]
-    r, a, v = row[learnt], at[learnt], value[learnt]
-    share = labels[~held].mean()
-    balance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
-    w, bias = np.zeros(size), 0.0
+    at, value = np.concatenate([buckets[i] for i in order]).astype(np.int64), np.concatenate([amounts[i] for i in order])
+    cut = int(count[:learnt].sum())
+    r, a, v, y = row[:cut], at[:cut], value[:cut], labels[:learnt]
+    balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / learnt
+    w, bias = np.zeros(size, dtype=np.float32), 0.0
     m, s = np.zeros(size), np.zeros(size)
     for step in range(1, rounds + 1):
-        z = np.bincount(r, weights=w[a] * v, minlength=len(labels)) + bias
-        error = np.where(held, 0.0, balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels)) / (~held).sum()
+        z = np.bincount(r, weights=w[a] * v, minlength=learnt) + bias
+        error = (balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)).astype(np.float32)
         g = np.bincount(a, weights=error[r] * v, minlength=size) + 1e-6 * w
         m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
-        w -= 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-8)
-        bias -= 0.5 * error.sum()
-    z = np.bincount(row, weights=w[at] * value, minlength=len(labels))
-    slope, offset = platt(z[held], labels[held]) if 0 < labels[held].sum() < held.sum() else (1.0, bias)
-    return w.astype(np.float32), slope, offset
+        w -= (0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
+        bias -= 0.5 * float(error.sum())
+    z, y = np.bincount(row[cut:], weights=w[at[cut:]] * value[cut:], minlength=len(labels))[learnt:], labels[learnt:]
+    slope, offset = platt(z, y) if 0 < y.sum() < len(y) else (1.0, bias)
+    return w, slope, offset
 
 
 def platt(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
