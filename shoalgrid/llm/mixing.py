@@ -17,7 +17,7 @@ copies; an empty table gives an empty result; other columns are kept, whatever t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoalgrid.llm.common import stage
@@ -30,13 +30,19 @@ def _uniform(*parts) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def poisson_steps(rate: Column) -> Column:
-    """Distribution function of a Poisson variable at 0, 1, ... until it is 1 in double precision; rate 0 gives [1]."""
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
-    log_factorial = lambda k: F.aggregate(F.sequence(F.lit(1), F.greatest(k, F.lit(1))), F.lit(0.0), lambda t, i: t + F.log(i.cast("double")))
-    terms = F.transform(F.sequence(F.lit(0), last), lambda k: F.exp(k * F.log(rate) - rate - log_factorial(k)))
-    sums = F.transform(F.sequence(F.lit(1), last + 1), lambda n: F.aggregate(F.slice(terms, 1, n), F.lit(0.0), lambda t, x: t + x))
-    return F.when(rate > 0, sums).otherwise(F.array(F.lit(1.0)))
+def poisson_steps(rates: DataFrame) -> DataFrame:
+    """(source, steps) of (source, rate): the distribution function at 0, 1, ... until it is 1 in double precision.
+
+    As long as the rate, so in all no longer than the copies to be made; rate 0 gives [1].
+    """
+    last = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 40).cast("int")
+    every = rates.select("source", "rate", F.explode(F.sequence(F.lit(0), last)).alias("k"))
+    up_to = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    log_factorial = F.sum(F.log(F.greatest("k", F.lit(1)).cast("double"))).over(up_to)
+    term = F.when(F.col("rate") > 0, F.exp(F.col("k") * F.log("rate") - F.col("rate") - log_factorial)).otherwise((F.col("k") == 0).cast("double"))
+    below = every.withColumn("term", term).withColumn("below", F.sum("term").over(up_to))
+    listed = below.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("k", "below"))).alias("steps"))
+    return listed.select("source", F.transform("steps", lambda x: x["below"]).alias("steps"))
 
 
 def source_rates(docs: DataFrame, weights: dict[str, float] | None, budget: float, source_column: str, text_column: str) -> DataFrame:
@@ -58,7 +64,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, budget: float
         source_column: str = "source", text_column: str = "text") -> DataFrame:
     """Copies of the documents in random order, with ``copy`` (from 1); ``budget`` is the mass wanted over the mass given."""
     rates = source_rates(docs, weights, budget, source_column, text_column)
-    steps = stage(rates.select(F.struct("source").alias("__source"), poisson_steps(F.col("rate")).alias("__steps")), "steps")
+    steps = stage(poisson_steps(rates).select(F.struct("source").alias("__source"), F.col("steps").alias("__steps")), "steps")
     key = [F.lit(str(seed)), F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text_column), F.lit("")).cast("binary"))]
     packed = docs.select(F.struct("*").alias("__doc"), F.struct(F.col(source_column).alias("source")).alias("__source"), F.concat_ws("|", *key).alias("__key"))
     found = packed.join(steps, "__source")
