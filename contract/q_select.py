@@ -67,11 +67,14 @@ def p7(spark, sf):
 
 
 def mixed_geometries(spark, sf):
-    """Polygons, with points and lines (headers in both byte orders) for two of the kinds."""
+    """Polygons, with points and lines for two of the kinds: both byte orders, and type codes with Z, M or SRID."""
     point = F.unhex(F.lit("0101000000" + "00" * 16))
     line = F.unhex(F.lit("000000000200000000"))
+    # polygon headers: ISO Z, M and ZM, flagged Z with SRID, and big-endian ones
+    heads = ["01EB030000", "01D3070000", "01BB0B0000", "01030000A0E6100000", "00000003EB", "0080000003", "01030000C0"]
+    empty = F.element_at(F.array(*[F.unhex(F.lit(h + "00000000")) for h in heads]), (F.col("feature_id") % len(heads) + 1).cast("int"))
     return part_polygons(spark, sf).withColumn(
-        "geometry", F.when(F.col("size") < 10, point).when(F.col("size") < 20, line).otherwise(F.col("geometry"))
+        "geometry", F.when(F.col("size") < 10, point).when(F.col("size") < 20, line).when(F.col("size") < 35, empty).otherwise(F.col("geometry"))
     )
 
 

@@ -10,19 +10,22 @@ from shoalgrid.sinks.writers import write_features, write_geo_features
 from shoalgrid.sources import catalogue as cat
 from shoalgrid.sources import features as src
 
-# One tree per layer with leaves at depth 1 to 4 and one leaf without id.
+# One tree per layer with leaves at depth 1 to 4 and 12, one leaf without id, and one id that comes twice.
 INPUTS["trees"] = ("""
 SELECT pos, '{"layerCatalog":{"children":[{"name":"' || thematic_lot || '","children":['
  || '{"displayName":"top","id":"' || id || '-1","name":"' || name || '"},'
  || '{"displayName":"' || subtheme || '","children":[{"displayName":"second","id":9' || id || '},'
  || '{"displayName":"' || subsubtheme || '","children":[{"displayName":"third","id":"' || id || '-3"},'
  || '{"displayName":"deep","children":[{"displayName":"fourth","id":"' || id || '-4"}]},{"displayName":"none","name":"no id"}]}]}'
+ || ',' || repeat('{"displayName":"down","children":[', 10) || '{"displayName":"far","id":"' || id || '-12"}' || repeat(']}', 10)
+ || ',{"displayName":"second","id":"' || id || '-1","name":"again"}'
  || ']},{"name":"bare lot"}]}}' AS json FROM (""" + INPUTS["layers"] + ") l")
 
 _TREE_ROWS = """
 SELECT pos * 4294967296 + leaf.at AS pos, thematic_lot, leaf.sub AS subtheme, leaf.subsub AS subsubtheme, leaf.id AS id
 FROM (SELECT *, unnest([
-  {'at': 0, 'sub': 'top', 'subsub': '', 'id': id || '-1'},
+  {'at': 0, 'sub': 'second', 'subsub': '', 'id': id || '-1'},
+  {'at': 5, 'sub': 'down', 'subsub': 'down', 'id': id || '-12'},
   {'at': 1, 'sub': subtheme, 'subsub': 'second', 'id': '9' || id},
   {'at': 2, 'sub': subtheme, 'subsub': subsubtheme, 'id': id || '-3'},
   {'at': 3, 'sub': subtheme, 'subsub': subsubtheme, 'id': id || '-4'},

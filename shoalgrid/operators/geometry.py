@@ -24,8 +24,10 @@ _BOUNDS = T.StructType([T.StructField(n, T.DoubleType()) for n in ("xmin", "ymin
 def _header(buf: bytes, at: int) -> tuple[str, int, int, int]:
     order = "<" if buf[at] == 1 else ">"
     (code,) = struct.unpack_from(order + "I", buf, at + 1)
-    extra = {0: 0, 1: 1, 2: 1, 3: 2}[code // 1000]
-    return order, code % 1000, 2 + extra, at + 5
+    # Z, M and SRID as flag bits of the code, or Z and M as thousands
+    flags, plain = code >> 28, code & 0x0FFFFFFF
+    extra = {0: 0, 1: 1, 2: 1, 3: 2}[plain // 1000] or (flags >> 3 & 1) + (flags >> 2 & 1)
+    return order, plain % 1000, 2 + extra, at + (9 if flags & 2 else 5)
 
 
 def _points(buf: bytes, at: int, order: str, dims: int, count: int) -> tuple[np.ndarray, int]:

@@ -32,12 +32,19 @@ def omit_lots(df: DataFrame, lots: list[str]) -> DataFrame:
 
 
 def geometry_kind(geometry: Column) -> Column:
-    """Name of the geometry type in the WKB header, in either byte order."""
+    """Name of the geometry type in the WKB header, in either byte order, with or without Z, M or SRID.
+
+    Extra dimensions come as thousands (ISO) or as the highest bits of the code; both are taken off.
+    """
     head = F.hex(F.substring(geometry, 1, 5))
+    code = F.substring(head, 3, 8)
+    turned = F.concat(*[F.substring(head, i, 2) for i in (9, 7, 5, 3)])
+    number = F.conv(F.when(head.startswith("01"), turned).when(head.startswith("00"), code), 16, 10).cast("long")
+    plain = number.bitwiseAND(F.lit(0x0FFFFFFF))
+    kind = F.when(plain < 4000, plain % 1000)
     out = F.lit(None).cast("string")
-    for code, name in WKB_KINDS.items():
-        forms = [f"01{code:02X}000000", f"00000000{code:02X}"]
-        out = F.when(head.isin(forms), F.lit(name)).otherwise(out)
+    for known, name in WKB_KINDS.items():
+        out = F.when((F.length(head) == 10) & (kind == known), F.lit(name)).otherwise(out)
     return out
 
 

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from shoalgrid.operators.columns import apply_mapping
 from shoalgrid.operators.geometry import with_bounds
 from shoalgrid.operators.grid import TILE, grid_chunks
 
-# Fixed value: below this number of rows a compact one-file copy is made.
-COMPACT_ROWS = 10_000_000
-
 
 def balanced(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of one folder together, so that a folder gets few files; large folders are split evenly."""
@@ -41,12 +38,9 @@ def write_geo_features(df: DataFrame, path: str, source_crs: str, geometry: str
     geo.write.parquet(f"{path}_geo")
 
 
-def write_compact(df: DataFrame, path: str, limit: int = COMPACT_ROWS) -> bool:
-    """One-file copy of a table with fewer than ``limit`` rows; larger tables stay partitioned."""
-    if df.count() >= limit:
-        return False
-    df.coalesce(1).write.option("compression", "snappy").parquet(path)
-    return True
+def write_compact(df: DataFrame, path: str) -> None:
+    """Copy in as few files as the advisory partition size allows: one for a small table, even ones for a large one."""
+    df.hint("rebalance").write.option("compression", "snappy").parquet(path)
 
 
 def write_renamed(df: DataFrame, folder: str, title: str, mapping: dict[str, str], ending: str = "_renamed") -> str:
@@ -64,8 +58,8 @@ def write_grid(grid: DataFrame, path: str, attributes: DataFrame | None = None,
 
 
 def write_snapshot(layers: DataFrame, path: str, snapshot: str) -> None:
-    """State of the layers as JSON lines below ``snapshot=<name>``."""
-    layers.withColumn("snapshot", F.lit(snapshot)).write.mode("append").partitionBy("snapshot").json(path)
+    """State of the layers as JSON lines below ``snapshot=<name>``; a repeated run replaces that folder only."""
+    _replacing(layers.withColumn("snapshot", F.lit(snapshot)), "snapshot").json(path)
 
 
 def write_documents(df: DataFrame, path: str, hierarchy: list[str]) -> None:
@@ -81,5 +75,9 @@ def write_report(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def write_backup(df: DataFrame, path: str, snapshot_date: str) -> None:
-    """Dated copy of a published table."""
-    df.withColumn("snapshot_date", F.lit(snapshot_date)).write.mode("append").partitionBy("snapshot_date").parquet(path)
+    """Dated copy of a published table; a repeated run replaces the copy of that day only."""
+    _replacing(df.withColumn("snapshot_date", F.lit(snapshot_date)), "snapshot_date").parquet(path)
+
+
+def _replacing(df: DataFrame, folder: str) -> DataFrameWriter:
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(folder)

@@ -5,22 +5,18 @@ Documents come as one row each (``spark.read.text(path, wholetext=True)`` or a c
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoalgrid.session import scratch_path
+
 LAYER_FIELDS = """id string, name string, defaultTitle string,
  metadataSources array<struct<metadata_type:string,metadata_value:string>>,
  temporalDatesExtent string"""
 
 
-def _node_fields(depth: int, leaf_fields: str) -> str:
-    fields = ", ".join(f.strip().replace(" ", ":", 1) for f in _split(leaf_fields))
-    node = f"struct<displayName:string,{fields}>"
-    for _ in range(depth - 1):
-        node = f"struct<displayName:string,{fields},children:array<{node}>>"
-    return node
-
-
 def _split(fields: str) -> list[str]:
     out, level, start = [], 0, 0
     for i, ch in enumerate(fields):
@@ -31,45 +27,56 @@ def _split(fields: str) -> list[str]:
     return [f for f in [*out, fields[start:]] if f.strip()]
 
 
-def flatten_layer_tree(
-    documents: DataFrame, json: str, doc_pos: str, leaf_fields: str = LAYER_FIELDS, max_depth: int = 6
-) -> DataFrame:
-    """One row per layer of a tree, in tree order, with the names of its lot and first two levels.
+def flatten_layer_tree(documents: DataFrame, json: str, doc_pos: str, leaf_fields: str = LAYER_FIELDS) -> DataFrame:
+    """One row per layer of a tree of any depth, in tree order, with the names of its lot and first two levels.
 
     A layer right below its lot has its own name as subtheme; one level down, as subsubtheme.
-    ``pos`` = document number and place in the document. Layers without id keep a null id.
+    ``pos`` = document number and place in the document. Layers without id keep a null id; of layers of
+    a document with the same id the last one counts, at the place of the first. The tree is taken apart
+    level by level, each node a row of its own, so neither its depth nor its size is bound to one task.
     """
     names = [f.strip().split(" ", 1)[0] for f in _split(leaf_fields)]
-    lot_type = f"struct<name:string,children:array<{_node_fields(max_depth, leaf_fields)}>>"
-    schema = f"struct<layerCatalog:struct<children:array<{lot_type}>>>"
-
-    def leaves(nodes: Column, depth: int, sub: Column, subsub: Column) -> Column:
-        def one(node: Column) -> Column:
-            own = F.coalesce(node["displayName"], F.lit(""))
-            s = own if depth == 1 else sub
-            ss = F.lit("") if depth == 1 else own if depth == 2 else subsub
-            leaf = F.array(F.struct(
-                s.alias("subtheme"), ss.alias("subsubtheme"), *[node[n].alias(n) for n in names]
-            ))
-            if depth == max_depth:
-                return leaf
-            below = node["children"]
-            return F.when(below.isNull(), leaf).otherwise(leaves(below, depth + 1, s, ss))
-
-        return F.flatten(F.transform(nodes, one))
-
-    lots = F.filter(F.from_json(F.col(json), schema)["layerCatalog"]["children"], lambda t: t["children"].isNotNull())
-    per_lot = F.transform(
-        lots,
-        lambda lot: F.transform(
-            leaves(lot["children"], 1, F.lit(""), F.lit("")),
-            lambda leaf: leaf.withField("thematic_lot", F.coalesce(lot["name"], F.lit(""))),
-        ),
-    )
-    return documents.select(doc_pos, F.posexplode(F.flatten(per_lot)).alias("__at", "leaf")).select(
-        (F.shiftleft(F.col(doc_pos).cast("long"), 32) + F.col("__at")).alias("pos"),
-        "leaf.thematic_lot", "leaf.subtheme", "leaf.subsubtheme", *[F.col(f"leaf.{n}").alias(n) for n in names],
-    )
+    node_type = "struct<displayName:string," + ", ".join(f.strip().replace(" ", ":", 1) for f in _split(leaf_fields)) + ",children:array<string>>"
+    lot = F.from_json("lot", "struct<name:string,children:array<string>>")
+    trees = F.from_json(F.col(json), "struct<layerCatalog:struct<children:array<string>>>")["layerCatalog"]["children"]
+    lots = documents.select(F.col(doc_pos).cast("long").alias("doc"), F.posexplode(trees).alias("at", "lot")).hint("rebalance")
+    level = lots.select("doc", F.array("at").alias("path"), lot.alias("lot")).select(
+        "doc", "path", F.coalesce("lot.name", F.lit("")).alias("thematic_lot"), F.lit("").alias("subtheme"), F.lit("").alias("subsubtheme"),
+        F.posexplode("lot.children").alias("at", "node"))
+    depth, found = 1, []
+    while True:
+        own = F.coalesce(F.col("n.displayName"), F.lit(""))
+        nodes = _staged(level, f"tree-{depth}").withColumn("n", F.from_json("node", node_type)).select(
+            "doc", F.concat("path", F.array("at")).alias("path"), "thematic_lot", own.alias("subtheme") if depth == 1 else F.col("subtheme"),
+            own.alias("subsubtheme") if depth == 2 else F.col("subsubtheme"), "n")
+        found.append(nodes.where("n.children is null").select(
+            "doc", "path", "thematic_lot", "subtheme", "subsubtheme", *[F.col(f"n.{x}").alias(x) for x in names]))
+        level = nodes.select("doc", "path", "thematic_lot", "subtheme", "subsubtheme", F.posexplode("n.children").alias("at", "node"))
+        if level.isEmpty():
+            break
+        depth += 1
+    leaves = _numbered(reduce(DataFrame.unionByName, found))
+    # of equal ids the last one, at the place of the first
+    places = leaves.where("id is not null").groupBy("doc", "id").agg(F.min("pos").alias("first"), F.max("pos").alias("pos"))
+    last = leaves.join(places.select("doc", "pos", "first"), ["doc", "pos"], "left").where("id is null or first is not null")
+    return last.select(F.coalesce("first", "pos").alias("pos"), "thematic_lot", "subtheme", "subsubtheme", *names)
+
+
+def _staged(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _numbered(leaves: DataFrame) -> DataFrame:
+    """``pos`` from the place of ``path`` within its document: a global sort, then counts per sorted part."""
+    ordered = _staged(leaves.orderBy("doc", "path").withColumn("row", F.monotonically_increasing_id()), "leaves")
+    part, place = F.shiftright("row", 33), F.col("row").bitwiseAND(F.lit((1 << 33) - 1))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # one row per sorted part
+    starts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select("part", F.coalesce(before, F.lit(0)).alias("start"))
+    ranked = ordered.withColumn("part", part).join(starts, "part").withColumn("rank", F.col("start") + place)
+    heads = ranked.groupBy("doc").agg(F.min("rank").alias("head"))
+    return ranked.join(heads, "doc").withColumn("pos", F.shiftleft("doc", 32) + F.col("rank") - F.col("head")).drop("path", "row", "part", "start", "rank", "head")
 
 
 def with_id(layers: DataFrame) -> DataFrame:

@@ -109,6 +109,24 @@ def test_geometry_kinds(spark):
     assert with_bounds(df).filter("feature_id = 1").select("xmax", "ymax").first() == (1.0, 3.0)
 
 
+def test_more_dimensions_and_srid(spark):
+    """ISO and flagged codes in both byte orders: one square each, read as in two dimensions."""
+    square = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (0.0, 0.0)]
+    flat = {(*a, *b) for a, b in zip(square, square[1:])}
+    blobs = []
+    for order in "<>":
+        for code, dims, srid in ((1003, 3, 0), (2003, 3, 0), (3003, 4, 0), (0x80000003, 3, 0), (0x40000003, 3, 0), (0xC0000003, 4, 0), (0x20000003, 2, 1), (0xA0000003, 3, 1)):
+            head = struct.pack(order + "BI", order == "<", code) + (struct.pack(order + "I", 4326) if srid else b"")
+            body = b"".join(struct.pack(order + f"{dims}d", *p, *[7.0] * (dims - 2)) for p in square)
+            blobs.append(head + struct.pack(order + "II", 1, len(square)) + body)
+    df = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(blobs)], "feature_id long, geometry binary")
+    assert polygons_only(df).count() == len(blobs)
+    assert {r["geom_type"] for r in geometry_kinds(df).collect()} == {"Polygon"}
+    edges = polygon_edges(df).collect()
+    assert {(r["ax"], r["ay"], r["bx"], r["by"]) for r in edges} == flat and len(edges) == 4 * len(blobs)
+    assert with_bounds(df).filter("xmax = 2 and ymin = 0").count() == len(blobs)
+
+
 def square_at(x, y, size):
     return [(x, y), (x + size, y), (x + size, y + size), (x, y + size), (x, y)]
 

@@ -61,6 +61,15 @@ def test_tree_of_four_depths(spark):
     assert tuples(cat.without_id(tree), "pos", "subtheme") == [(4, "lost")]
 
 
+def test_repeated_ids_and_any_depth(spark):
+    chain = '{"displayName":"d","children":[' * 30 + '{"displayName":"leaf","id":"deep"}' + "]}" * 30
+    doc = f'''{{"layerCatalog":{{"children":[{{"name":"lot","children":[{{"displayName":"x","id":"a","name":"first"}},{{"displayName":"y","id":"b"}},
+      {{"displayName":"z","id":"a","name":"last"}},{chain}]}}]}}}}'''
+    tree = cat.flatten_layer_tree(spark.createDataFrame([(3, doc), (4, doc)], "d long, j string"), "j", "d").where("pos < 4l << 32")
+    assert tuples(tree.orderBy("pos"), "pos", "id", "subtheme", "name") == [
+        ((3 << 32), "a", "z", "last"), ((3 << 32) + 1, "b", "y", None), ((3 << 32) + 3, "deep", "d", None)]
+
+
 def test_saved_catalogue_in_both_forms(spark):
     docs = [(0, '[{"id": 7, "name": "a"}]'), (1, '{"8": {"name": "b", "id": 1}}')]
     read = cat.read_catalog(spark.createDataFrame(docs, "d long, j string"), "j", "d")
@@ -176,12 +185,19 @@ def test_records_and_manifest_of_a_folder(spark):
     assert files.columns == ["path", "modified", "size"] and files.count() >= 1
 
 
-def test_compact_copy_only_below_the_limit(spark):
-    df = spark.range(100)
+def test_compact_copy_of_a_small_table_is_one_file(spark):
     path = scratch_path(spark, "compact")
-    assert not w.write_compact(df, path, limit=100)
-    assert w.write_compact(df, path, limit=101)
-    assert len(spark.read.parquet(path).inputFiles()) == 1
+    w.write_compact(spark.range(0, 100, 1, 7), path)
+    stored = spark.read.parquet(path)
+    assert len(stored.inputFiles()) == 1 and stored.count() == 100
+
+
+def test_repeated_backup_and_snapshot_leave_one_copy(spark):
+    path, layers = scratch_path(spark, "again"), spark.range(5)
+    for day in ("a", "b", "a"):
+        w.write_backup(layers, f"{path}/b", day)
+        w.write_snapshot(layers, f"{path}/s", day)
+    assert spark.read.parquet(f"{path}/b").count() == 10 and spark.read.json(f"{path}/s").count() == 10
 
 
 def test_report_is_csv_with_header(spark):
