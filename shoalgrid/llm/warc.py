@@ -200,7 +200,8 @@ def read_warc(spark: SparkSession, path: str, split: int = SPLIT) -> DataFrame:
     """Every record of the ``*.warc.gz`` archives below ``path``, read in byte ranges of ``split``."""
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(path).select("path", "length").where("length > 0")
     ranges = archives.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split).cast("long"))).alias("start"), F.lit(split).cast("long").alias("split"))
-    return map_arrow(ranges.repartition("path", "start"), _reader, RECORD)
+    tasks = max(ranges.count(), 1)  # one range each; a fixed number, so that adaptive execution does not put them together
+    return map_arrow(ranges.repartition(tasks), _reader, RECORD)
 
 
 def page_facts(records: DataFrame) -> DataFrame:
