@@ -1,6 +1,6 @@
 """Quality rules: counts of a text, and a hashed n-gram logistic regression with calibrated probabilities.
 
-Features are the relative frequencies of hashed words and of hashed 3-, 4- and 5-byte grams. The model
+Features are the relative frequencies of hashed words and of hashed 3- and 4-byte grams. The model
 is fitted in numpy on a bounded sample of the labelled rows (``SAMPLE`` rows with the least hash of
 their id); a quarter of the sample is kept out of the fit and calibrates the score (Platt's method).
 All texts are then scored in Arrow batches: one pass of array operations over the bytes of a batch.
@@ -30,7 +30,7 @@ THRESHOLD = 0.5
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 BITS = 16
-GRAMS = (3, 4, 5)
+GRAMS = (3, 4)
 SYMBOLS = b"#*$%&|<>"
 _SCALE = 30.0
 
@@ -152,7 +152,7 @@ class Batch:
         value = np.bincount(place, weights=weight, minlength=len(key))
         ends = np.searchsorted(key, np.arange(1, self.count + 1) * np.int64((1 + len(GRAMS)) << BITS))
         parts = np.split(np.arange(len(key)), ends[:-1])
-        return [((key[p] & ((1 << (BITS + 2)) - 1)).astype(np.int32), value[p].astype(np.float32)) for p in parts]
+        return [((key[p] % ((1 + len(GRAMS)) << BITS)).astype(np.int32), value[p].astype(np.float32)) for p in parts]
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
         """Sum over the features of each document, without making them: means of looked-up weights."""
