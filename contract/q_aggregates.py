@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from contract.geo import BURN_SQL, part_bounds
+from contract.geo import BURN_SQL, part_bounds, part_spec
 from contract.registry import INPUTS, made, query, table
 from contract.q_catalogue import ITEMS_SQL, items
-from contract.q_select import LABELLED, coded_grid, mixed_geometries
+from contract.q_select import coded_grid, mixed_geometries
 from shoalgrid.operators import columns as c
 from shoalgrid.operators import extents as x
 from shoalgrid.operators import grid as g
@@ -40,10 +40,16 @@ def a4(spark, sf):
     return x.grid_space_extent(made(spark, sf, "readings"))
 
 
-@query("a5_variable_extent", f"""{BURN_SQL},{LABELLED} SELECT v.variable, min(latitude) AS geospatial_lat_min, max(latitude) AS geospatial_lat_max,
- min(longitude) AS geospatial_lon_min, max(longitude) AS geospatial_lon_max FROM places, (VALUES ('price'), ('kind')) v(variable) GROUP BY 1""", ("corners",))
+@query("a5_variable_extent", f"""{BURN_SQL} SELECT v.variable, round(y0, 4) AS geospatial_lat_min, round(y1, 4) AS geospatial_lat_max,
+ round(x0, 4) AS geospatial_lon_min, round(x1, 4) AS geospatial_lon_max FROM s, (VALUES ('price'), ('kind')) v(variable)""", ("corners",))
 def a5(spark, sf):
-    return x.variable_extent(coded_grid(spark, sf)[0])
+    return x.variable_extent(coded_grid(spark, sf)[0], part_spec(spark, sf))
+
+
+@query("a6_frame_attributes", f"""{BURN_SQL} SELECT 4326 AS epsg, least((round(y1, 4) - round(y0, 4)) / height, (round(x1, 4) - round(x0, 4)) / width) AS resolution,
+ round(y0, 4) AS geospatial_latitude_min, round(y1, 4) AS geospatial_latitude_max, round(x0, 4) AS geospatial_longitude_min, round(x1, 4) AS geospatial_longitude_max, 'parts' AS title FROM s""", ("corners",))
+def a6_frame(spark, sf):
+    return x.dataset_attributes(coded_grid(spark, sf)[0], "parts", "lot", "asset", "2024-05-01", part_spec(spark, sf)).drop("history", "comment", "sources")
 
 
 @query("a6_axis_statistics", """SELECT 4326 AS epsg, least(la, lo) AS resolution, geospatial_latitude_min, geospatial_latitude_max, geospatial_longitude_min, geospatial_longitude_max,

@@ -82,11 +82,13 @@ def c1(spark, sf):
     return cat.families(cat_layers(spark, sf))
 
 
-@query("c2_collections", f"""{ITEMS_SQL}, f AS (SELECT family, collection, arg_min(variable, (pos, item_pos)) AS title, arg_min(thematic_lot, (pos, item_pos)) AS provider FROM items_ GROUP BY ALL)
+@query("c2_collections", f"""{ITEMS_SQL}, f AS (SELECT family, collection, arg_min(variable, (pos, item_pos)) AS title, arg_min(thematic_lot, (pos, item_pos)) AS provider FROM made_ GROUP BY ALL)
 SELECT f.*, 'A collection of ' || title || ' data' AS description, 'CC-BY-4.0+' AS licence, min(west) AS west, max(north) AS north, count(*) AS items FROM f JOIN items_ USING (family, collection) GROUP BY ALL""", ("cat_layers", "names"))
 def c2(spark, sf):
-    return cat.collections(items(spark, sf)).select(
-        "family", "collection", "title", F.col("providers")[0]["name"].alias("provider"), "description", "licence", "west", "north", "items"
+    every = made_items(spark, sf)
+    every = every.withColumn("layer_providers", F.concat("layer_providers", "layer_providers"))  # each name twice
+    return cat.collections(cat.newest_items(every), every).select(
+        "family", "collection", "title", F.array_join(F.transform("providers", lambda p: p["name"]), ",").alias("provider"), "description", "licence", "west", "north", "items"
     )
 
 

@@ -162,9 +162,9 @@ def f10(spark, sf):
 
 
 @query("f11_record_links", """SELECT id, 'https://g.example.org/srv/api/records/' || id || '/formatters/xml' AS xml_link,
- 'https://g.example.org/csw?request=GetRecordById&service=CSW&version=2.0.2&elementSetName=full&id=' || id AS csw_link FROM layers""", ("layers",))
+ 'https://c.example.org/srv/en/csw?request=GetRecordById&service=CSW&version=2.0.2&elementSetName=full&id=' || id AS csw_link FROM layers""", ("layers",))
 def f11(spark, sf):
-    links = t.record_links(F.col("id"), "https://g.example.org")
+    links = t.record_links(F.col("id"), "https://g.example.org", "https://c.example.org/srv/en")
     return made(spark, sf, "layers").select("id", links[0].alias("xml_link"), links[1].alias("csw_link"))
 
 

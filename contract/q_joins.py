@@ -44,7 +44,7 @@ INPUTS["mapped_state"] = f"""
 SELECT id, native_asset, 'Depth' AS arco_b, 'zone' AS arco_a, pos % 12 = 4 AS bare FROM ({INPUTS['layers']}) l"""
 
 
-@query("j4_reuse_converted_assets", """SELECT l.id, CASE WHEN l.native_asset IS NOT DISTINCT FROM s.native_asset AND l.arco_a = s.arco_a AND NOT s.bare
+@query("j4_reuse_converted_assets", """SELECT l.id, CASE WHEN l.native_asset = s.native_asset AND l.arco_a = s.arco_a AND NOT s.bare
  THEN 'https://s3.example.org/' || l.id || '.zarr,https://s3.example.org/' || l.id || '.parquet' ELSE '' END AS converted
  FROM mapped_layers l LEFT JOIN mapped_state s ON l.id = s.id""", ("mapped_layers", "mapped_state"))
 def j4(spark, sf):
@@ -224,8 +224,8 @@ def u2(spark, sf):
     return ex.only_remote(made(spark, sf, "local_files"), made(spark, sf, "remote_files"))
 
 
-@query("u3_extend_names", """SELECT convention, standard_name, variable_family, file FROM names UNION ALL
-SELECT 'local', lower(subsubtheme), lower(arg_min(subtheme, pos)), 'local_standard_names.json' FROM layers
+@query("u3_extend_names", """SELECT convention, standard_name, description, canonical_units, amip, grib, variable_family, file FROM names UNION ALL
+SELECT 'local', lower(subsubtheme), '', '', '', '', lower(arg_min(subtheme, pos)), 'local_standard_names.json' FROM layers
  WHERE lower(subsubtheme) NOT IN (SELECT standard_name FROM names) GROUP BY lower(subsubtheme)""", ("layers", "names"))
 def u3(spark, sf):
     rows = made(spark, sf, "layers").select("pos", F.col("subsubtheme").alias("variable"), F.lower("subtheme").alias("family"))

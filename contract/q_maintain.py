@@ -37,14 +37,18 @@ def m2(spark, sf):
     return m.set_download_url(made(spark, sf, "metadata"), made(spark, sf, "updates"))
 
 
-@query("m3_upsert_product", """WITH n AS (SELECT id, arg_max(data_product, pos) AS v FROM updates WHERE data_product IS NOT NULL GROUP BY id), o AS (SELECT * FROM metadata WHERE metadata_type = 'product_info')
-SELECT coalesce(fk_gislayer_id, id) AS fk_gislayer_id, metadata_value AS old_value, coalesce(v, metadata_value) AS metadata_value,
- CASE WHEN v IS NULL THEN 'keep' WHEN fk_gislayer_id IS NULL THEN 'insert' WHEN v = metadata_value THEN 'same' ELSE 'update' END AS action FROM o FULL JOIN n ON id = fk_gislayer_id""", ("metadata", "updates"))
+_COMPLETE = "data_product IS NOT NULL AND native_variable IS NOT NULL AND arco_variable IS NOT NULL"
+
+
+@query("m3_upsert_product", f"""WITH n AS (SELECT id, arg_max(data_product, pos) AS v FROM updates WHERE {_COMPLETE} GROUP BY id)
+SELECT fk_gislayer_id, metadata_type, metadata_value AS old_value, CASE WHEN metadata_type = 'product_info' THEN coalesce(v, metadata_value) ELSE metadata_value END AS metadata_value,
+ CASE WHEN v IS NULL OR metadata_type <> 'product_info' THEN 'keep' WHEN v = metadata_value THEN 'same' ELSE 'update' END AS action FROM metadata LEFT JOIN n ON id = fk_gislayer_id
+UNION ALL SELECT id, 'product_info', NULL, v, 'insert' FROM n WHERE id NOT IN (SELECT fk_gislayer_id FROM metadata WHERE metadata_type = 'product_info')""", ("metadata", "updates"))
 def m3(spark, sf):
-    return m.upsert_product(made(spark, sf, "metadata"), made(spark, sf, "updates"), "product_info").drop("metadata_type")
+    return m.upsert_product(made(spark, sf, "metadata"), made(spark, sf, "updates"), "product_info")
 
 
-@query("m4_upsert_variables", """WITH n AS (SELECT id, native_variable, arg_max(arco_variable, pos) AS v FROM updates WHERE coalesce(arco_variable, '') <> '' GROUP BY ALL)
+@query("m4_upsert_variables", f"""WITH n AS (SELECT id, native_variable, arg_max(arco_variable, pos) AS v FROM updates WHERE coalesce(arco_variable, '') <> '' AND id IN (SELECT id FROM updates WHERE {_COMPLETE}) GROUP BY ALL)
 SELECT coalesce(gislayer_fk, id) AS gislayer_fk, coalesce(name, native_variable) AS name, coalesce(v, name_custom) AS name_custom,
  CASE WHEN v IS NOT NULL AND coalesce(name_custom, '') = '' THEN 0 ELSE visible END AS "show", CASE WHEN v IS NOT NULL AND v IS DISTINCT FROM name_custom THEN 1 ELSE export_stac END AS export_stac,
  CASE WHEN v IS NULL THEN 'keep' WHEN coalesce(name_custom, '') = '' THEN 'insert' WHEN v = name_custom THEN 'same' ELSE 'update' END AS action

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from contract.geo import BURN_SQL, CATEGORY_SQL, part_polygons
+from contract.geo import BURN_SQL, CATEGORY_SQL, part_polygons, part_spec
 from contract.q_select import LABELLED, coded_grid
 from contract.registry import INPUTS, made, query
 from contract import q_sources  # noqa: F401  (inputs)
@@ -99,13 +99,13 @@ def run_table_to_cube(spark, sf):
     return cube.select("latitude", "longitude", F.date_format("time", "yyyy-MM-dd").alias("day"), "reading", F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
-@query("run_publish_grid", f"""{BURN_SQL},{CATEGORY_SQL},{LABELLED} SELECT v.variable, 'EPSG:4326' AS crs, 'EPSG:3035' AS source_crs, min(latitude) AS geospatial_lat_min, max(longitude) AS geospatial_lon_max,
+@query("run_publish_grid", f"""{BURN_SQL},{CATEGORY_SQL},{LABELLED} SELECT v.variable, 'EPSG:4326' AS crs, 'EPSG:3035' AS source_crs, (SELECT round(y0, 4) FROM s) AS geospatial_lat_min, (SELECT round(x1, 4) FROM s) AS geospatial_lon_max,
  (SELECT count(*) FROM cells) AS filled, CASE v.variable WHEN 'sort' THEN (SELECT count(*) FROM categories WHERE variable = 'kind') ELSE 0 END AS codes, 'parts' AS title
- FROM places, (VALUES ('price'), ('sort')) v(variable) GROUP BY ALL""", ("corners",))
+ FROM (VALUES ('price'), ('sort')) v(variable)""", ("corners",))
 def run_publish_grid(spark, sf):
     grid, codes = coded_grid(spark, sf)
     path = scratch_path(spark, "published")
-    publish_grid(grid, path, {"kind": "sort"}, "parts", "lot", "asset", "2024-05-01", "EPSG:3035", codes)
+    publish_grid(grid, path, {"kind": "sort"}, "parts", "lot", "asset", "2024-05-01", "EPSG:3035", codes, spec=part_spec(spark, sf))
     filled = spark.read.parquet(path).select("variable", F.size(F.filter("values", lambda v: v.isNotNull())).alias("n"))
     counted = filled.groupBy("variable").agg(F.sum("n").alias("filled"))
     named = spark.read.parquet(f"{path}_categories").groupBy("variable").agg(F.count(F.lit(1)).alias("codes"))

@@ -128,15 +128,16 @@ def s9(spark, sf):
 INPUTS["name_docs"] = """
 SELECT 'f' || cast(c_custkey % 7 AS string) || '.json' AS file, '{"' || CASE WHEN c_custkey % 7 < 3 AND c_mktsegment <> 'MACHINERY' THEN 'cf' ELSE 'p02' END
  || '_standard_names":[{"Convention":"c","standard_name":"' || lower(c_mktsegment) || CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '_goods' ELSE '' END
- || '","variable_family":"fam"}]}' AS json FROM @customer"""
+ || '","variable_family":"fam","description":"about ' || cast(c_custkey AS string)
+ || '","canonical_units":"m","amip":"","grib":"7","aliases":["one","two"]}]}' AS json FROM @customer"""
 INPUTS["names"] = """
 SELECT CASE WHEN c_custkey % 7 < 3 AND c_mktsegment <> 'MACHINERY' THEN 'cf' ELSE 'p02' END AS convention, lower(c_mktsegment) || CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '_goods' ELSE '' END AS standard_name,
- 'fam' AS variable_family, 'f' || cast(c_custkey % 7 AS string) || '.json' AS file FROM @customer"""
+ 'about ' || cast(c_custkey AS string) AS description, 'm' AS canonical_units, '' AS amip, '7' AS grib, 'fam' AS variable_family, 'f' || cast(c_custkey % 7 AS string) || '.json' AS file FROM @customer"""
 
 
-@query("s10_read_standard_names", "SELECT * FROM names", ("names",))
+@query("s10_read_standard_names", "SELECT *, 'one,two' AS aliases FROM names", ("names",))
 def s10(spark, sf):
-    return cat.read_standard_names(made(spark, sf, "name_docs"), "json", "file")
+    return cat.read_standard_names(made(spark, sf, "name_docs"), "json", "file").withColumn("aliases", F.array_join("aliases", ","))
 
 
 @query("s11_read_manifest", "SELECT DISTINCT lang, TRUE AS has_files, TRUE AS has_bytes FROM documents")

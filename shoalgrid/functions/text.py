@@ -73,12 +73,12 @@ def collection_id(convention: Column, variable: Column) -> Column:
     return F.concat_ws("-", convention, slug(variable))
 
 
-def record_links(record_id: Column, host: str) -> Column:
-    """The XML and the CSW link of a metadata record."""
+def record_links(record_id: Column, records: str, catalogue: str) -> Column:
+    """The XML link of a metadata record below one address, and its CSW link below another."""
     return F.array(
-        F.concat(F.lit(f"{host}/srv/api/records/"), record_id, F.lit("/formatters/xml")),
+        F.concat(F.lit(f"{records}/srv/api/records/"), record_id, F.lit("/formatters/xml")),
         F.concat(
-            F.lit(f"{host}/csw?request=GetRecordById&service=CSW&version=2.0.2&elementSetName=full&id="),
+            F.lit(f"{catalogue}/csw?request=GetRecordById&service=CSW&version=2.0.2&elementSetName=full&id="),
             record_id,
         ),
     )
@@ -270,15 +270,21 @@ def rewrite_links(links: Column, rel: str, href: Column) -> Column:
 
 
 def number_text(value: Column) -> Column:
-    """Double as text: plain digits from 1e-4 up to 1e16, at least one decimal."""
+    """Double as text: plain digits from 1e-4 up to 1e16, at least one decimal; beyond that like 1e-05 and 1.5e+16."""
     plain = value.cast("string")
     size = F.abs(value)
     wide = F.regexp_replace(value.cast("decimal(38,10)").cast("string"), r"(\.\d+?)0+$", "$1")
     small = F.regexp_replace(
         F.regexp_replace(plain, r"^(-?)(\d)\.(\d+)E-4$", "$10.000$2$3"), r"^(-?0\.000\d+?)0+$", "$1"
     )
+    power = F.regexp_extract(plain, r"E-?(\d+)$", 1)
+    short = F.concat(
+        F.regexp_replace(F.regexp_extract(plain, r"^(.*)E", 1), r"\.0$", ""), F.when(plain.contains("E-"), "e-").otherwise("e+"),
+        F.when(F.length(power) < 2, F.lpad(power, 2, "0")).otherwise(power),
+    )
     return (
-        F.when((size >= 1e7) & (size < 1e16), wide)
+        F.when(plain.contains("E") & ((size < 1e-4) | (size >= 1e16)), short)
+        .when((size >= 1e7) & (size < 1e16), wide)
         .when((size >= 1e-4) & (size < 1e-3), small)
         .otherwise(plain)
     )

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoalgrid.operators.grid import GridSpec
+
 
 def total_bounds(features: DataFrame) -> DataFrame:
     """One row: the hull of the stored feature bounds."""
@@ -34,28 +36,41 @@ def grid_time_extent(grid: DataFrame, by: list[str] | None = None) -> DataFrame:
     return grid.groupBy(*(by or [])).agg(F.min("time").alias("start"), F.max("time").alias("end"))
 
 
-def grid_space_extent(grid: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Coordinate range, to four decimals."""
+def grid_space_extent(grid: DataFrame, by: list[str] | None = None, spec: GridSpec | None = None) -> DataFrame:
+    """Coordinate range, to four decimals; of a burnt grid from its frame, as it holds covered cells only."""
+    if spec is not None:
+        (south, north, _), (west, east, _) = spec.axes["latitude"], spec.axes["longitude"]
+        named = grid.select(*by).distinct() if by else grid.sparkSession.range(1)
+        return named.select(*(by or []), *[F.lit(v).alias(n) for n, v in (("west", west), ("south", south), ("east", east), ("north", north))])
     return grid.groupBy(*(by or [])).agg(
         F.round(F.min("longitude"), 4).alias("west"), F.round(F.min("latitude"), 4).alias("south"),
         F.round(F.max("longitude"), 4).alias("east"), F.round(F.max("latitude"), 4).alias("north"),
     )
 
 
-def variable_extent(grid: DataFrame) -> DataFrame:
-    """Coordinate range of each variable, empty cells included."""
+def variable_extent(grid: DataFrame, spec: GridSpec | None = None) -> DataFrame:
+    """Coordinate range of each variable, empty cells included: of a burnt grid give the frame."""
+    if spec is not None:
+        (south, north, _), (west, east, _) = spec.axes["latitude"], spec.axes["longitude"]
+        ends = {"geospatial_lat_min": south, "geospatial_lat_max": north, "geospatial_lon_min": west, "geospatial_lon_max": east}
+        return grid.select("variable").distinct().select("variable", *[F.lit(v).alias(n) for n, v in ends.items()])
     return grid.groupBy("variable").agg(
         F.min("latitude").alias("geospatial_lat_min"), F.max("latitude").alias("geospatial_lat_max"),
         F.min("longitude").alias("geospatial_lon_min"), F.max("longitude").alias("geospatial_lon_max"),
     )
 
 
-def axis_statistics(grid: DataFrame) -> DataFrame:
+def axis_statistics(grid: DataFrame, spec: GridSpec | None = None) -> DataFrame:
     """Min, max and step of both axes; step = (max - min) / number of coordinates.
 
-    The coordinates of an axis are made distinct one axis at a time, so no rows are multiplied.
+    The coordinates of an axis are made distinct one axis at a time, so no rows are multiplied. The axes of
+    a burnt grid are those of its frame and need no look at the cells.
     """
     def axis(name):
+        if spec is not None:
+            low, high, n = spec.axes[name]
+            return grid.sparkSession.range(1).select(
+                F.lit(name).alias("axis"), F.lit(low).alias("min"), F.lit(high).alias("max"), F.lit(n).cast("long").alias("n"))
         return grid.select(name).distinct().agg(
             F.lit(name).alias("axis"), F.min(name).alias("min"), F.max(name).alias("max"),
             F.count(name).alias("n"),
@@ -66,9 +81,11 @@ def axis_statistics(grid: DataFrame) -> DataFrame:
     )
 
 
-def dataset_attributes(grid: DataFrame, title: str, source: str, native_asset: str, run_date: str) -> DataFrame:
+def dataset_attributes(
+    grid: DataFrame, title: str, source: str, native_asset: str, run_date: str, spec: GridSpec | None = None
+) -> DataFrame:
     """One row of dataset attributes; the resolution is the smaller step."""
-    stats = axis_statistics(grid)
+    stats = axis_statistics(grid, spec)
 
     def pick(name, value):
         return F.max(F.when(F.col("axis") == name, F.col(value)))

@@ -29,6 +29,12 @@ class GridSpec:
     width: int
     height: int
 
+    @property
+    def axes(self) -> dict[str, tuple[float, float, int]]:
+        """Least and greatest label and number of labels of both axes, as ``label_cells`` gives them."""
+        ends = {"latitude": (self.y0, self.y1, self.height), "longitude": (self.x0, self.x1, self.width)}
+        return {k: (round(low, 4), round(high if n > 1 else low, 4), n) for k, (low, high, n) in ends.items()}
+
     @property
     def px(self) -> float:
         return (self.x1 - self.x0) / self.width

@@ -45,14 +45,15 @@ def reuse_asset_by_url(layers: DataFrame) -> DataFrame:
 def reuse_converted_assets(attached: DataFrame) -> DataFrame:
     """Converted links of the previous state for layers with equal native asset and equal mapping.
 
-    Maps have no equality, so their sorted entries are compared.
+    Maps have no equality, so their sorted entries are compared. A layer without native asset or mapping, or one that
+    is not ``to_convert`` (if there is such a column), keeps none.
     """
     def entries(name):
         return F.sort_array(F.map_entries(F.col(name)))
 
-    same = F.col("prev_native_asset").eqNullSafe(F.col("native_asset")) & entries(
-        "prev_native_arco_mapping"
-    ).eqNullSafe(entries("native_arco_mapping"))
+    same = (F.col("prev_native_asset") == F.col("native_asset")) & (entries("prev_native_arco_mapping") == entries("native_arco_mapping"))
+    if "to_convert" in attached.columns:
+        same = same & F.col("to_convert")
     kept = F.filter(
         F.col("prev_converted_arco_assets"), lambda a: F.contains(a, F.lit(".zarr")) | F.contains(a, F.lit(".parquet"))
     )

@@ -44,15 +44,19 @@ def with_collection(rows: DataFrame, names: DataFrame, fallback: str, variable:
 
 
 def extend_names(names: DataFrame, rows: DataFrame, fallback: str) -> DataFrame:
-    """Vocabulary with the unknown names of ``rows`` (pos, variable, family) added, once each."""
+    """Vocabulary with the unknown names of ``rows`` (pos, variable, family) added, once each; other fields stay, or start empty."""
     wanted = rows.groupBy(slug(F.col("variable")).alias("standard_name")).agg(
         F.min_by("family", "pos").alias("variable_family")
     )
+    given = {
+        "convention": F.lit(fallback), "standard_name": F.col("standard_name"), "variable_family": F.col("variable_family"),
+        "file": F.lit(f"{fallback}_standard_names.json"),
+    }
+    empty = {"aliases": F.array().cast("array<string>")}
     new = wanted.join(names.select("standard_name").distinct(), "standard_name", "left_anti").select(
-        F.lit(fallback).alias("convention"), "standard_name", "variable_family",
-        F.lit(f"{fallback}_standard_names.json").alias("file"),
+        *[given.get(n, empty.get(n, F.lit(""))).alias(n) for n in names.columns]
     )
-    return names.select("convention", "standard_name", "variable_family", "file").unionByName(new)
+    return names.unionByName(new)
 
 
 def mapped_variables(layers: DataFrame) -> DataFrame:
@@ -172,13 +176,25 @@ def unique_providers(rows: DataFrame, keys: list[str], providers: str, pos: str)
     )
 
 
-def collections(items: DataFrame) -> DataFrame:
-    """Collections with the facts of their first item and the hull of all their items, in one pass."""
-    first = F.min_by(F.struct("variable", "layer_providers", "id"), "place")
-    return items.groupBy("family", "collection").agg(first.alias("f"), *_hull()).select(
+def _once_by_name(providers: Column) -> Column:
+    """Providers in their order, the first of each name."""
+    names = F.transform(providers, lambda p: F.coalesce(p["name"], F.lit("")))
+    return F.filter(providers, lambda p, i: F.array_position(names, F.coalesce(p["name"], F.lit(""))) == i + 1)
+
+
+def collections(items: DataFrame, made: DataFrame | None = None) -> DataFrame:
+    """Collections with the facts of the first item ever made for them and the hull of the items they hold.
+
+    ``made``: all items, before newer ones replaced others of the same name; ``items`` if it is left out.
+    """
+    place = F.min("place").alias("place")
+    facts = items if made is None else made
+    keys = ["family", "collection"]
+    first = facts.join(facts.groupBy(*keys).agg(place), [*keys, "place"]).select(*keys, F.struct("variable", "layer_providers").alias("f")).dropDuplicates(keys)
+    return items.groupBy(*keys).agg(*_hull()).join(first, keys).select(
         "family", "collection", F.col("f.variable").alias("title"),
         F.concat(F.lit("A collection of "), F.col("f.variable"), F.lit(" data")).alias("description"),
-        F.lit(COLLECTION_LICENCE).alias("licence"), F.col("f.layer_providers").alias("providers"), *_HULL, "items",
+        F.lit(COLLECTION_LICENCE).alias("licence"), _once_by_name(F.col("f.layer_providers")).alias("providers"), *_HULL, "items",
     )
 
 

@@ -59,24 +59,35 @@ def _action(old: Column, new: Column, missing: Column) -> Column:
     )
 
 
+def complete_lines(updates: DataFrame) -> DataFrame:
+    """Lines that name a product, a native and a standard variable; only these open a layer for M3 and M4."""
+    return updates.filter(F.col("data_product").isNotNull() & F.col("native_variable").isNotNull() & F.col("arco_variable").isNotNull())
+
+
 def upsert_product(metadata: DataFrame, updates: DataFrame, product_type: str) -> DataFrame:
-    """Product row of each layer after the updates, with the action taken on it."""
-    old = metadata.filter(F.col("metadata_type") == product_type).select(
-        "fk_gislayer_id", F.col("metadata_value").alias("old_value"), F.lit(True).alias("__here")
+    """All metadata rows after the updates, product rows inserted where missing, with the action taken on each."""
+    new = final_values(complete_lines(updates), ["data_product"]).select(
+        F.col("id").alias("fk_gislayer_id"), F.col("data_product").alias("__new")
     )
-    new = final_values(updates, ["data_product"]).filter(F.col("data_product").isNotNull()).select(
-        F.col("id").alias("fk_gislayer_id"), F.col("data_product").alias("new_value")
+    is_product = F.col("metadata_type") == product_type
+    value = F.when(is_product, F.col("__new"))
+    kept = lookup(metadata, new, ["fk_gislayer_id"]).select(
+        "fk_gislayer_id", "metadata_type", F.col("metadata_value").alias("old_value"),
+        F.coalesce(value, "metadata_value").alias("metadata_value"), _action(F.col("metadata_value"), value, F.lit(False)).alias("action"),
     )
-    return old.join(new, "fk_gislayer_id", "full_outer").select(
-        "fk_gislayer_id", F.lit(product_type).alias("metadata_type"), "old_value",
-        F.coalesce("new_value", "old_value").alias("metadata_value"),
-        _action(F.col("old_value"), F.col("new_value"), F.col("__here").isNull()).alias("action"),
+    inserted = new.join(metadata.filter(is_product).select("fk_gislayer_id").distinct(), "fk_gislayer_id", "left_anti").select(
+        "fk_gislayer_id", F.lit(product_type).alias("metadata_type"), F.lit(None).cast("string").alias("old_value"),
+        F.col("__new").alias("metadata_value"), F.lit("insert").alias("action"),
     )
+    return kept.unionByName(inserted)
 
 
 def upsert_variables(attributes: DataFrame, updates: DataFrame) -> DataFrame:
-    """Variable pairs after the updates, with the action taken; blank names are skipped."""
-    usable = updates.filter(
+    """Variable pairs after the updates, with the action taken; blank names are skipped.
+
+    All lines of a layer count if one of them is complete (see ``complete_lines``).
+    """
+    usable = updates.join(complete_lines(updates).select("id").distinct(), "id", "left_semi").filter(
         F.col("native_variable").isNotNull() & (F.coalesce("arco_variable", F.lit("")) != "")
     )
     new = usable.groupBy(F.col("id").alias("gislayer_fk"), F.col("native_variable").alias("name")).agg(

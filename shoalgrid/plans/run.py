@@ -33,6 +33,7 @@ class RunSettings:
 
     run_year: int
     record_host: str
+    record_catalogue: str = ""  # address before /csw; the record host if empty
     product_type: str = "product_info"
     fallback_convention: str = "local"
     select: list[dict[str, list]] = field(default_factory=list)
@@ -82,7 +83,7 @@ def complete_layers(
     facts = records.withColumnRenamed("box", "record_box")
     attached = st.attach_previous(based, st.forget(previous, forget_ids)).join(facts, "id", "left")
     own_links = F.when(
-        F.col("geonetwork_uri") != "", t.record_links(F.col("geonetwork_uri"), settings.record_host)
+        F.col("geonetwork_uri") != "", t.record_links(F.col("geonetwork_uri"), settings.record_host, settings.record_catalogue or settings.record_host)
     ).otherwise(none)
     csw_links = F.coalesce("csw_links", none) if "csw_links" in records.columns else none
 
@@ -131,7 +132,7 @@ def build_catalogue(
     )
     return {
         "families": cat.families(layers),
-        "collections": cat.collections(items),
+        "collections": cat.collections(items, made),
         "items": items,
         "item_assets": cat.item_assets(items),
         "status": cat.layer_status(layers, made),
@@ -177,16 +178,17 @@ def table_to_cube(rows: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 def publish_grid(
     grid: DataFrame, path: str, mapping: dict[str, str], title: str, source: str, native_asset: str, run_date: str,
-    source_crs: str, categories: DataFrame | None = None, size: int = g.TILE,
+    source_crs: str, categories: DataFrame | None = None, size: int = g.TILE, spec: g.GridSpec | None = None,
 ) -> None:
     """Grid store under standard names with its tables beside it.
 
     ``<path>`` holds the chunks, ``<path>_attributes`` one row for the dataset, ``<path>_variables`` extent and CRS per
-    variable, ``<path>_categories`` the codes. ``grid``: row, col, latitude, longitude, variable, value.
+    variable, ``<path>_categories`` the codes. ``grid``: row, col, latitude, longitude, variable, value; of a burnt
+    grid give the frame too, as its axes reach beyond the covered cells.
     """
     named = stage(c.rename_grid_variables(grid, mapping), "grid")
-    write_grid(named, path, x.dataset_attributes(named, title, source, native_asset, run_date), size)
-    variables = x.variable_extent(named)
+    write_grid(named, path, x.dataset_attributes(named, title, source, native_asset, run_date, spec), size)
+    variables = x.variable_extent(named, spec)
     variables.join(g.crs_attributes(variables, source_crs), "variable").write.parquet(f"{path}_variables")
     if categories is not None:
         c.rename_grid_variables(categories, mapping).write.parquet(f"{path}_categories")

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from shoalgrid.session import scratch_path
 
+# Fields of a vocabulary entry besides its convention.
+NAME_FIELDS = ["standard_name", "description", "canonical_units", "amip", "grib", "aliases", "variable_family"]
+
 LAYER_FIELDS = """id string, name string, defaultTitle string,
  metadataSources array<struct<metadata_type:string,metadata_value:string>>,
  temporalDatesExtent string"""
@@ -101,13 +104,13 @@ def read_catalog(documents: DataFrame, json: str, doc_pos: str, fields: str = LA
 
 
 def read_standard_names(documents: DataFrame, json: str, file: str) -> DataFrame:
-    """Vocabulary files: convention (key without its ending), standard_name, variable_family, file."""
-    item = "struct<Convention:string,standard_name:string,description:string,variable_family:string>"
+    """Vocabulary files: convention (key without its ending), all fields of the entries, file."""
+    item = "struct<" + ",".join(f"{f}:{'array<string>' if f == 'aliases' else 'string'}" for f in NAME_FIELDS) + ">"
     return documents.select(
         file, F.explode(F.from_json(F.col(json), f"map<string,array<{item}>>")).alias("key", "names")
     ).select(
         F.regexp_replace("key", "_standard_names", "").alias("convention"), F.explode("names").alias("n"), file
-    ).select("convention", "n.standard_name", "n.variable_family", file)
+    ).select("convention", *[f"n.{f}" for f in NAME_FIELDS], file)
 
 
 def harvest_index(documents: DataFrame, json: str) -> DataFrame:

@@ -77,7 +77,7 @@ def test_links(spark):
 
 
 def test_number_text(spark):
-    numbers = [-180.0, 0.0, 12345678.5, 1e7, 0.0005, -0.00012, 3.25, 90.0, 123456789012.0]
+    numbers = [-180.0, 0.0, 12345678.5, 1e7, 0.0005, -0.00012, 3.25, 90.0, 123456789012.0, 0.00001, -1.5e-05, 1e16, 2.5e20, 1e-100, 1.25e-7]
     df = spark.createDataFrame([(i, n) for i, n in enumerate(numbers)], "i int, n double")
     got = [r["v"] for r in df.select("i", t.number_text(F.col("n")).alias("v")).orderBy("i").collect()]
     assert got == [repr(n) for n in numbers]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shoalgrid.operators import grid as g
 from shoalgrid.operators.extents import total_bounds
 from shoalgrid.operators.geometry import geometry_bounds, polygon_edges, rings_to_wkb, with_bounds
+from shoalgrid.operators.extents import axis_statistics, grid_space_extent, variable_extent
 from shoalgrid.operators.select import geometry_kind, geometry_kinds, polygons_only
 from shoalgrid.plans.run import convert_features, grid_features
 
@@ -204,3 +205,13 @@ def test_labels_and_empty_input(spark):
     empty = spark.createDataFrame([], "feature_id long, geometry binary")
     with pytest.raises(ValueError):
         g.grid_spec(total_bounds(with_bounds(empty)))
+
+
+def test_extents_of_a_burnt_grid_come_from_its_frame(spark):
+    """Two small polygons in opposite corners: most rows and columns hold no cell."""
+    rows = [(0, bytearray(polygon_bytes([square_at(0.0, 0.0, 2.0)])), 1.0), (1, bytearray(polygon_bytes([square_at(22.0, 22.0, 2.0)])), 2.0)]
+    features, _ = convert_features(spark.createDataFrame(rows, "feature_id long, geometry binary, depth double"), {"depth": "depth"})
+    grid, _, spec = grid_features(features, ["depth"], [], 1.0)
+    assert tuple(variable_extent(grid, spec).first()) == ("depth", 0.0, 24.0, 0.0, 24.0)
+    assert tuple(grid_space_extent(grid, spec=spec).first()) == (0.0, 0.0, 24.0, 24.0)
+    assert {(r["axis"], r["n"], r["step"]) for r in axis_statistics(grid, spec).collect()} == {("latitude", 24, 1.0), ("longitude", 24, 1.0)}

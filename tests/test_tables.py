@@ -10,6 +10,7 @@ from shoalgrid.operators.ordering import rank_by_position, with_previous
 from shoalgrid.operators.skew import lookup
 from shoalgrid.plans import exchange as ex
 from shoalgrid.plans import maintain as m
+from shoalgrid.plans.catalogue import collections
 from shoalgrid.session import scratch_path
 from shoalgrid.sinks import writers as w
 from shoalgrid.sources import catalogue as cat
@@ -150,7 +151,35 @@ def test_upserts(spark):
     again = m.upsert_variables(after.drop("action"), updates)
     assert {r["action"] for r in again.collect()} == {"same", "keep"}
     products = m.upsert_product(metadata, updates, "product_info")
-    assert sorted(tuples(products, "fk_gislayer_id", "metadata_value", "action")) == [(1, "p1", "same"), (2, "p3", "insert"), (3, "p9", "keep")]
+    assert sorted(tuples(products, "fk_gislayer_id", "metadata_value", "action")) == [(1, "p1", "same"), (2, "p3", "insert"), (2, "u", "keep"), (3, "p9", "keep")]
+
+
+def test_a_layer_without_a_complete_line_is_not_touched(spark):
+    attributes, metadata, _ = store(spark)
+    lines = [(0, 3, "p1", None, "b"), (1, 3, None, "old", "b"), (2, 4, "p1", "n", None)]
+    updates = spark.createDataFrame(lines, "pos long, id long, data_product string, native_variable string, arco_variable string")
+    assert {r["action"] for r in m.upsert_product(metadata, updates, "product_info").collect()} == {"keep"}
+    assert {r["action"] for r in m.upsert_variables(attributes, updates).collect()} == {"keep"}
+
+
+def test_nothing_converted_is_kept_without_asset_or_mapping(spark):
+    map_type = "map<string,string>"
+    layers = spark.createDataFrame([("1", None, {"a": "b"}, True), ("2", "n", None, True), ("3", "n", {"a": "b"}, False), ("4", "n", {"a": "b"}, True)],
+                                   f"id string, native_asset string, native_arco_mapping {map_type}, to_convert boolean")
+    state = layers.drop("to_convert").withColumn("converted_arco_assets", F.array(F.lit("x.zarr")))
+    out = st.reuse_converted_assets(st.attach_previous(layers, state))
+    assert sorted(tuples(out, "id", "converted_arco_assets")) == [("1", []), ("2", []), ("3", []), ("4", ["x.zarr"])]
+
+
+def test_collection_facts_come_from_the_first_item_made(spark):
+    fields = "family string, collection string, place long, variable string, layer_providers array<struct<name:string,role:string>>, extent struct<west:double,south:double,east:double,north:double>, start long, end long"
+    box = (0.0, 0.0, 1.0, 1.0)
+    first = ("f", "c", 1, "Depth", [("A", "x"), ("B", "y"), ("A", "z"), (None, "n"), (None, "m")], box, 1, 2)
+    later = ("f", "c", 2, "depth", [("C", "x")], (2.0, 2.0, 3.0, 3.0), 5, 6)
+    made = spark.createDataFrame([later, first], fields)
+    row = collections(spark.createDataFrame([later], fields), made).first()
+    assert (row["title"], [tuple(p) for p in row["providers"]]) == ("Depth", [("A", "x"), ("B", "y"), (None, "n")])
+    assert (row["west"], row["start"], row["items"]) == (2.0, 5, 1)
 
 
 def test_audit_follows_the_lines(spark):
