@@ -10,8 +10,8 @@ goes through its own part of these counts with noise-contrastive estimation in n
 parameters; the results are averaged by weight. Scoring normalises over all classes: one matrix product
 per block of distinct contexts.
 
-Bounded by parameters, not by the data: the ``HEAD`` most frequent words, whose counts every task holds,
-and the model. Counts of all other words are joined, so every word has its exact count.
+Bounded by parameters, not by the data: the at most ``HEAD`` most frequent words, whose counts every task
+holds, and the model. Counts of all other words are joined, so every word has its exact count.
 
 Defined cases: a null text is empty (one token, its end); a null id is no held-out one; rows with a
 repeated id are rows of their own; without training documents all counts are zero; other columns are
@@ -273,7 +273,7 @@ def _score(shared) -> Callable:
             places = vocabulary.places(texts)
             a, b, c = vocabulary.sequence(places, sizes)
             own = np.repeat(np.arange(len(texts)), sizes + 1)
-            total = lambda d, v: np.bincount(d, weights=v, minlength=len(texts))
+            total = lambda d, v: np.bincount(d, weights=v, minlength=len(texts)).astype(np.float64)  # noqa: E731  (whole numbers if empty)
             inside = places >= 0
             log = np.where(inside, logs[np.maximum(places, 0)], 0.0)
             rare = ~inside | (vocabulary.class_of[np.maximum(places, 0)] == RARE)
@@ -299,7 +299,15 @@ def vocabulary_of(training: DataFrame, head: int, classes: int) -> tuple[Vocabul
     counts = stage(map_arrow(training, _count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("c")), "words")
     texts = training.count()
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(head).collect()  # bounded by ``head``
+    # the highest classes of counts that hold at most ``head`` words together: no task and no driver sorts more
+    level = F.floor(F.log2("c") * 16)
+    least, room = None, head
+    for at, n in sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect(), reverse=True):
+        if n > room:
+            break
+        least, room = at, room - n
+    found = counts.where(level >= least).collect() if least is not None else []
+    top = sorted(found, key=lambda r: (-r["c"], r["word"]))
     return Vocabulary([(r["word"].encode(), r["c"]) for r in top], texts, tokens + texts, distinct + (1 if texts else 0), classes), counts
 
 
