@@ -7,7 +7,10 @@ from contract import q_sources  # noqa: F401  (inputs)
 from shoalgrid.functions.extents import provider, rectangle, time_pair
 from shoalgrid.functions.text import description_map, name_mapping
 from shoalgrid.plans import catalogue as cat
+from shoalgrid.plans.run import stage
 from shoalgrid.plans import reports as rp
+from shoalgrid.session import scratch_path
+from shoalgrid.sinks.writers import write_documents
 from shoalgrid.sources.catalogue import flatten_layer_tree, without_id
 
 _CONV = "native_asset IS NOT NULL AND balance > 1500e0"
@@ -60,7 +63,7 @@ def made_items(spark, sf):
 
 
 def items(spark, sf):
-    return cat.newest_items(made_items(spark, sf))
+    return cat.newest_items(stage(made_items(spark, sf), "items"))
 
 
 # The same rows put together by hand: one native item per layer, two converted ones.
@@ -86,7 +89,7 @@ def c1(spark, sf):
 SELECT f.*, 'A collection of ' || title || ' data' AS description, 'CC-BY-4.0+' AS licence, min(west) AS west, max(north) AS north, count(*) AS items FROM f JOIN items_ USING (family, collection) GROUP BY ALL""", ("cat_layers", "names"))
 def c2(spark, sf):
     every = made_items(spark, sf)
-    every = every.withColumn("layer_providers", F.concat("layer_providers", "layer_providers"))  # each name twice
+    every = stage(every.withColumn("layer_providers", F.concat("layer_providers", "layer_providers")), "items")  # each name twice
     return cat.collections(cat.newest_items(every), every).select(
         "family", "collection", "title", F.array_join(F.transform("providers", lambda p: p["name"]), ",").alias("provider"), "description", "licence", "west", "north", "items"
     )
@@ -164,3 +167,50 @@ def c10(spark, sf):
     rejects = without_id(flatten_layer_tree(made(spark, sf, "trees"), "json", "pos"))
     missing = cat.variables_missing(cat.mapped_variables(layers), asset_variables(spark, sf))
     return cat.issues(layers, rejects, missing)
+
+
+_DOCS = """, fam AS (SELECT DISTINCT lower(subtheme) AS family FROM cat_layers), col AS (SELECT DISTINCT family, collection FROM items_)"""
+
+
+@query("k7_catalogue_links", f"""{ITEMS_SQL}{_DOCS}
+SELECT 'root' AS kind, NULL AS family, NULL AS collection, 'sea_data' AS id, 'root' AS rel, 'catalog.json' AS href
+UNION ALL SELECT 'root', NULL, NULL, 'sea_data', 'child', family || '/catalog.json' FROM fam
+UNION ALL SELECT 'family', family, NULL, family, unnest(['root', 'parent']), 'catalog.json' FROM fam
+UNION ALL SELECT 'family', family, NULL, family, 'child', family || '/' || collection || '/collection.json' FROM col
+UNION ALL SELECT 'collection', family, collection, collection, 'root', 'catalog.json' FROM col
+UNION ALL SELECT 'collection', family, collection, collection, 'parent', family || '/catalog.json' FROM col
+UNION ALL SELECT 'collection', family, collection, collection, 'item', family || '/' || collection || '/' || item_id || '/' || item_id || '.json' FROM items_
+UNION ALL SELECT 'item', family, collection, item_id, 'root', 'catalog.json' FROM items_
+UNION ALL SELECT 'item', family, collection, item_id, unnest(['parent', 'collection']), family || '/' || collection || '/collection.json' FROM items_""", ("cat_layers", "names"))
+def k7_links(spark, sf):
+    found = stage(items(spark, sf), "newest")
+    return cat.catalogue_links(cat.families(cat_layers(spark, sf)), cat.collections(found), found, "Sea Data")
+
+
+@query("k7_item_documents", f"""{ITEMS_SQL} SELECT family, collection, item_id AS id, 4326 AS epsg, west, north, native_variable,
+ CASE WHEN variable = 'zone' THEN 'mud=2,sand=1' END AS encoding, kind = 'converted' AS has_cube, CASE WHEN kind = 'converted' THEN 'https://s3.example.org/c' || id || '.zarr' END AS zarr FROM items_""", ("cat_layers", "names"))
+def k7_items(spark, sf):
+    found = stage(items(spark, sf), "newest")
+    found = found.withColumn("converted_arco_assets", F.array(F.concat(F.lit("https://s3.example.org/c"), "id", F.lit(".zarr"))))
+    codes = found.where("variable = 'zone'").select("id", "variable").distinct().select("*", F.explode(F.array(
+        *[F.struct(F.lit(k).alias("label"), F.lit(v).cast("long").alias("code")) for k, v in (("sand", 1), ("mud", 2))])).alias("x")).select("id", "variable", "x.*")
+    path = scratch_path(spark, "documents")
+    write_documents(cat.item_documents(found, cat.item_assets(found), codes), path, ["family", "collection"])
+    doc = F.from_json("value", """id string, bbox array<double>, stac_extensions array<string>, assets map<string,struct<href:string>>,
+      properties struct<`proj:epsg`:int,native_variable:string,categorical_encoding:map<string,long>>""")
+    read = spark.read.text(path).select("family", "collection", doc.alias("d"))
+    entries = F.transform(F.map_entries("d.properties.categorical_encoding"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return read.select(
+        "family", "collection", "d.id", F.col("d.properties.`proj:epsg`").alias("epsg"), F.col("d.bbox")[0].alias("west"), F.col("d.bbox")[3].alias("north"),
+        "d.properties.native_variable", F.array_join(F.array_sort(entries), ",").alias("encoding"),
+        F.exists("d.stac_extensions", lambda x: x.contains("datacube")).alias("has_cube"), F.try_element_at("d.assets", F.lit("zarr"))["href"].alias("zarr"))
+
+
+@query("k7_collection_documents", f"""{ITEMS_SQL}, f AS (SELECT family, collection, arg_min(variable, (pos, item_pos)) AS title FROM items_ GROUP BY ALL)
+SELECT 'Collection' AS type, collection AS id, title, min(west) AS west, min(start_day) AS "start" FROM f JOIN items_ USING (family, collection) GROUP BY family, collection, title
+UNION ALL SELECT 'Catalog', lower(subtheme), lower(subtheme), NULL, NULL FROM cat_layers GROUP BY ALL UNION ALL SELECT 'Catalog', 'sea_data', 'Sea Data', NULL, NULL""", ("cat_layers", "names"))
+def k7_collections(spark, sf):
+    made_ = cat.collection_documents(cat.collections(items(spark, sf))).select(
+        "type", "id", "title", F.col("extent.spatial")[0][0].alias("west"), F.date_format(F.col("extent.temporal")[0][0], "yyyy-MM-dd HH:mm:ss").alias("start"))
+    tops = cat.family_documents(cat.families(cat_layers(spark, sf)), "Sea Data")
+    return made_.unionByName(tops.select("type", "id", "title", F.lit(None).cast("double").alias("west"), F.lit(None).cast("string").alias("start")))

@@ -151,13 +151,16 @@ INPUTS["spots"] = """
 SELECT latitude, longitude, variable, max(value) AS value FROM (""" + INPUTS["readings"] + """) r GROUP BY latitude, longitude, variable"""
 
 
+KINDS = ["click", "view", "error", "signup", "purchase"]
+
+
 @query("j13_merge_grids", """SELECT latitude, longitude, max(value) FILTER (WHERE variable = 'click') AS click, max(value) FILTER (WHERE variable = 'view') AS view,
- max(value) FILTER (WHERE variable = 'error') AS error FROM spots WHERE variable IN ('click', 'view', 'error') GROUP BY ALL""", ("spots",))
+ max(value) FILTER (WHERE variable = 'error') AS error, max(value) FILTER (WHERE variable = 'signup') AS signup, max(value) FILTER (WHERE variable = 'purchase') AS purchase FROM spots GROUP BY ALL""", ("spots",))
 def j13(spark, sf):
     spots = made(spark, sf, "spots")
-    grids = [spots.filter(F.col("variable") == v) for v in ("click", "view", "error")]
+    grids = [spots.filter(F.col("variable") == v) for v in KINDS]
     clash = grids[0].withColumn("value", F.col("value") + 1)
-    return g.merge_grids([*grids, clash], ["latitude", "longitude"], ["click", "view", "error"])
+    return g.merge_grids([*grids, clash], ["latitude", "longitude"], KINDS)
 
 
 INPUTS["hourly"] = "SELECT user_id, hour, max(value) AS value FROM (SELECT user_id, cast(hour(ts) AS bigint) AS hour, value FROM @events) e GROUP BY user_id, hour"

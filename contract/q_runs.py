@@ -1,5 +1,8 @@
 """The whole jobs, end to end."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contract.geo import BURN_SQL, CATEGORY_SQL, part_polygons, part_spec
@@ -33,19 +36,23 @@ _LAST = "prev AS (SELECT id, arg_max(download_url, pos) AS download_url, arg_max
 RUN_SQL = f"""
 WITH {_LAST}, best AS (SELECT standard_name, arg_min(convention, file) AS convention FROM names GROUP BY standard_name),
 l2 AS (SELECT l.id, l.pos, l.name, lower(subtheme) AS family, subsubtheme, balance, CASE WHEN p.download_url = l.download_url THEN p.native_asset END AS own, l.download_url,
- p.native_asset AS prev_asset FROM layers l LEFT JOIN prev p ON l.id = p.id),
+ p.native_asset AS prev_asset FROM layers l LEFT JOIN prev p ON l.id = p.id AND l.pos % 9 <> 0),
 l3 AS (SELECT *, coalesce(own, first_value(own IGNORE NULLS) OVER (PARTITION BY download_url ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS native_asset FROM l2),
-l4 AS (SELECT *, CASE WHEN balance > 5000 THEN '2001-02-03' WHEN pos % 3 > 0 AND pos % 7 > 0 THEN CASE WHEN pos % 4 = 0 THEN (1950 + pos % 60) || '-01-01' ELSE least((1950 + pos % 60) || '-01-01', '2015-06-01') END ELSE '1900-01-01' END AS d0,
- CASE WHEN balance > 5000 THEN '2005-06-07' WHEN pos % 3 > 0 AND pos % 7 > 0 THEN CASE WHEN pos % 4 = 0 THEN '2024-12-31' ELSE greatest((1950 + pos % 60) || '-01-01', '2015-06-01') END
+l4 AS (SELECT *, CASE WHEN pos % 11 = 0 THEN '1999-05-06' WHEN balance > 5000 THEN '2001-02-03' WHEN pos % 3 > 0 AND pos % 7 > 0 THEN CASE WHEN pos % 4 = 0 THEN (1950 + pos % 60) || '-01-01' ELSE least((1950 + pos % 60) || '-01-01', '2015-06-01') END ELSE '1900-01-01' END AS d0,
+ CASE WHEN pos % 11 = 0 THEN '2003-04-05' WHEN balance > 5000 THEN '2005-06-07' WHEN pos % 3 > 0 AND pos % 7 > 0 THEN CASE WHEN pos % 4 = 0 THEN '2024-12-31' ELSE greatest((1950 + pos % 60) || '-01-01', '2015-06-01') END
    WHEN balance > 2000 THEN '2011-01-01' ELSE '2024-12-31' END AS d1,
- CASE WHEN balance > 0 THEN '1.5_2.5_3.5_4.5' WHEN pos % 5 > 0 AND pos % 7 > 0 THEN (pos % 170) || '.5_-' || (pos % 80) || '.25_175.0_80.0' ELSE '-180.0_-90.0_180.0_90.0' END AS box,
+ CASE WHEN balance > 0 THEN '1.5_2.5_3.5_4.5' WHEN pos % 11 = 0 THEN '10.0_20.0_30.0_40.0' WHEN pos % 5 > 0 AND pos % 7 > 0 THEN (pos % 170) || '.5_-' || (pos % 80) || '.25_175.0_80.0' ELSE '-180.0_-90.0_180.0_90.0' END AS box,
  balance > 0 AND prev_asset IS NOT DISTINCT FROM native_asset AND prev_asset IS NOT NULL AS is_converted FROM l3 WHERE native_asset IS NOT NULL),
 r AS (SELECT *, 'native' AS kind, subsubtheme AS variable, replace(lower(name), '#', '') AS item_id FROM l4 WHERE subsubtheme <> ''
  UNION ALL SELECT *, 'converted', 'depth_m', 'depth_m_' || d0 || 'T00:00:00Z_' || d1 || 'T00:00:00Z_' || box FROM l4 WHERE is_converted AND subsubtheme <> ''
  UNION ALL SELECT *, 'converted', 'zone', 'zone_' || d0 || 'T00:00:00Z_' || d1 || 'T00:00:00Z_' || box FROM l4 WHERE is_converted AND subsubtheme <> ''),
 out AS (SELECT r.*, coalesce(convention, 'local') || '-' || lower(variable) AS collection FROM r LEFT JOIN best ON standard_name = lower(variable)
  QUALIFY row_number() OVER (PARTITION BY family, collection, item_id ORDER BY pos DESC) = 1)
-SELECT kind, id, family, collection, item_id FROM out"""
+SELECT kind, id, family, collection, item_id FROM out
+UNION ALL SELECT 'status', id, CASE WHEN n > 0 THEN 'yes' ELSE 'no' END, NULL, n::VARCHAR FROM (SELECT l.id, (SELECT count(*) FROM r WHERE r.id = l.id) AS n FROM layers l)
+UNION ALL SELECT DISTINCT 'family', NULL, lower(subtheme), NULL, NULL FROM layers
+UNION ALL SELECT DISTINCT 'collection', NULL, family, collection, NULL FROM out
+UNION ALL SELECT 'name', NULL, NULL, convention, standard_name FROM names UNION ALL SELECT DISTINCT 'name', NULL, NULL, 'local', lower(variable) FROM r WHERE lower(variable) NOT IN (SELECT standard_name FROM names)"""
 
 
 def run_layers(spark, sf):
@@ -57,12 +64,14 @@ def run_layers(spark, sf):
         "native_arco_mapping": mapping, "converted_arco_assets": F.when(F.col("native_asset").isNotNull(), links),
     })
     records = record_facts(made(spark, sf, "records"), "xml").select("id", "box", "period", "organisation", "constraints")
-    nothing = made(spark, sf, "layers").select("id").limit(0)
-    extents = nothing.withColumns({
-        "grid_time": time_pair(F.lit(None), F.lit(None)), "table_time": time_pair(F.lit(None), F.lit(None)),
-        "grid_box": rectangle(*[F.lit(None)] * 4),
+    layers = made(spark, sf, "layers")
+    again = layers.where("pos % 9 = 0").select("id")
+    day = lambda text: F.lit(text).cast("timestamp")
+    extents = layers.where("pos % 11 = 0").select("id").withColumns({
+        "grid_time": time_pair(day("1999-05-06"), day("2003-04-05")), "table_time": time_pair(day("1990-01-01"), day("1991-01-01")),
+        "grid_box": rectangle(*[F.lit(float(v)) for v in (10, 20, 30, 40)]),
     })
-    return complete_layers(with_id(tree), previous, nothing, records, extents, SETTINGS), without_id(tree)
+    return complete_layers(with_id(tree), previous, again, records, extents, SETTINGS), without_id(tree)
 
 
 @query("run_catalogue", RUN_SQL, ("layers", "names", "state_rows"))
@@ -71,7 +80,19 @@ def run_catalogue(spark, sf):
     layers = stage(layers, "layers")
     found = cat.mapped_variables(layers.filter(F.size("converted_arco_assets") > 0)).select("id", F.col("variable").alias("name"))
     tables = build_catalogue(layers, found, made(spark, sf, "names"), rejects, SETTINGS)
-    return tables["items"].select("kind", "id", "family", "collection", "item_id")
+    none = F.lit(None).cast("string")
+
+    def shown(name, kind, **columns):
+        own = {"id": none, "family": none, "collection": none, "item_id": none, **columns}
+        return tables[name].select(F.lit(kind).alias("kind"), *[v.alias(k) for k, v in own.items()])
+
+    return reduce(DataFrame.unionByName, [
+        tables["items"].select("kind", "id", "family", "collection", "item_id"),
+        shown("status", "status", id=F.col("id"), family=F.col("in_stac"), item_id=F.col("items").cast("string")),
+        shown("families", "family", family=F.col("family")),
+        shown("collections", "collection", family=F.col("family"), collection=F.col("collection")),
+        shown("standard_names", "name", collection=F.col("convention"), item_id=F.col("standard_name")),
+    ])
 
 
 @query("run_feature_grid", f"""{BURN_SQL},{CATEGORY_SQL}

@@ -109,7 +109,10 @@ FROM ({INPUTS['layers']}) l"""
 
 @query("s8_read_records", "SELECT id, pos % 7 = 0 AS is_broken FROM layers", ("layers",))
 def s8(spark, sf):
-    return record_facts(made(spark, sf, "records"), "xml").select("id", "is_broken")
+    path = scratch_path(spark, "records")
+    made(spark, sf, "records").select("id", F.col("xml").alias("value")).repartition("id").write.partitionBy("id").text(path)
+    read = src.read_records(spark, path).withColumn("id", F.regexp_extract("uri", "/id=([^/]+)/", 1))
+    return record_facts(read, "xml").select("id", "is_broken")
 
 
 INPUTS["index_docs"] = """

@@ -16,6 +16,8 @@ from shoalgrid.operators.skew import lookup
 # Default cell size and tile edge.
 RESOLUTION = 0.01
 TILE = 200
+# Rows of a long edge that are opened together.
+STRETCH = 1024
 
 
 @dataclass(frozen=True)
@@ -65,6 +67,8 @@ def burn_spans(edges: DataFrame, spec: GridSpec) -> DataFrame:
     Every edge marks, for the rows whose centre it passes, the first column behind the crossing.
     Marks are counted per (feature, part, row, column) before anything is gathered; only odd counts
     matter, so a row of one polygon gathers at most one mark per grid column however many edges it has.
+    Long edges are cut into stretches of rows, and these are dealt out anew before any row is opened: the
+    task that decoded a large polygon keeps none of this work.
     """
     low = F.greatest(_first_centre(F.least("ay", "by"), spec.y0, spec.py), F.lit(0))
     high = F.least(_first_centre(F.greatest("ay", "by"), spec.y0, spec.py) - 1, F.lit(spec.height - 1))
@@ -73,7 +77,9 @@ def burn_spans(edges: DataFrame, spec: GridSpec) -> DataFrame:
         .withColumn("__low", low)
         .withColumn("__high", high)
         .filter(F.col("__low") <= F.col("__high"))
-        .withColumn("row", F.explode(F.sequence("__low", "__high")))
+        .withColumn("__low", F.explode(F.sequence("__low", "__high", F.lit(STRETCH).cast("long"))))
+        .hint("rebalance")
+        .withColumn("row", F.explode(F.sequence("__low", F.least(F.col("__low") + (STRETCH - 1), "__high"))))
     )
     centre = F.lit(spec.y0) + (F.col("row") + 0.5) * F.lit(spec.py)
     x = F.col("ax") + (centre - F.col("ay")) * (F.col("bx") - F.col("ax")) / (F.col("by") - F.col("ay"))

@@ -9,10 +9,13 @@ from shoalgrid.operators.skew import lookup
 
 
 def newest_rows(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
-    """The last row per key by ``pos`` (a number or a struct), combined on the map side."""
-    rest = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.col(pos)).alias("__last")
-    return df.groupBy(*keys).agg(last).select(*keys, *[F.col(f"__last.{c}").alias(c) for c in rest])
+    """The last row per key by ``pos`` (a number or a struct, different in all rows of a key).
+
+    Only keys and places are aggregated; whole rows are picked by a join on them.
+    """
+    last = df.groupBy(*keys).agg(F.max(pos).alias("__pos")).select(*[F.col(k).alias(f"__{k}") for k in keys], "__pos")
+    same = [df[k].eqNullSafe(last[f"__{k}"]) for k in keys]
+    return df.join(last, [*same, df[pos].eqNullSafe(last["__pos"])], "left_semi")
 
 
 def forget(previous: DataFrame, ids: DataFrame) -> DataFrame:

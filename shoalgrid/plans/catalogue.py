@@ -7,13 +7,15 @@ arco_variable_description, provider, data_rights, time (start, end), extent (wes
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoalgrid.functions.extents import (
     converted_item_id, day_start, footprint, item_providers, native_item_id,
 )
-from shoalgrid.functions.text import item_title, media_type, native_of, slug
+from shoalgrid.functions.text import extension_links, item_title, media_type, native_of, slug
 from shoalgrid.operators.skew import lookup
 from shoalgrid.operators.state import newest_rows
 
@@ -198,19 +200,83 @@ def collections(items: DataFrame, made: DataFrame | None = None) -> DataFrame:
     )
 
 
-def item_documents(items: DataFrame) -> DataFrame:
-    """Items as documents: geometry, bbox, properties."""
-    e = F.col("extent")
-    return items.select(
-        "family", "collection", F.lit("Feature").alias("type"), F.col("item_id").alias("id"),
-        footprint(e).alias("geometry"), F.array(e["west"], e["south"], e["east"], e["north"]).alias("bbox"),
+def item_documents(items: DataFrame, assets: DataFrame, codes: DataFrame | None = None, epsg: int = 4326) -> DataFrame:
+    """Items as documents: geometry, bbox, properties, extensions and assets by kind (see ``item_assets``).
+
+    ``codes`` (id, variable, label, code) gives converted items the encoding of their categories; an
+    array per item of bounded size, as kinds and labels of one variable are few.
+    """
+    e, keys = F.col("extent"), ["family", "collection", "item_id"]
+    asset = F.struct("asset_kind", F.struct("href", "title", F.col("media").alias("type"), "role").alias("asset"))
+    kinds = assets.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(asset))).alias("item_assets"))
+    full = items.drop("assets").join(kinds, keys, "left")
+    if codes is not None:
+        encoding = F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "code")))).alias("encoding")
+        full = full.join(codes.groupBy("id", "variable").agg(encoding), ["id", "variable"], "left")
+        full = full.withColumn("encoding", F.when(F.col("kind") == "converted", F.col("encoding")))
+    else:
+        full = full.withColumn("encoding", F.lit(None).cast("map<string,long>"))
+    asset_kinds = F.coalesce(F.map_keys("item_assets"), F.array().cast("array<string>"))
+    return full.select(
+        "family", "collection", F.lit("Feature").alias("type"), extension_links(F.lit(epsg is not None), asset_kinds).alias("stac_extensions"),
+        F.col("item_id").alias("id"), footprint(e).alias("geometry"), F.array(e["west"], e["south"], e["east"], e["north"]).alias("bbox"),
         F.struct(
             F.col("start").alias("start_datetime"), F.col("end").alias("end_datetime"),
-            F.col("providers").alias("provider"), F.col("data_rights"), F.col("title"), F.col("native_variable"),
+            F.col("providers").alias("provider"), F.col("data_rights"), F.lit(epsg).alias("proj:epsg"), F.col("title"),
+            F.col("native_variable"), F.col("encoding").alias("categorical_encoding"),
         ).alias("properties"),
+        F.col("item_assets").alias("assets"),
+    )
+
+
+def collection_documents(collections_: DataFrame) -> DataFrame:
+    """Collections as documents with their extent; their items are in ``catalogue_links``."""
+    box = F.array("west", "south", "east", "north")
+    return collections_.select(
+        "family", "collection", F.lit("Collection").alias("type"), F.col("collection").alias("id"), "title", "description",
+        F.col("licence").alias("license"), "providers",
+        F.struct(F.array(box).alias("spatial"), F.array(F.array("start", "end")).alias("temporal")).alias("extent"),
     )
 
 
+def family_documents(families_: DataFrame, title: str) -> DataFrame:
+    """The root document (with a null family) and one document per family."""
+    root = families_.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("family"), F.lit("Catalog").alias("type"), slug(F.lit(title)).alias("id"), F.lit(title).alias("title"),
+        F.lit(f"STAC Catalog for {title}").alias("description"))
+    return root.unionByName(families_.select("family", F.lit("Catalog").alias("type"), F.col("family").alias("id"), "title", "description"))
+
+
+def catalogue_links(families_: DataFrame, collections_: DataFrame, items: DataFrame, title: str) -> DataFrame:
+    """Links of all documents, one row each: kind, family, collection, id, rel, href relative to the root.
+
+    A collection may hold any number of items, so its links are rows, not a list in its document.
+    """
+    root = F.lit("catalog.json")
+    family = F.concat_ws("/", "family", F.lit("catalog.json"))
+    collection = F.concat_ws("/", "family", "collection", F.lit("collection.json"))
+    item = F.concat(F.concat_ws("/", "family", "collection", "item_id", "item_id"), F.lit(".json"))
+    none = F.lit(None).cast("string")
+
+    def of(df, kind, f, c, i, links):
+        pairs = F.array(*[F.struct(F.lit(rel).alias("rel"), href.alias("href")) for rel, href in links])
+        return df.select(F.lit(kind).alias("kind"), f.alias("family"), c.alias("collection"), i.alias("id"), F.explode(pairs).alias("l")).select(
+            "kind", "family", "collection", "id", "l.rel", "l.href")
+
+    f, c = F.col("family"), F.col("collection")
+    top = slug(F.lit(title))
+    rows = [
+        of(families_.sparkSession.range(1), "root", none, none, top, [("root", root)]),
+        of(families_, "root", none, none, top, [("child", family)]),
+        of(families_, "family", f, none, f, [("root", root), ("parent", root)]),
+        of(collections_, "family", f, none, f, [("child", collection)]),
+        of(collections_, "collection", f, c, c, [("root", root), ("parent", family)]),
+        of(items, "collection", f, c, c, [("item", item)]),
+        of(items, "item", f, c, F.col("item_id"), [("root", root), ("parent", collection), ("collection", collection)]),
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def layer_status(layers: DataFrame, items: DataFrame) -> DataFrame:
     """in_stac yes/no per layer, with the number of items made from it (before newer ones replace them)."""
     made = items.groupBy("id").agg(F.count(F.lit(1)).alias("items"))

@@ -153,8 +153,11 @@ def convert_features(features: DataFrame, mapping: dict[str, str]) -> tuple[Data
 def grid_features(
     features: DataFrame, numbers: list[str], texts: list[str], resolution: float = g.RESOLUTION
 ) -> tuple[DataFrame, DataFrame, g.GridSpec]:
-    """Long grid and category codes of polygon features; one burn serves all variables."""
-    polygons = s.polygons_only(features)
+    """Long grid and category codes of polygon features; one burn serves all variables.
+
+    The polygons are staged, as bounds, codes, attributes and edges are read from them one after another.
+    """
+    polygons = stage(s.polygons_only(features), "polygons")
     spec = g.grid_spec(x.total_bounds(polygons), resolution)
     codes = stage(g.category_codes(polygons, texts), "categories") if texts else None
     coded = g.encode_features(polygons.drop("geometry"), texts, codes) if texts else polygons.drop("geometry")
