@@ -1,5 +1,8 @@
 """M1-M8: customers as the store, orders as the lines of the update file."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contract.registry import INPUTS, made, query, table
@@ -150,3 +153,35 @@ def m8(spark, sf):
     info = cat.info_rows(made(spark, sf, "info_docs"), "json", "dataset")
     found = ex.harvest(index, info, made(spark, sf, "descriptors"), made(spark, sf, "folder_pages"))
     return found.select("dataset", "title", "west", "east", "start", "end", F.array_join("variables", ",").alias("variables"), "download_url")
+
+
+@query("run_updates", f"""WITH n2 AS (SELECT id, arg_max(download_url, pos) AS v FROM updates WHERE download_url IS NOT NULL GROUP BY id),
+n3 AS (SELECT id, arg_max(data_product, pos) AS v FROM updates WHERE {_COMPLETE} GROUP BY id),
+n1 AS (SELECT id, arg_max(title, pos) AS v FROM updates WHERE title IS NOT NULL GROUP BY id),
+n4 AS (SELECT id, native_variable, arg_max(arco_variable, pos) AS v FROM updates WHERE coalesce(arco_variable, '') <> '' AND id IN (SELECT id FROM n3) GROUP BY ALL),
+lines AS (SELECT id, pos, CASE WHEN {_COMPLETE} THEN data_product END AS v FROM updates),
+chain AS (SELECT id, pos, v, lag(v) OVER (PARTITION BY id ORDER BY pos) AS before FROM lines WHERE v IS NOT NULL),
+own AS (SELECT fk_gislayer_id AS id, metadata_value AS v FROM metadata WHERE metadata_type = 'product_info')
+SELECT 'metadata' AS tbl, fk_gislayer_id AS id, metadata_type AS key, CASE metadata_type WHEN 'download_url' THEN coalesce(n2.v, metadata_value) WHEN 'product_info' THEN coalesce(n3.v, metadata_value) ELSE metadata_value END AS value
+ FROM metadata LEFT JOIN n2 ON n2.id = fk_gislayer_id LEFT JOIN n3 ON n3.id = fk_gislayer_id
+UNION ALL SELECT 'metadata', id, 'product_info', v FROM n3 WHERE id NOT IN (SELECT id FROM own)
+UNION ALL SELECT 'item', fk_gislayer_id, fk_layercollection_id::VARCHAR, CASE WHEN fk_layercollection_id = 170 THEN coalesce(v, layer_title) ELSE layer_title END FROM items LEFT JOIN n1 ON id = fk_gislayer_id
+UNION ALL SELECT 'attribute', coalesce(gislayer_fk, id), coalesce(name, native_variable), coalesce(v, name_custom) FROM attributes FULL JOIN n4 ON gislayer_fk = id AND name = native_variable
+UNION ALL SELECT 'pair', n4.id, native_variable, coalesce(name_custom, '-') || '>' || v FROM n4 LEFT JOIN attributes ON gislayer_fk = id AND name = native_variable
+UNION ALL SELECT 'product', chain.id, pos::VARCHAR, coalesce(before, own.v, '-') || '>' || chain.v FROM chain LEFT JOIN own ON own.id = chain.id""", ("attributes", "items", "metadata", "updates"))
+def run_updates(spark, sf):
+    stored = made(spark, sf, "attributes").withColumnRenamed("visible", "show")
+    t = m.run_updates(made(spark, sf, "items"), made(spark, sf, "metadata"), stored, made(spark, sf, "updates"), 170, "product_info")
+    change = F.concat(F.coalesce("old_value", F.lit("-")), F.lit(">"), "new_value")
+
+    def row(df, name, key, at, value):
+        return df.select(F.lit(name).alias("tbl"), F.col(key).cast("long").alias("id"), at.cast("string").alias("key"), value.alias("value"))
+
+    parts = [
+        row(t["metadata"], "metadata", "fk_gislayer_id", F.col("metadata_type"), F.col("metadata_value")),
+        row(t["items"], "item", "fk_gislayer_id", F.col("fk_layercollection_id"), F.col("layer_title")),
+        row(t["attributes"], "attribute", "gislayer_fk", F.col("name"), F.col("name_custom")),
+        row(t["audit_variables"], "pair", "id", F.col("native_variable"), change),
+        row(t["audit"].where("field = 'data_product'"), "product", "id", F.col("pos"), change),
+    ]
+    return reduce(DataFrame.unionByName, parts)

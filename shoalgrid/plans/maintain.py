@@ -82,11 +82,8 @@ def upsert_product(metadata: DataFrame, updates: DataFrame, product_type: str) -
     return kept.unionByName(inserted)
 
 
-def upsert_variables(attributes: DataFrame, updates: DataFrame) -> DataFrame:
-    """Variable pairs after the updates, with the action taken; blank names are skipped.
-
-    All lines of a layer count if one of them is complete (see ``complete_lines``).
-    """
+def _variable_rows(attributes: DataFrame, updates: DataFrame) -> DataFrame:
+    """Stored and new variable pairs side by side, with ``__old``, ``__new`` and the action."""
     usable = updates.join(complete_lines(updates).select("id").distinct(), "id", "left_semi").filter(
         F.col("native_variable").isNotNull() & (F.coalesce("arco_variable", F.lit("")) != "")
     )
@@ -95,12 +92,28 @@ def upsert_variables(attributes: DataFrame, updates: DataFrame) -> DataFrame:
     )
     old = attributes.withColumnRenamed("name_custom", "__old")
     action = _action(F.col("__old"), F.col("__new"), F.coalesce("__old", F.lit("")) == "")
-    changed = action.isin("insert", "update")
-    return old.join(new, ["gislayer_fk", "name"], "full_outer").select(
+    return old.join(new, ["gislayer_fk", "name"], "full_outer").withColumn("action", action)
+
+
+def upsert_variables(attributes: DataFrame, updates: DataFrame) -> DataFrame:
+    """Variable pairs after the updates, with the action taken; blank names are skipped.
+
+    All lines of a layer count if one of them is complete (see ``complete_lines``).
+    """
+    changed = F.col("action").isin("insert", "update")
+    return _variable_rows(attributes, updates).select(
         "gislayer_fk", "name", F.coalesce("__new", "__old").alias("name_custom"),
-        F.when(action == "insert", F.lit(0)).otherwise(F.col("show")).alias("show"),
+        F.when(F.col("action") == "insert", F.lit(0)).otherwise(F.col("show")).alias("show"),
         F.when(changed, F.lit(1)).otherwise(F.col("export_stac")).alias("export_stac"),
-        action.alias("action"),
+        "action",
+    )
+
+
+def audit_variables(attributes: DataFrame, updates: DataFrame) -> DataFrame:
+    """Old and new standard name of every native variable that the updates name: id, native_variable, old_value, new_value, action."""
+    return _variable_rows(attributes, updates).filter("action <> 'keep'").select(
+        F.col("gislayer_fk").alias("id"), F.col("name").alias("native_variable"), F.col("__old").alias("old_value"),
+        F.col("__new").alias("new_value"), "action",
     )
 
 
@@ -131,6 +144,32 @@ def audit_wide(changes: DataFrame, fields: list[str]) -> DataFrame:
     return changes.groupBy("id", "pos").agg(*columns)
 
 
+def run_updates(
+    items: DataFrame, metadata: DataFrame, attributes: DataFrame, updates: DataFrame, collection: int, product_type: str
+) -> dict[str, DataFrame]:
+    """One update file applied: the next version of the three tables, and what changed.
+
+    ``audit`` has the old and new value of each field line by line, ``audit_variables`` those of the variable pairs.
+    """
+    first = final_values(updates, [DOWNLOAD, *ITEM_FIELDS]).select("id")  # layers the file names
+    stored_items = items.filter(F.col("fk_layercollection_id") == collection).join(
+        first.withColumnRenamed("id", "fk_gislayer_id"), "fk_gislayer_id", "left_semi")
+    kinds = {DOWNLOAD: DOWNLOAD, product_type: "data_product"}
+    current = stored_items.select(F.col("fk_gislayer_id").alias("id"), *[F.col(c).alias(f) for f, c in ITEM_FIELDS.items()]).unpivot(
+        "id", list(ITEM_FIELDS), "field", "value"
+    ).unionByName(metadata.filter(F.col("metadata_type").isin(list(kinds))).select(
+        F.col("fk_gislayer_id").alias("id"), F.when(F.col("metadata_type") == DOWNLOAD, F.lit(DOWNLOAD)).otherwise("data_product").alias("field"),
+        F.col("metadata_value").alias("value")))
+    lines = updates.withColumn("data_product", F.when(F.col("native_variable").isNotNull() & F.col("arco_variable").isNotNull(), F.col("data_product")))
+    return {
+        "items": set_layer_names(items, updates, collection),
+        "metadata": upsert_product(set_download_url(metadata, updates), updates, product_type).select(*metadata.columns),
+        "attributes": upsert_variables(attributes, updates).select(*attributes.columns),
+        "audit": audit(lines, [*ITEM_FIELDS, DOWNLOAD, "data_product"], current),
+        "audit_variables": audit_variables(attributes, updates),
+    }
+
+
 def layer_metadata(metadata: DataFrame, kind: str) -> DataFrame:
     """Value of one metadata type per layer (download link, product)."""
     return metadata.filter(F.col("metadata_type") == kind).select("fk_gislayer_id", "metadata_value")
@@ -165,7 +204,8 @@ def layer_themes(items: DataFrame, themes: DataFrame, collection: int) -> DataFr
 
 
 def fan_out(
-    entries: DataFrame, layers: DataFrame, collection: int, theme: int, user: str, user_id: int, party: tuple[str, str]
+    entries: DataFrame, layers: DataFrame, collection: int, theme: int, user: str, user_id: int, party: tuple[str, str],
+    created: str | None = None,
 ) -> dict[str, DataFrame]:
     """New layers as rows of the six maintenance tables; ids go on from the highest one in use.
 
@@ -179,6 +219,7 @@ def fan_out(
             "id", F.col("title").alias("default_title"), F.lit("url").alias("server_type"), F.col("layer").alias("layer_name"),
             F.col("url").alias("url_server"), F.concat_ws("/", "start", "end").alias("temporal_dates_extent"),
             F.lit(user).alias("user_name_created"), F.lit(user_id).alias("user_id_created"), F.col("url_index").alias("url_index"),
+            F.lit(created).cast("timestamp").alias("date_created"),
         ),
         "gislayer_bbox": numbered.select(F.col("id").alias("gislayer_fk"), "west", "east", "north", "south"),
         "metadata": numbered.select(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +46,25 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+_jobs: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; never reused, so no overwrite is needed."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the job's folder, or the shared one; never reused, so no overwrite is needed."""
+    return f"{_jobs[-1] if _jobs else shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """Owner of all staged tables made inside the block: they lie in one folder, which goes when the block ends.
+
+    Results that read staged tables must be written inside the block, to a place of their own.
+    """
+    path = f"{shared_dir(spark)}/job-{uuid.uuid4().hex}"
+    _jobs.append(path)
+    try:
+        yield path
+    finally:
+        _jobs.remove(path)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -104,3 +104,14 @@ def test_a_second_run_gives_equal_tables(spark):
 
 def test_open_pairs_cast(spark):
     assert spark.range(1).select(time_pair(F.lit(None), F.lit("2020-01-01")).alias("t")).first()["t"]["end"].year == 2020
+
+
+def test_staged_tables_go_with_their_job(spark):
+    from pathlib import Path
+
+    from shoalgrid.plans.run import stage
+    from shoalgrid.session import job_folder, scratch_path
+
+    with job_folder(spark) as folder:
+        assert stage(spark.range(3), "x").count() == 3 and len(list(Path(folder).iterdir())) == 1
+    assert not Path(folder).exists() and "/job-" not in scratch_path(spark, "y")
