@@ -116,8 +116,8 @@ def _anchor_batches(length: int, window: int) -> Callable:
     return rows
 
 
-def _distinct_texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """One row per text (key, sha, text, copies), kept in buckets by key: joins on it move no text."""
+def _distinct_texts(docs: DataFrame, text_column: str) -> tuple[DataFrame, str]:
+    """One row per text (key, sha, text, copies) and the name of its table, in buckets by key: joins on it move no text."""
     spark = docs.sparkSession
     text = text_of(text_column)
     sha = digest_of(text)
@@ -127,7 +127,7 @@ def _distinct_texts(docs: DataFrame, id_column: str, text_column: str) -> DataFr
     # as many buckets as shuffle partitions: each task of the grouping writes whole buckets
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     once.write.bucketBy(buckets, "key").option("path", scratch_path(spark, name)).saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), name
 
 
 def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
@@ -191,7 +191,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id"
 
     A byte goes if a string of ``length`` bytes over it also starts anywhere else.
     """
-    texts = _distinct_texts(docs, id_column, text_column)
+    texts, name = _distinct_texts(docs, text_column)
     spans = stage(repeated_spans(texts, length), "spans")
     own = spans.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     cut = map_arrow(
@@ -200,6 +200,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id"
         "key", F.octet_length("text").cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
         F.lit(hashlib.sha256().hexdigest()).alias("kept_sha256"))
     changed = stage(cut.unionByName(copied), "removed")
+    docs.sparkSession.sql(f"DROP TABLE {name}")  # its files are staged ones
     text = text_of(text_column)
     rows = docs.select(F.col(id_column).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), digest_of(text).alias("sha"))
     rows = rows.withColumn("key", F.unhex(F.substring("sha", 1, 32)))
