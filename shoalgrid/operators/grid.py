@@ -195,7 +195,8 @@ def _layers(grid: DataFrame) -> list[str]:
 def grid_chunks(grid: DataFrame, size: int = TILE) -> DataFrame:
     """Square chunks as float arrays in row order, missing cells null; one per time and depth, if any.
 
-    ``grid`` has one value per cell, so a chunk gathers at most ``size * size`` of them.
+    ``grid`` has one value per cell, so a chunk gathers at most ``size * size`` of them; of several the
+    greatest counts.
     """
     n = size * size
     keys = ["variable", *_layers(grid)]
@@ -205,6 +206,9 @@ def grid_chunks(grid: DataFrame, size: int = TILE) -> DataFrame:
         F.floor(F.col("row") / size).cast("int").alias("chunk_row"),
         F.floor(F.col("col") / size).cast("int").alias("chunk_col"),
     ).agg(F.sort_array(F.collect_list(F.struct(place.alias("at"), F.col("value").alias("value")))).alias("__cells"))
+    every = F.col("__cells")
+    last = F.filter(every, lambda c, i: F.coalesce(F.get(every, i + 1)["at"] != c["at"], F.lit(True)))
+    gathered = gathered.withColumn("__cells", last)
     cells = F.col("__cells")
 
     def gap(count):
@@ -262,15 +266,17 @@ def dense_cube(readings: DataFrame, dims: list[str], values: list[str]) -> DataF
     """Every combination of the coordinates, with null where there is no reading.
 
     The combinations are counted off as one number range and decoded by equi-joins, so the cube is
-    made in even parts. ``readings`` has one row per coordinate combination.
+    made in even parts. Readings without one of the coordinates have no place in it and are left out; of
+    several readings of one place the one with the greatest values, in their order, counts.
     """
+    readings = readings.dropna(subset=dims)
     indexes = {d: dense_index(readings, d, f"__{d}") for d in dims}
     sizes = {d: indexes[d].count() for d in dims}
     coded = readings
     for d in dims:
         coded = lookup(coded, indexes[d], [d], "inner")
     place = reduce(lambda acc, d: acc * F.lit(sizes[d]) + F.col(f"__{d}"), dims[1:], F.col(f"__{dims[0]}"))
-    coded = coded.select(place.alias("__cell"), *values)
+    coded = coded.groupBy(place.alias("__cell")).agg(F.max(F.struct(*values)).alias("__v")).select("__cell", "__v.*")
     cube = readings.sparkSession.range(math.prod(sizes.values())).withColumnRenamed("id", "__cell")
     cube = cube.join(coded, "__cell", "left")
     step = 1

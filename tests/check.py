@@ -59,22 +59,24 @@ def compare(spark, con, sf, fn, sql):
 
 
 def main(sf, names):
-    from contract import ORACLES, QUERIES
+    from __spark_entry__ import oracle_sql, queries
     from shoalgrid import build_session
 
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g")
+    registered, sql = queries(), oracle_sql()
+
+    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     failed = 0
-    for name in names or QUERIES:
+    for name in names or registered:
         start = time.time()
         try:
-            problem = compare(spark, con, sf, QUERIES[name], ORACLES.get(name))
+            problem = compare(spark, con, sf, registered[name], sql.get(name))
         except Exception as err:  # report and go on with the other queries
             problem = f"{type(err).__name__}: {str(err)[:600]}"
         failed += bool(problem)
         print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - start:.1f}s {problem[:900]}", flush=True)
-    print(f"{failed} failed of {len(names or QUERIES)}; oracles {len(ORACLES)}")
+    print(f"{failed} failed of {len(names or registered)}; oracles {len(sql)}")
 
 
 if __name__ == "__main__":

@@ -198,6 +198,14 @@ def test_dense_cube_of_three_axes(spark):
     assert got == {(a, b, c): spots.get((a, b, c)) for a in axes[0] for b in axes[1] for c in axes[2]}
 
 
+def test_two_values_of_one_place(spark):
+    cells = spark.createDataFrame([("v", 0, 0, 1.0), ("v", 0, 0, 3.0), ("v", 0, 0, 2.0), ("v", 1, 1, 9.0)], "variable string, row int, col int, value float")
+    assert [r["values"] for r in g.grid_chunks(cells, 2).collect()] == [[3.0, None, None, 9.0]]
+    rows = spark.createDataFrame([(1, 1, 5.0), (1, 1, 7.0), (2, 2, 1.0), (None, 2, 8.0), (3, None, 8.0)], "a long, b long, v double")
+    got = {(r["a"], r["b"]): r["v"] for r in g.dense_cube(rows, ["a", "b"], ["v"]).collect()}
+    assert got == {(1, 1): 7.0, (1, 2): None, (2, 1): None, (2, 2): 1.0}
+
+
 def test_labels_and_empty_input(spark):
     spec = g.GridSpec(0.0, 10.0, 3.0, 14.0, 4, 1)
     df = spark.createDataFrame([(0, 0), (0, 3)], "row int, col int")
