@@ -206,9 +206,6 @@ def grid_chunks(grid: DataFrame, size: int = TILE) -> DataFrame:
         F.floor(F.col("row") / size).cast("int").alias("chunk_row"),
         F.floor(F.col("col") / size).cast("int").alias("chunk_col"),
     ).agg(F.sort_array(F.collect_list(F.struct(place.alias("at"), F.col("value").alias("value")))).alias("__cells"))
-    every = F.col("__cells")
-    last = F.filter(every, lambda c, i: F.coalesce(F.get(every, i + 1)["at"] != c["at"], F.lit(True)))
-    gathered = gathered.withColumn("__cells", last)
     cells = F.col("__cells")
 
     def gap(count):
@@ -216,7 +213,8 @@ def grid_chunks(grid: DataFrame, size: int = TILE) -> DataFrame:
 
     def filled(cell, i):
         before = F.when(i == 0, F.lit(-1)).otherwise(F.get(cells, i - 1)["at"])
-        return F.concat(gap((cell["at"] - before - 1).cast("int")), F.array(cell["value"].cast("float")))
+        value = F.when(F.get(cells, i + 1)["at"] == cell["at"], F.array().cast("array<float>")).otherwise(F.array(cell["value"].cast("float")))
+        return F.concat(gap((cell["at"] - before - 1).cast("int")), value)
 
     tail = gap((F.lit(n - 1) - F.element_at(cells, -1)["at"]).cast("int"))
     return gathered.select(

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoalgrid.session import scratch_path
@@ -30,34 +30,64 @@ def _split(fields: str) -> list[str]:
     return [f for f in [*out, fields[start:]] if f.strip()]
 
 
+# Levels of a tree that are opened together; deeper ones follow in further rounds.
+LEVELS = 4
+
+
+def _node_type(fields: str, levels: int) -> str:
+    """A node with ``levels`` levels below and including it as structs, and what is deeper as JSON text."""
+    own = "displayName:string," + ", ".join(f.strip().replace(" ", ":", 1) for f in _split(fields))
+    node = f"struct<{own},children:array<string>>"
+    for _ in range(levels - 1):
+        node = f"struct<{own},children:array<{node}>>"
+    return node
+
+
+def _open_nodes(nodes: Column, names: list[str], depth: int, levels: int, path: Column, sub: Column, subsub: Column) -> Column:
+    """Leaves among some levels of nodes, and the nodes of the last level with their ``below``; in tree order."""
+    def one(node: Column, at: Column) -> Column:
+        own = F.coalesce(node["displayName"], F.lit(""))
+        s, ss = (own if depth == 1 else sub), (own if depth == 2 else subsub)
+        place, below = F.concat(path, F.array(at)), node["children"]
+
+        def row(rest):
+            return F.array(F.struct(
+                place.alias("path"), s.alias("subtheme"), ss.alias("subsubtheme"), *[node[n].alias(n) for n in names], rest.alias("__below")))
+
+        if levels == 1:
+            return row(below)
+        deeper = _open_nodes(below, names, depth + 1, levels - 1, place, s, ss)
+        return F.when(below.isNull(), row(F.lit(None).cast("array<string>"))).otherwise(deeper)
+
+    return F.flatten(F.transform(nodes, one))
+
+
 def flatten_layer_tree(documents: DataFrame, json: str, doc_pos: str, leaf_fields: str = LAYER_FIELDS) -> DataFrame:
     """One row per layer of a tree of any depth, in tree order, with the names of its lot and first two levels.
 
     A layer right below its lot has its own name as subtheme; one level down, as subsubtheme.
     ``pos`` = document number and place in the document. Layers without id keep a null id; of layers of
-    a document with the same id the last one counts, at the place of the first. The tree is taken apart
-    level by level, each node a row of its own, so neither its depth nor its size is bound to one task.
+    a document with the same id the last one counts, at the place of the first. The tree is opened some
+    levels at a time, and what is left below becomes rows of their own, until nothing is left.
     """
     names = [f.strip().split(" ", 1)[0] for f in _split(leaf_fields)]
-    node_type = "struct<displayName:string," + ", ".join(f.strip().replace(" ", ":", 1) for f in _split(leaf_fields)) + ",children:array<string>>"
-    lot = F.from_json("lot", "struct<name:string,children:array<string>>")
+    node = _node_type(leaf_fields, LEVELS)
     trees = F.from_json(F.col(json), "struct<layerCatalog:struct<children:array<string>>>")["layerCatalog"]["children"]
     lots = documents.select(F.col(doc_pos).cast("long").alias("doc"), F.posexplode(trees).alias("at", "lot")).hint("rebalance")
-    level = lots.select("doc", F.array("at").alias("path"), lot.alias("lot")).select(
+    level = lots.select("doc", F.array("at").alias("path"), F.from_json("lot", f"struct<name:string,children:array<{node}>>").alias("lot")).select(
         "doc", "path", F.coalesce("lot.name", F.lit("")).alias("thematic_lot"), F.lit("").alias("subtheme"), F.lit("").alias("subsubtheme"),
-        F.posexplode("lot.children").alias("at", "node"))
+        F.col("lot.children").alias("nodes"))
     depth, found = 1, []
     while True:
-        own = F.coalesce(F.col("n.displayName"), F.lit(""))
-        nodes = _staged(level, f"tree-{depth}").withColumn("n", F.from_json("node", node_type)).select(
-            "doc", F.concat("path", F.array("at")).alias("path"), "thematic_lot", own.alias("subtheme") if depth == 1 else F.col("subtheme"),
-            own.alias("subsubtheme") if depth == 2 else F.col("subsubtheme"), "n")
-        found.append(nodes.where("n.children is null").select(
-            "doc", "path", "thematic_lot", "subtheme", "subsubtheme", *[F.col(f"n.{x}").alias(x) for x in names]))
-        level = nodes.select("doc", "path", "thematic_lot", "subtheme", "subsubtheme", F.posexplode("n.children").alias("at", "node"))
-        if level.isEmpty():
+        opened = _open_nodes(F.col("nodes"), names, depth, LEVELS, F.col("path"), F.col("subtheme"), F.col("subsubtheme"))
+        rows = _staged(level.select("doc", "thematic_lot", F.explode(opened).alias("x")).select("doc", "thematic_lot", "x.*"), f"tree-{depth}")
+        found.append(rows.where("__below is null").drop("__below"))
+        rest = rows.where("__below is not null")
+        if rest.isEmpty():
             break
-        depth += 1
+        nodes = F.from_json(F.concat(F.lit("["), F.array_join("__below", ","), F.lit("]")), f"array<{node}>")
+        level = rest.select("doc", "path", "thematic_lot", "subtheme", "subsubtheme", nodes.alias("nodes"))
+        depth += LEVELS
     leaves = _numbered(reduce(DataFrame.unionByName, found))
     # of equal ids the last one, at the place of the first
     places = leaves.where("id is not null").groupBy("doc", "id").agg(F.min("pos").alias("first"), F.max("pos").alias("pos"))
