@@ -26,7 +26,7 @@ from shoalgrid.llm.common import SPACES, chunks, map_arrow, text_of, texts_of
 #: Most labelled rows that the model is fitted on.
 SAMPLE = 1500
 #: Documents with a lower calibrated probability of good quality are rejected.
-THRESHOLD = 0.5
+THRESHOLD = 0.65
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 BITS = 16
