@@ -61,8 +61,11 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None, budget: floa
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, budget: float = 1.0, seed: int = SEED, id_column: str = "doc_id",
-        source_column: str = "source", text_column: str = "text") -> DataFrame:
-    """Copies of the documents in random order, with ``copy`` (from 1); ``budget`` is the mass wanted over the mass given."""
+        source_column: str = "source", text_column: str = "text", copy_column: str | None = "copy") -> DataFrame:
+    """Copies of the documents in random order, numbered from 1 in ``copy_column`` (None: not numbered).
+
+    ``budget`` is the mass wanted over the mass given. A column of the documents that has the name of ``copy_column`` is replaced.
+    """
     rates = source_rates(docs, weights, budget, source_column, text_column)
     steps = stage(poisson_steps(rates).select(F.struct("source").alias("__source"), F.col("steps").alias("__steps")), "steps")
     key = [F.lit(str(seed)), F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text_column), F.lit("")).cast("binary"))]
@@ -72,7 +75,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, budget: float
     dealt = found.where(copies > 0).select("__doc", "__key", F.explode(F.sequence(F.lit(1), copies)).alias("__copy"))
     order = F.md5(F.concat_ws("|", "__key", F.col("__copy").cast("string")).cast("binary"))
     shuffled = dealt.withColumn("__order", order).repartition("__order").sortWithinPartitions("__order")
-    return shuffled.select(*[F.col("__doc")[c].alias(c) for c in docs.columns], F.col("__copy").alias("copy"))
+    own = [F.col("__doc")[c].alias(c) for c in docs.columns if c != copy_column]
+    return shuffled.select(*own, *([F.col("__copy").alias(copy_column)] if copy_column else []))
 
 
 #: The same rows over ``documents`` with equal weights, in DuckDB's SQL.

@@ -96,3 +96,6 @@ def test_empty_and_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "abc", "s", 5, 6)], "doc_id long, text string, source string, rate int, copies int")
     assert mixing.mix(docs.limit(0)).collect() == []
     assert mixing.mix(docs).columns == [*docs.columns, "copy"]
+    clash = docs.withColumnRenamed("copies", "copy")
+    assert mixing.mix(clash).columns == clash.columns and mixing.mix(clash, copy_column=None).first()["copy"] == 6
+    assert lines.dedup_lines(docs.withColumnRenamed("rate", "line_counts")).columns == ["doc_id", "text", "source", "copies", "line_counts"]
