@@ -5,10 +5,11 @@ words, the end, and one class for all other words; a word of that class gets the
 times its smoothed share of the class, so the probabilities of all words (one unseen word included)
 sum to one. The class after two given ones is scored by ``(C1 q[c1] + C2 q[c2]) . r[c] + b[c]``.
 
-Training covers every training document: Spark counts all class trigrams, and in each round every task
-goes through its own part of these counts with noise-contrastive estimation in numpy, from the same
-parameters; the results are averaged by weight. Scoring normalises over all classes: one matrix product
-per block of distinct contexts.
+Training covers every training document: Spark counts all class trigrams, cuts the count of each into
+parts of at most the mean count and deals the parts out, so that frequent trigrams come up in as many
+batches as their counts ask for. In each round every task goes through its own parts with
+noise-contrastive estimation in numpy, from the same parameters; the results are averaged by weight.
+Scoring normalises over all classes: one matrix product per block of distinct contexts.
 
 Bounded by parameters, not by the data: the at most ``HEAD`` most frequent words, whose counts every task
 holds, and the model. Counts of all other words are joined, so every word has its exact count.
@@ -189,54 +190,65 @@ def _add_rows(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return places, np.add.reduceat(values[order], first, axis=0)
 
 
-def train(model: Model, share: np.ndarray, a, b, c, weight: np.ndarray, seed: int, rate: float) -> Model:
-    """One pass of noise-contrastive estimation over weighted trigrams, with Adagrad."""
-    q, r, c1, c2 = (x.copy() for x in model.parts)
-    sums = [np.full_like(x, 1e-6) for x in (q, r, c1, c2)]
-    rng = np.random.default_rng(seed)
-    noise_log = np.log(NOISE * np.maximum(share, 1e-12)).astype(np.float32)
-    order = rng.permutation(len(c))
+class Training:
+    """One pass of noise-contrastive estimation over weighted trigrams, with one Adagrad state for all its batches.
 
-    def step(part, seen, places, grad):
+    ``unit`` is the weight of a full batch: what a trigram counts does not depend on what shares its batch.
+    """
+
+    def __init__(self, model: Model, share: np.ndarray, unit: float, seed: int, rate: float):
+        self.parts = [x.copy() for x in model.parts]
+        self.sums = [np.full_like(x, 1e-6) for x in self.parts]
+        self.share, self.unit, self.rate = share, unit, rate
+        self.rng = np.random.default_rng(seed)
+        self.noise_log = np.log(NOISE * np.maximum(share, 1e-12)).astype(np.float32)
+
+    def model(self) -> Model:
+        return Model(*self.parts)
+
+    def _step(self, part, seen, places, grad):
         seen[places] += grad * grad
-        part[places] -= rate * grad / np.sqrt(seen[places])
-
-    for first in range(0, len(order), BATCH):
-        at = order[first: first + BATCH]
-        ia, ib, ic = a[at], b[at], c[at]
-        w = (weight[at] / weight[at].sum()).astype(np.float32)
-        noise = rng.choice(len(share), NOISE, p=share)
-        qa, qb = q[ia], q[ib]
-        hidden = qa @ c1 + qb @ c2
-        full = np.c_[hidden, np.ones(len(at), dtype=np.float32)]
-        true = 1 / (1 + np.exp(-np.clip((full * r[ic]).sum(axis=1) - noise_log[ic], -30, 30)))
-        false = 1 / (1 + np.exp(-np.clip(full @ r[noise].T - noise_log[noise], -30, 30)))
-        g_true, g_false = (w * (true - 1))[:, None], w[:, None] * false
-        g_hidden = g_true * r[ic][:, :-1] + g_false @ r[noise][:, :-1]
-        g_r = np.concatenate([g_true * full, g_false.T @ full])
-        g_q = np.concatenate([g_hidden @ c1.T, g_hidden @ c2.T])
-        every = slice(None)
-        for part, seen, (places, grad) in zip(
-            (q, r, c1, c2), sums,
-            (_add_rows(g_q, np.concatenate([ia, ib])), _add_rows(g_r, np.concatenate([ic, noise])), (every, qa.T @ g_hidden), (every, qb.T @ g_hidden)),
-        ):
-            step(part, seen, places, grad.astype(np.float32))
-    return Model(q, r, c1, c2)
-
-
-def _round(shared, number: int, rate: float) -> Callable:
-    """Train on the trigrams of one task; its parameters as rows, times its weight."""
+        part[places] -= self.rate * grad / np.sqrt(seen[places])
+
+    def add(self, a, b, c, weight: np.ndarray) -> None:
+        q, r, c1, c2 = self.parts
+        noise_log = self.noise_log
+        order = self.rng.permutation(len(c))
+        for first in range(0, len(order), BATCH):
+            at = order[first: first + BATCH]
+            ia, ib, ic = a[at], b[at], c[at]
+            w = (weight[at] / self.unit).astype(np.float32)
+            noise = self.rng.choice(len(self.share), NOISE, p=self.share)
+            qa, qb = q[ia], q[ib]
+            hidden = qa @ c1 + qb @ c2
+            full = np.c_[hidden, np.ones(len(at), dtype=np.float32)]
+            true = 1 / (1 + np.exp(-np.clip((full * r[ic]).sum(axis=1) - noise_log[ic], -30, 30)))
+            false = 1 / (1 + np.exp(-np.clip(full @ r[noise].T - noise_log[noise], -30, 30)))
+            g_true, g_false = (w * (true - 1))[:, None], w[:, None] * false
+            g_hidden = g_true * r[ic][:, :-1] + g_false @ r[noise][:, :-1]
+            g_r = np.concatenate([g_true * full, g_false.T @ full])
+            g_q = np.concatenate([g_hidden @ c1.T, g_hidden @ c2.T])
+            every = slice(None)
+            for part, seen, (places, grad) in zip(
+                self.parts, self.sums,
+                (_add_rows(g_q, np.concatenate([ia, ib])), _add_rows(g_r, np.concatenate([ic, noise])), (every, qa.T @ g_hidden), (every, qb.T @ g_hidden)),
+            ):
+                self._step(part, seen, places, grad.astype(np.float32))
+
+
+def _round(shared, unit: float, number: int, rate: float) -> Callable:
+    """Train on the parts of one task; its parameters as rows, times its weight."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, share = shared.value
-        m, total, seed = len(share), 0.0, number
+        m, total = len(share), 0.0
+        training = Training(model, share, unit, number, rate)
         for batch in batches:
             code, n = (np.asarray(batch.column(i)) for i in range(2))
             if len(code):
-                model = train(model, share, code // m // m, code // m % m, code % m, n.astype(np.float64), seed, rate)
+                training.add(code // m // m, code // m % m, code % m, n)
                 total += float(n.sum())
-                seed += 1000
         if total:
-            rows = model.rows().astype(np.float64) * total
+            rows = training.model().rows().astype(np.float64) * total
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(rows))), pa.array(np.full(len(rows), total)), *[pa.array(rows[:, i]) for i in range(rows.shape[1])]],
                 names=["row", "weight", *[f"v{i}" for i in range(rows.shape[1])]])
@@ -244,15 +256,27 @@ def _round(shared, number: int, rate: float) -> Callable:
     return step
 
 
+def dealt(grams: DataFrame) -> tuple[DataFrame, float]:
+    """Equal parts (code, n) of each trigram, none above the mean count, mixed over all tasks; and the mean weight of a part."""
+    total, distinct = grams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    mean = total / max(distinct, 1)
+    parts = F.ceil(F.col("n") / F.lit(mean)).cast("int")  # at most twice as many rows as trigrams in all
+    rows = grams.select("code", (F.col("n") / parts).alias("n"), F.explode(F.sequence(F.lit(1), parts)).alias("part"))
+    mixed = rows.select("code", "n", F.xxhash64("code", "part").alias("h")).repartition("h").sortWithinPartitions("h", "code")
+    out = stage(mixed.select("code", "n"), "parts") if distinct else rows.select("code", "n")
+    return out, total / max(out.count(), 1)
+
+
 def fit(grams: DataFrame, vocabulary: Vocabulary, width: int = WIDTH, rates: tuple[float, ...] = RATES) -> Model:
     """Rounds of training on all tasks at once; only sums of parameters come to the driver."""
     spark = grams.sparkSession
     model = Model.start(vocabulary.share, width)
+    parts, mean = dealt(grams)
     names = [f"v{i}" for i in range(width + 1)]
     schema = "row long, weight double, " + ", ".join(f"{v} double" for v in names)
     for number, rate in enumerate(rates):
         shared = spark.sparkContext.broadcast((model, vocabulary.share))  # size fixed by CLASSES and WIDTH
-        sums = map_arrow(grams, _round(shared, number, rate), schema).groupBy("row").agg(F.sum("weight").alias("w"), *[F.sum(v).alias(v) for v in names])
+        sums = map_arrow(parts, _round(shared, BATCH * mean, number, rate), schema).groupBy("row").agg(F.sum("weight").alias("w"), *[F.sum(v).alias(v) for v in names])
         found = sorted(sums.select("row", *[(F.col(v) / F.col("w")).alias(v) for v in names]).collect())
         if found:
             model = model.of_rows(np.array(found)[:, 1:])

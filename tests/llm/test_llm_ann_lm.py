@@ -132,3 +132,19 @@ def test_scores_on_the_table_beat_unigrams(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     rest = [r for r in lm.score_texts(docs).collect() if r["held_out"]]
     assert sum(r["score"] for r in rest) > sum(r["base_score"] for r in rest)
+
+
+def test_scores_on_the_larger_table_beat_unigrams(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    rest = [r for r in lm.score_texts(docs).collect() if r["held_out"]]
+    assert sum(r["score"] for r in rest) > sum(r["base_score"] for r in rest)
+
+
+def test_parts_keep_the_counts_and_are_even(spark):
+    grams = spark.createDataFrame([(5, 900), (6, 1), (7, 2), (8, 97)], "code long, n long")
+    parts, mean = lm.dealt(grams)
+    found = defaultdict(list)
+    for code, n in parts.collect():
+        found[code].append(n)
+    assert {code: sum(n) for code, n in found.items()} == pytest.approx({5: 900, 6: 1, 7: 2, 8: 97})
+    assert max(map(max, found.values())) <= 250 and mean == pytest.approx(1000 / sum(map(len, found.values())))
