@@ -1,6 +1,6 @@
 """Quality rules: counts of a text, and a hashed n-gram logistic regression with calibrated probabilities.
 
-Features are the relative frequencies of hashed words and of hashed 3- and 4-byte grams. The model
+Features are the relative frequencies of hashed words and of hashed 3-, 4- and 5-byte grams. The model
 is fitted in numpy on a bounded sample of the labelled rows (``SAMPLE`` rows with the least hash of
 their id); a quarter of the sample is kept out of the fit and calibrates the score (Platt's method).
 All texts are then scored in Arrow batches: one pass of array operations over the bytes of a batch.
@@ -21,18 +21,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoalgrid.llm.common import SPACES, chunks, map_arrow, text_of, texts_of
+from shoalgrid.llm.common import SPACES, chunks, map_arrow, stage, text_of, texts_of
 
 #: Most labelled rows that the model is fitted on.
-SAMPLE = 1500
+SAMPLE = 3000
 #: Documents with a lower calibrated probability of good quality are rejected.
-THRESHOLD = 0.65
+THRESHOLD = 0.5
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 BITS = 16
-GRAMS = (3, 4)
+GRAMS = (3, 4, 5)
 SYMBOLS = b"#*$%&|<>"
 _SCALE = 30.0
+#: Features that the fit works on at once: beside the features themselves, it needs memory for these only.
+_PIECE = 1 << 18
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(SPACES)] = True
@@ -193,26 +195,45 @@ def fit(labels: np.ndarray, buckets: list[np.ndarray], amounts: list[np.ndarray]
     if not 0 < labels[:learnt].sum() < learnt:
         return None
     size = (1 + len(GRAMS)) << BITS
-    count = np.array([len(buckets[i]) for i in order])
-    row = np.repeat(np.arange(len(labels)), count)
-    at, value = np.concatenate([buckets[i] for i in order]).astype(np.int64), np.concatenate([amounts[i] for i in order])
-    cut = int(count[:learnt].sum())
-    r, a, v, y = row[:cut], at[:cut], value[:cut], labels[:learnt]
+    pieces = list(_pieces(order, buckets))  # (first, last) of rows in the new order
+
+    def scores(first, last):
+        own = order[first: last]
+        row = np.repeat(np.arange(last - first), [len(buckets[i]) for i in own])
+        at, value = np.concatenate([buckets[i] for i in own]), np.concatenate([amounts[i] for i in own])
+        return row, at, value, np.bincount(row, weights=w[at] * value, minlength=last - first)
+
+    y = labels[:learnt]
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / learnt
     w, bias = np.zeros(size, dtype=np.float32), 0.0
     m, s = np.zeros(size), np.zeros(size)
     for step in range(1, rounds + 1):
-        z = np.bincount(r, weights=w[a] * v, minlength=learnt) + bias
-        error = (balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)).astype(np.float32)
-        g = np.bincount(a, weights=error[r] * v, minlength=size) + 1e-6 * w
+        g, total = 1e-6 * w.astype(np.float64), 0.0
+        for first, last in pieces:
+            last = min(last, learnt)
+            if first < last:
+                row, at, value, z = scores(first, last)
+                error = (balance[first: last] * (1 / (1 + np.exp(-np.clip(z + bias, -30, 30))) - y[first: last])).astype(np.float32)
+                g += np.bincount(at, weights=error[row] * value, minlength=size)
+                total += float(error.sum())
         m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
         w -= (0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
-        bias -= 0.5 * float(error.sum())
-    z, y = np.bincount(row[cut:], weights=w[at[cut:]] * value[cut:], minlength=len(labels))[learnt:], labels[learnt:]
+        bias -= 0.5 * total
+    z, y = np.concatenate([scores(*piece)[3] for piece in pieces])[learnt:], labels[learnt:]
     slope, offset = platt(z, y) if 0 < y.sum() < len(y) else (1.0, bias)
     return w, slope, offset
 
 
+def _pieces(order: np.ndarray, buckets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``_PIECE`` features each, one row at least."""
+    first, size = 0, 0
+    for k, i in enumerate(order, 1):
+        size += len(buckets[i])
+        if size >= _PIECE or k == len(order):
+            yield first, k
+            first, size = k, 0
+
+
 def platt(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     """Slope and offset of the probability 1 / (1 + exp(-(slope * score + offset))), by Newton's method with smoothed targets."""
     good = labels.sum()
@@ -229,8 +250,9 @@ def platt(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 def fit_on(sample: DataFrame) -> tuple[np.ndarray, float, float] | None:
     """Model of a bounded sample (doc_id, label, text); only hashed features come to the driver."""
-    found = map_arrow(sample, _sample_features, "doc_id string, label int, buckets binary, amounts binary").collect()
-    found.sort(key=lambda x: x["doc_id"])
+    # fetched part by part: the driver's JVM never holds the features of all rows
+    staged = stage(map_arrow(sample, _sample_features, "doc_id string, label int, buckets binary, amounts binary"), "features")
+    found = sorted(staged.toLocalIterator(), key=lambda x: x["doc_id"])
     labels = np.array([1 if x["label"] > 0 else 0 for x in found])
     return fit(labels, [np.frombuffer(x["buckets"], np.int32) for x in found], [np.frombuffer(x["amounts"], np.float32) for x in found])
 

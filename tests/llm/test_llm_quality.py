@@ -80,3 +80,25 @@ def test_odd_tables(spark):
     assert q.quality_rows(docs.limit(0), none).count() == 0
     nulls = spark.createDataFrame([(None, 1), (1, None), (1, 0), (1, 1)], "doc_id long, quality int")
     assert q.quality_rows(docs, nulls).count() == 5
+
+
+def test_five_byte_grams_and_few_bad_texts_kept_at_one_half(spark):
+    (bucket, value), = q.Batch([b"abcde"]).features()
+    assert np.bincount(bucket >> q.BITS).tolist() == [1, 3, 2, 1]
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    learnt = {r["doc_id"] for r in q.labelled_sample(docs, labels, q.SAMPLE, "doc_id", "text", "quality").select("doc_id").collect()}
+    kept = {r["doc_id"]: r["kept"] for r in q.quality_rows(docs, labels, threshold=0.5).collect()}
+    bad = [kept[r["doc_id"]] for r in labels.collect() if r["quality"] == 0 and r["doc_id"] not in learnt]
+    assert np.mean(bad) < 0.02
+
+
+def test_pieces_of_the_fit_do_not_change_it(monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = [" ".join(rng.choice(["good", "words", "here"] if i % 3 else ["bad", "junk", "here"], 30)).encode() for i in range(40)]
+    buckets, amounts = zip(*q.Batch(texts).features())
+    labels = np.array([int(i % 3 > 0) for i in range(40)])
+    whole = q.fit(labels, buckets, amounts)
+    monkeypatch.setattr(q, "_PIECE", 100)
+    parts = q.fit(labels, buckets, amounts)
+    assert parts[0] == pytest.approx(whole[0], abs=1e-3) and parts[1:] == pytest.approx(whole[1:], rel=1e-2)
