@@ -105,15 +105,22 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    """The longest prefix of the match, by whole groups after a space, that passes the checksum."""
-    for m in _IBAN.finditer(text):
-        end = m.end()
+    """The longest prefix of the match, by whole groups after a space, that passes the checksum.
+
+    The search goes on behind that prefix or, if none passes, from the next group inside the match.
+    """
+    m = _IBAN.search(text)
+    while m:
+        end, after = m.end(), text.find(" ", m.start(), m.end())
+        after = m.end() if after < 0 else after
         while end - m.start() >= 15:
             plain = text[m.start(): end].replace(" ", "")
             if 15 <= len(plain) <= 34 and mod_97(plain):
                 yield m.start(), end
+                after = end
                 break
             end = text.rfind(" ", m.start(), end)
+        m = _IBAN.search(text, after)
 
 
 _FINDERS = {

@@ -74,3 +74,12 @@ def test_odd_tables(spark):
     found = sorted(((r["doc_id"] or 0, r["n_email"], r["spans"]) for r in pii.personal_data(docs).collect()))
     assert found == [(0, 1, "email:0:7"), (1, 0, ""), (1, 0, ""), (1, 0, "")]
     assert pii.personal_data(docs.limit(0)).collect() == []
+
+
+def test_ibans_side_by_side_and_behind_a_word_of_their_shape():
+    spans = lambda t: [x[1:3] for x in pii.find(t) if x[0] == "iban"]
+    assert spans("BE68539007547034 BE68539007547034") == [(0, 16), (17, 33)]
+    assert spans("NO9386011117947 NO9386011117947") == [(0, 15), (16, 31)]
+    assert spans("BE68 5390 0754 7034 BE68 5390 0754 7034") == [(0, 19), (20, 39)]
+    assert spans("AB12 INVOICE NO9386011117947") == [(13, 28)]
+    assert len(spans("NO9386011117947 " * 5_000)) == 5_000
