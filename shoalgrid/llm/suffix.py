@@ -1,4 +1,7 @@
-"""Removal of byte strings that occur more than once, by distributed prefix doubling.
+"""Removal of byte strings that occur more than once, by window-minimum anchors with hashed prefixes.
+
+This stands in place of distributed prefix doubling: each round hashes raw prefixes, no ranks are paired
+at offsets and nothing is sorted. The cost of prefix doubling over all positions is not measured.
 
 A full suffix array holds one row per byte. Here only *anchors* get a row: positions that a rule on
 the bytes around them picks, so equal strings have equal anchors. A position ``p`` belongs to the
