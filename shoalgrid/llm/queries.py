@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoalgrid.llm import ann, lines, lm, mixing, packing, pii, quality, simhash, suffix, warc
+from shoalgrid.llm import ann, centroids, lines, lm, mixing, packing, pii, quality, simhash, suffix, warc
 from shoalgrid.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op3(spark, sf):
 @query("op2_nearest_neighbours")
 def op2(spark, sf):
     return ann.neighbours(table(spark, sf, "embeddings"))
+
+
+@query("op13_centroid_clustering")
+def op13(spark, sf):
+    return centroids.cluster(table(spark, sf, "embeddings"))
