@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoalgrid.llm import ann, centroids, lines, lm, mixing, packing, pii, quality, simhash, suffix, warc
+from shoalgrid.llm import ann, centroids, jaccard, lines, lm, mixing, packing, pii, quality, simhash, suffix, warc
 from shoalgrid.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op2(spark, sf):
 @query("op13_centroid_clustering")
 def op13(spark, sf):
     return centroids.cluster(table(spark, sf, "embeddings"))
+
+
+@query("op12_ngram_jaccard_join")
+def op12(spark, sf):
+    return jaccard.jaccard_components(table(spark, sf, "documents"))
