@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoalgrid.llm import ann, centroids, jaccard, lines, lm, mixing, packing, pii, quality, simhash, suffix, warc
+from shoalgrid.llm import align, ann, centroids, jaccard, lines, lm, mixing, packing, pii, quality, simhash, suffix, warc
 from shoalgrid.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,8 @@ def op13(spark, sf):
 @query("op12_ngram_jaccard_join")
 def op12(spark, sf):
     return jaccard.jaccard_components(table(spark, sf, "documents"))
+
+
+@query("op11_cross_tokenizer_alignment")
+def op11(spark, sf):
+    return align.align(table(spark, sf, "documents"))
