@@ -14,9 +14,10 @@ from shoalgrid.functions.records import record_facts
 from shoalgrid.operators import state as st
 from shoalgrid.plans import catalogue as cat
 from shoalgrid.plans.run import (
-    RunSettings, build_catalogue, complete_layers, convert_features, grid_features, publish_grid, stage, table_to_cube,
+    RunSettings, build_catalogue, complete_layers, convert_features, grid_features, publish_grid, stage, table_to_store,
 )
 from shoalgrid.session import scratch_path
+from shoalgrid.sources.features import read_cube
 from shoalgrid.sources.catalogue import flatten_layer_tree, with_id, without_id
 
 SETTINGS = RunSettings(run_year=2024, record_host="https://g.example.org")
@@ -116,7 +117,9 @@ GROUP BY latitude, longitude, date_trunc('day', time)"""
 SELECT a.latitude, o.longitude, strftime(t.time, '%Y-%m-%d') AS day, reading, coalesce(hits, 0) AS hits FROM (SELECT DISTINCT latitude FROM d) a CROSS JOIN (SELECT DISTINCT longitude FROM d) o
  CROSS JOIN (SELECT DISTINCT time FROM d) t LEFT JOIN d ON d.latitude = a.latitude AND d.longitude = o.longitude AND d.time = t.time""", ("daily",))
 def run_table_to_cube(spark, sf):
-    cube = table_to_cube(made(spark, sf, "daily"), {"READING": "reading"})
+    path = scratch_path(spark, "cube")
+    table_to_store(made(spark, sf, "daily"), {"READING": "reading"}, path)
+    cube = read_cube(spark, path, dense=True)
     return cube.select("latitude", "longitude", F.date_format("time", "yyyy-MM-dd").alias("day"), "reading", F.coalesce("hits", F.lit(0)).alias("hits"))
 
 

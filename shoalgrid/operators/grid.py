@@ -263,27 +263,16 @@ def dense_index(df: DataFrame, name: str, index: str, blocks: int = 4096) -> Dat
 def dense_cube(readings: DataFrame, dims: list[str], values: list[str]) -> DataFrame:
     """Every combination of the coordinates, with null where there is no reading.
 
-    The combinations are counted off as one number range and decoded by equi-joins, so the cube is
-    made in even parts. Readings without one of the coordinates have no place in it and are left out; of
-    several readings of one place the one with the greatest values, in their order, counts.
+    The cube is made as chunks of cells (``operators.cube``): each axis numbered once, one hash aggregate
+    per cell, one row per chunk, then chunks opened in their tasks; absent chunks come from a range over
+    the chunk grid, so no range of cells is shuffled. Readings without one of the coordinates have no
+    place in it and are left out; of several readings of one place the one with the greatest values, in
+    their order, counts.
     """
-    readings = readings.dropna(subset=dims)
-    indexes = {d: dense_index(readings, d, f"__{d}") for d in dims}
-    sizes = {d: indexes[d].count() for d in dims}
-    coded = readings
-    for d in dims:
-        coded = lookup(coded, indexes[d], [d], "inner")
-    place = reduce(lambda acc, d: acc * F.lit(sizes[d]) + F.col(f"__{d}"), dims[1:], F.col(f"__{dims[0]}"))
-    coded = coded.groupBy(place.alias("__cell")).agg(F.max(F.struct(*values)).alias("__v")).select("__cell", "__v.*")
-    cube = readings.sparkSession.range(math.prod(sizes.values())).withColumnRenamed("id", "__cell")
-    cube = cube.join(coded, "__cell", "left")
-    step = 1
-    for d in reversed(dims):
-        cube = cube.withColumn(f"__{d}", F.floor(F.col("__cell") / step).cast("long") % F.lit(sizes[d]))
-        step *= sizes[d]
-    for d in dims:
-        cube = cube.join(indexes[d], f"__{d}").drop(f"__{d}")
-    return cube.select(*dims, *values)
+    from shoalgrid.operators.cube import cube_chunks, cube_spec, open_cube
+
+    spec = cube_spec(readings, dims, values)
+    return open_cube(cube_chunks(readings, spec), spec, dense=True)
 
 
 def crs_attributes(variables: DataFrame, source_crs: str, stored_crs: str = "EPSG:4326") -> DataFrame:

@@ -22,7 +22,7 @@ from shoalgrid.operators.geometry import polygon_edges, with_bounds
 from shoalgrid.plans import catalogue as cat
 from shoalgrid.plans import reports as rp
 from shoalgrid.session import scratch_path
-from shoalgrid.sinks.writers import write_grid
+from shoalgrid.sinks.writers import write_cube, write_grid
 
 NO_LINKS = "array<string>"
 
@@ -166,19 +166,33 @@ def grid_features(
     return g.grid_values(valued, [*numbers, *texts]), codes, spec
 
 
-def table_to_cube(rows: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Dense cube of a table of readings, one row per coordinate combination.
-
-    Axes are latitude and longitude, then time if there is one, and depth if there are both.
-    """
+def _cube_axes(rows: DataFrame, mapping: dict[str, str]) -> tuple[DataFrame, list[str]]:
     named = c.align_coordinates(c.apply_mapping(rows, mapping))
     axes = ["latitude", "longitude"]
     if "time" in named.columns:
         axes += ["depth", "time"] if "depth" in named.columns else ["time"]
         named = named.withColumn("time", F.col("time").cast("timestamp"))
+    elif "depth" in named.columns:
+        axes += ["depth"]
+    return named, axes
+
+
+def table_to_cube(rows: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """Dense cube of a table of readings, one row per coordinate combination.
+
+    Axes are latitude and longitude, then time if there is one, and depth if there are both.
+    """
+    named, axes = _cube_axes(rows, mapping)
     return g.dense_cube(named, axes, [n for n in named.columns if n not in axes])
 
 
+def table_to_store(rows: DataFrame, mapping: dict[str, str], path: str, edges: dict[str, int] | None = None):
+    """Chunk store of a table of readings under standard names: latitude, longitude, then depth and time
+    where there are such columns; every other column a variable. Returns the cube's shape."""
+    named, axes = _cube_axes(rows, mapping)
+    return write_cube(named, path, axes, [n for n in named.columns if n not in axes], edges)
+
+
 def publish_grid(
     grid: DataFrame, path: str, mapping: dict[str, str], title: str, source: str, native_asset: str, run_date: str,
     source_crs: str, categories: DataFrame | None = None, size: int = g.TILE, spec: g.GridSpec | None = None,

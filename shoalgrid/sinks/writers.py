@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from shoalgrid.operators.columns import apply_mapping
+from shoalgrid.operators.cube import CubeSpec, cube_chunks, cube_spec
 from shoalgrid.operators.geometry import with_bounds
 from shoalgrid.operators.grid import TILE, grid_chunks
 
@@ -57,6 +58,22 @@ def write_grid(grid: DataFrame, path: str, attributes: DataFrame | None = None,
         attributes.write.parquet(f"{path}_attributes")
 
 
+def write_cube(readings: DataFrame, path: str, axes: list[str], variables: list[str], edges: dict[str, int] | None = None) -> CubeSpec:
+    """Chunk store at ``path``: chunk rows sorted by key (so windows skip row groups), axes beside it.
+
+    ``<path>_axis_<name>``: the numbered axis; ``<path>_shape``: axis, position, length and chunk edge.
+    """
+    spec = cube_spec(readings, axes, variables, edges)
+    keys = [f"chunk_{a}" for a in axes]
+    cube_chunks(readings, spec).repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
+    for a in axes:
+        spec.indexes[a].write.parquet(f"{path}_axis_{a}")
+    spark = readings.sparkSession
+    spark.createDataFrame([(a, k, s, e) for k, (a, s, e) in enumerate(zip(axes, spec.sizes, spec.edges))],
+                          "axis string, position int, size long, edge int").write.parquet(f"{path}_shape")
+    return spec
+
+
 def write_snapshot(layers: DataFrame, path: str, snapshot: str) -> None:
     """State of the layers as JSON lines below ``snapshot=<name>``; a repeated run replaces that folder only."""
     _replacing(layers.withColumn("snapshot", F.lit(snapshot)), "snapshot").json(path)

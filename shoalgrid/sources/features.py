@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from shoalgrid.operators.columns import require_filled
 from shoalgrid.operators.geometry import with_bounds
+from shoalgrid.operators.cube import open_cube, read_cube_spec
 from shoalgrid.operators.grid import TILE, open_chunks
 from shoalgrid.operators.ordering import ingest_positions
 
@@ -76,6 +77,22 @@ def read_chunks(
     return cells
 
 
+def read_cube(
+    spark: SparkSession, path: str, variables: list[str] | None = None, windows: dict[str, tuple[int, int]] | None = None,
+    dense: bool = False,
+) -> DataFrame:
+    """Cells of an n-dimensional chunk store: axis values and variables.
+
+    Only the named variables' columns are read, and only chunks of the windows (ranges of axis numbers,
+    both ends included). ``dense``: every combination of the axis values, null where nothing was read.
+    """
+    spec = read_cube_spec(spark, path)
+    if variables is not None:
+        spec.variables = [v for v in spec.variables if v in variables]
+    chunks = spark.read.parquet(path).select(*[f"chunk_{a}" for a in spec.axes], *spec.variables)
+    return open_cube(chunks, spec, dense, windows)
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """XML documents of a folder, one row each: uri, xml."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("uri"), F.col("value").alias("xml"))
