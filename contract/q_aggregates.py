@@ -159,3 +159,37 @@ def a17(spark, sf):
 @query("a18_run_counters", "SELECT count(*) AS layers, count(*) FILTER (WHERE coalesce(in_stac, 'no') <> 'yes') AS to_process, count(*) FILTER (WHERE in_stac = 'yes') AS published FROM layers", ("layers",))
 def a18(spark, sf):
     return rp.run_counters(made(spark, sf, "layers"))
+
+
+HARVEST_SQL = """WITH n AS (SELECT n_nationkey AS k, n_name AS id FROM nation),
+ c AS (SELECT DISTINCT c_nationkey AS k FROM customer),
+ o AS (SELECT DISTINCT c_nationkey AS k FROM orders JOIN customer ON o_custkey = c_custkey),
+ cols0(col_pos, name) AS (VALUES (0, 'c_custkey'), (1, 'c_name'), (2, 'c_acctbal'), (3, 'c_mktsegment')),
+ cols1(col_pos, name) AS (VALUES (0, 'o_orderkey'), (1, 'o_orderstatus'), (2, 'o_totalprice'), (3, 'o_orderdate'))
+SELECT id, 0::BIGINT AS asset_pos, col_pos::BIGINT AS col_pos, name, 'parquet' AS kind, false AS failed FROM n JOIN c USING (k) CROSS JOIN cols0
+UNION ALL SELECT id, 1::BIGINT, col_pos::BIGINT, name, 'csv', false FROM n JOIN o USING (k) CROSS JOIN cols1
+UNION ALL SELECT id, 0::BIGINT, NULL::BIGINT, NULL, NULL, true FROM n WHERE k NOT IN (SELECT k FROM c)
+UNION ALL SELECT id, 1::BIGINT, NULL::BIGINT, NULL, NULL, true FROM n WHERE k NOT IN (SELECT k FROM o)
+UNION ALL SELECT id, 2::BIGINT, NULL::BIGINT, NULL, NULL, true FROM n"""
+
+
+@query("a10_harvest_schemas", HARVEST_SQL)
+def a10_harvest(spark, sf):
+    """Assets written per nation (Parquet of its customers, CSV of their orders, one missing), then their
+    schemas harvested from footers and header lines only."""
+    from shoalgrid.session import scratch_path
+    from shoalgrid.sources.assets import harvest_schemas
+
+    base = scratch_path(spark, "assets")
+    customer, orders, nation = (table(spark, sf, t) for t in ("customer", "orders", "nation"))
+    customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", F.col("c_nationkey").alias("nation")) \
+        .write.partitionBy("nation").parquet(f"{base}/customers")
+    orders.join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey") \
+        .select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", F.col("c_nationkey").alias("nation")) \
+        .write.partitionBy("nation").option("header", True).csv(f"{base}/orders")
+    folder = F.concat(F.lit("/nation="), F.col("n_nationkey").cast("string"))
+    assets = nation.select(F.col("n_name").alias("id"), F.explode(F.array(
+        F.struct(F.lit(0).alias("asset_pos"), F.concat(F.lit(f"{base}/customers"), folder).alias("path")),
+        F.struct(F.lit(1).alias("asset_pos"), F.concat(F.lit(f"{base}/orders"), folder).alias("path")),
+        F.struct(F.lit(2).alias("asset_pos"), F.concat(F.lit(f"{base}/missing"), folder).alias("path")))).alias("a")).select("id", "a.*")
+    return harvest_schemas(assets).select("id", "asset_pos", "col_pos", "name", "kind", F.col("error").isNotNull().alias("failed"))
