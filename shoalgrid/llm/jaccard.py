@@ -14,51 +14,90 @@ links with the pivot itself (a document too): such links are emitted, and two me
 pivot's ball need no test, as they already share a component. In the leaves, pairs of one region whose
 sizes allow a link (``0.8 |A| <= |B| <= |A| / 0.8``) are tested exactly by their set intersection.
 
-Three exact steps come first, each in linear work: equal sets are one set (linked); a set none of whose
-shingles is in another document links with nothing; nor does one with fewer than 80 % of its shingles
-shared with some other document (a link needs ``|A n B| >= 0.8 |A|``). Pivots are chosen among sets of
+Two exact steps come first, each in linear work: equal sets are one node, named by a hash of the set
+(its documents are linked); and in the order of the shingle hashes, two sets with ``J >= 0.8`` share a
+shingle among the first ``n - ceil(0.8 n) + 1`` hashes of each, so a set whose such prefix shares
+nothing with the prefix of another set links with nothing. Only prefixes are staged; the whole sets of
+the remaining candidates are made again from one document of each. Pivots are chosen among sets of
 at most ``PIVOT_MAX`` shingles by a hash, about ``PIVOTS`` per region, so the pivot table is bounded.
 
 Shingles are the distinct space-joined 5-word runs of lower-cased (A-Z only) words ``[^\\x20\\x09-\\x0D]+``,
 held as XXH64 values (a collision of two distinct shingles is taken as equality). Fewer than five
 words: the whole sequence is one shingle. No words (null or empty text): an empty set, linked with
 nothing, its own component. Rows with a null doc_id get a null component and link with nothing.
-Repeated rows are documents of their own each (equal sets, so linked). Other columns are ignored.
+Repeated rows are documents of their own each (equal sets, so linked); rows of one doc_id with other
+texts are judged each on its own text. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoalgrid.llm import graph
-from shoalgrid.llm.common import stage, text_of
+from shoalgrid.llm.common import chunks, map_arrow, stage, text_of, texts_of
 from shoalgrid.operators.skew import lookup
+from shoalgrid.session import scratch_path
 
 WORDS = 5
 #: A link needs ``100 * |A n B| >= SIMILARITY * |A u B|``.
 SIMILARITY = 80
 LEAF = 512
 LEVELS = 4
-PIVOTS = 24
+PIVOTS = 64
 PIVOT_MAX = 4096
 #: Window of the triangle inequality, 2 * (1 - 0.8), with room for rounding (it only adds copies).
 WINDOW = 0.4 + 1e-9
 #: Distance of a link, with the same room: a pivot's region takes members within its radius plus this.
 REACH = 0.2 + 1e-9
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-SPACES = r"[\x20\x09-\x0D]+"
+#: Members this far or more from every pivot of a region are at home in its far region instead.
+FAR = 0.6
+#: Rounds of the two exact rules among the remaining candidates, until none drops out.
+NARROWING = 4
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def shingle_set(text: Column, words: int = WORDS) -> Column:
-    """Sorted distinct XXH64 values of the shingles of a text."""
-    found = F.filter(F.split(F.translate(text, _UPPER, _UPPER.lower()), SPACES), lambda w: w != "")
-    n = F.size(found)
-    runs = F.transform(F.sequence(F.lit(0), n - words), lambda i: F.array_join(F.slice(found, i + 1, words), " "))
-    shingles = F.when(n >= words, runs).when(n > 0, F.array(F.array_join(found, " "))).otherwise(F.array().cast("array<string>"))
-    return F.array_sort(F.array_distinct(F.transform(shingles, lambda s: F.xxhash64(s))))
+def shingle_hashes(text: bytes, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct XXH64 values (as signed longs) of the shingles of one UTF-8 text."""
+    found = text.translate(_LOWER).split()  # bytes.split() parts on exactly [\x20\x09-\x0D]
+    if not found:
+        return np.zeros(0, dtype=np.int64)
+    if len(found) < words:
+        runs = [b" ".join(found)]
+    else:
+        runs = [b" ".join(found[i:i + words]) for i in range(len(found) - words + 1)]
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(r) for r in runs), dtype=np.uint64, count=len(runs)).view(np.int64))
+
+
+def prefix_length(n: int) -> int:
+    """Least hashes of a set of ``n`` that must hold a shared shingle of any set it links with."""
+    return n - (SIMILARITY * n + 99) // 100 + 1 if n else 0
+
+
+def _sets(words: int, whole: bool):
+    """(doc_id, n, sid, s): the set's size, its name (XXH64 of size and hashes), and all hashes or the prefix."""
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            found = [shingle_hashes(t, words) for t in texts_of(batch.column("text"))]
+            sizes = np.array([len(x) for x in found], dtype=np.int64)
+            names = [np.uint64(xxhash.xxh64_intdigest(x.tobytes(), seed=len(x))).view(np.int64) if len(x) else None for x in found]
+            kept = found if whole else [x[:prefix_length(len(x))] for x in found]
+            offsets = np.zeros(len(kept) + 1, dtype=np.int32)
+            np.cumsum([len(x) for x in kept], out=offsets[1:])
+            flat = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes), pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))],
+                ["doc_id", "n", "sid", "s"])
+    return step
+
+
+_SETS = "doc_id long, n long, sid long, s array<long>"
 
 
 def _links(a: Column, b: Column) -> Column:
@@ -66,47 +105,110 @@ def _links(a: Column, b: Column) -> Column:
     return F.col("i") * 100 >= (a + b - F.col("i")) * SIMILARITY
 
 
-def candidates(sets: DataFrame) -> DataFrame:
-    """Sets that may link: 100 * (shingles found in another document) >= 80 * size."""
-    spread = sets.select("sid", F.explode("s").alias("h"))
-    shared = spread.groupBy("h").agg(F.count("*").alias("df")).where("df > 1").select("h")
-    counts = spread.join(shared, "h").groupBy("sid").agg(F.count("*").alias("shared"))
-    return sets.join(counts, "sid").where(F.col("shared") * 100 >= F.col("n") * SIMILARITY).drop("shared")
+def candidates(prefixes: DataFrame) -> DataFrame:
+    """(sid, doc_id) of each set that may link, with its least doc_id.
+
+    In the order of the hashes, two sets with ``J >= 0.8`` share a shingle among the first
+    ``prefix_length`` of each; a shingle is in the prefix of another set exactly when the least and
+    greatest set names holding it there differ. Copies of a document name the same set.
+    """
+    spread = prefixes.select("sid", F.explode("s").alias("h"))
+    per_shingle = spread.groupBy("h").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
+    shared = per_shingle.where("lo != hi").select("h")
+    able = spread.join(shared, "h", "left_semi").select("sid").distinct()
+    return prefixes.join(able, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+
+
+def narrowed(members: DataFrame) -> DataFrame:
+    """Members (sid, s, n) that may still link with another member, by both exact rules among them.
+
+    A set keeps its place if at least 80 % of its shingles are in other members, and if its prefix shares
+    a shingle with the prefix of another member; both ends of a link meet both rules by each other. One
+    aggregate by shingle serves both rules.
+    """
+    p = F.col("n") - F.floor((F.col("n") * SIMILARITY + 99) / 100) + 1
+    spread = members.select("sid", F.posexplode("s").alias("at", "h"), "n").select("sid", "h", (F.col("at") < p).alias("head"))
+    per_shingle = spread.groupBy("h").agg(
+        F.min("sid").alias("lo"), F.max("sid").alias("hi"),
+        F.min(F.when(F.col("head"), F.col("sid"))).alias("head_lo"), F.max(F.when(F.col("head"), F.col("sid"))).alias("head_hi"))
+    alone = per_shingle.where("lo = hi").groupBy(F.col("lo").alias("sid")).agg(F.count("*").alias("alone"))
+    head_shared = per_shingle.where("head_lo != head_hi").select("h")
+    meeting = spread.where("head").join(head_shared, "h", "left_semi").select("sid").distinct()
+    counted = members.join(alone, "sid", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    return (counted.where((F.col("n") - F.col("alone")) * 100 >= F.col("n") * SIMILARITY).drop("alone")
+            .join(meeting, "sid", "left_semi"))
+
+
+def staged(df: DataFrame, label: str, made: list[str]) -> DataFrame:
+    """Stage a table and note its folder in ``made``, so that it can go once its successor is written."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    made.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop(spark, made: list[str]) -> None:
+    """Delete staged folders that nothing will read again."""
+    jvm = spark.sparkContext._jvm
+    for path in made:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    made.clear()
+
+
+def release(spark) -> None:
+    """Let Spark's cleaner delete the shuffle files of stages whose plans nothing holds any more."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def _pivots(members: DataFrame, level: int) -> DataFrame:
-    """About PIVOTS home members of every region (at least one), of at most PIVOT_MAX shingles."""
+    """About PIVOTS home members of every region of at most PIVOT_MAX shingles, and the home member of
+    least hash whatever its size, so a region with members at home always has a pivot."""
     u = F.xxhash64("sid", F.lit(level)).cast("double") / float(2 ** 64) + 0.5
-    able = members.where(F.col("home") & (F.col("n") <= PIVOT_MAX)).withColumn("u", u)
-    homes = able.groupBy("region").agg(F.count("*").alias("homes"), F.min_by("sid", "u").alias("least"))
-    chosen = able.join(homes, "region").where((F.col("u") * F.col("homes") < PIVOTS) | (F.col("sid") == F.col("least")))
+    homes = members.where("home").withColumn("u", u)
+    counts = homes.groupBy("region").agg(F.count_if(F.col("n") <= PIVOT_MAX).alias("able"), F.min_by("sid", "u").alias("least"))
+    chosen = homes.join(counts, "region").where(
+        ((F.col("n") <= PIVOT_MAX) & (F.col("u") * F.col("able") < PIVOTS)) | (F.col("sid") == F.col("least")))
     return chosen.select("region", F.col("sid").alias("psid"), F.col("n").alias("pn"), F.col("s").alias("ps"))
 
 
-def split(members: DataFrame, level: int) -> DataFrame:
-    """Members of the next level: each in the regions of the pivots within both windows of the module."""
-    pivots = stage(_pivots(members, level), "pivots")
+def split(members: DataFrame, level: int, made: list[str]) -> DataFrame:
+    """Members of the next level: each in the regions of the pivots within both windows of the module.
+
+    Its staged helpers are noted in ``made``; they may go once the result is staged.
+    """
+    pivots = staged(_pivots(members, level), "pivots", made)
     spread = pivots.select("region", "psid", F.explode("ps").alias("h"))
     shared = (members.select("region", "sid", F.explode("s").alias("h")).join(spread, ["region", "h"])
               .groupBy("region", "sid", "psid").agg(F.count("*").alias("i")))
     # Every member against every pivot of its region (about PIVOTS each), without its set; no overlap is distance 1.
     slim = members.select("region", "sid", "n", "home")
-    each = stage(slim.join(pivots.drop("ps"), "region").join(shared, ["region", "sid", "psid"], "left")
+    each = staged(slim.join(pivots.drop("ps"), "region").join(shared, ["region", "sid", "psid"], "left")
                  .withColumn("i", F.coalesce("i", F.lit(0)))
                  .withColumn("d", 1 - F.col("i") / (F.col("n") + F.col("pn") - F.col("i")))
-                 .withColumn("ball", _links(F.col("n"), F.col("pn"))), "distances")
-    nearest = each.groupBy("region", "sid").agg(F.min(F.struct("d", "psid")).alias("best"))
+                 .withColumn("ball", _links(F.col("n"), F.col("pn"))), "distances", made)
+    nearest = staged(each.groupBy("region", "sid").agg(F.min(F.struct("d", "psid")).alias("best")), "nearest", made)
+    near = F.col("best.d") < FAR
     placed = each.join(nearest, ["region", "sid"])
     # A pivot's radius: farthest member that is home there; a region without one has no pair to find.
-    radius = (placed.where(F.col("home") & (F.col("psid") == F.col("best.psid")))
+    radius = (placed.where(F.col("home") & near & (F.col("psid") == F.col("best.psid")))
               .groupBy("region", "psid").agg(F.max("d").alias("radius")))
     kept = (placed.join(radius, ["region", "psid"])
             .where(F.col("d") <= F.col("best.d") + WINDOW)
-            .where(F.col("d") <= F.col("radius") + REACH))
-    return kept.join(members.select("region", "sid", "s", "balls"), ["region", "sid"]).select(
-        F.xxhash64("region", "psid").alias("region"), "sid", "s", "n",
-        (F.col("home") & (F.col("psid") == F.col("best.psid"))).alias("home"),
-        F.when(F.col("ball"), F.concat("balls", F.array("psid"))).otherwise(F.col("balls")).alias("balls"))
+            .where(F.col("d") <= F.col("radius") + REACH)
+            .select("region", "sid", F.xxhash64("region", "psid").alias("child"),
+                    (F.col("home") & near & (F.col("psid") == F.col("best.psid"))).alias("home"),
+                    F.when(F.col("ball"), F.array("psid")).otherwise(F.array().cast("array<long>")).alias("ball")))
+    # The far region: at home whoever is FAR or more from every pivot, copied whoever is FAR - 0.2 or more.
+    far = (each.select("region", "sid", "home").distinct().join(nearest, ["region", "sid"])
+           .where(F.col("best.d") >= FAR - REACH)
+           .select("region", "sid", F.xxhash64("region", F.lit(-1)).alias("child"), (F.col("home") & ~near).alias("home"),
+                   F.array().cast("array<long>").alias("ball")))
+    return kept.unionByName(far).join(members.select("region", "sid", "s", "n", "balls"), ["region", "sid"]).select(
+        F.col("child").alias("region"), "sid", "s", "n", "home", F.concat("balls", "ball").alias("balls"))
 
 
 def _ball_links(members: DataFrame) -> DataFrame:
@@ -126,34 +228,64 @@ def leaf_links(leaves: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (least doc_id reachable by links, itself included)."""
-    rows = stage(docs.select(F.col(id_column).cast("long").alias("doc_id"), shingle_set(text_of(text_column), words).alias("s")), "jaccard-sets")
-    rows = rows.withColumn("n", F.size("s"))
-    named = rows.where("doc_id is not null and n > 0")
-    sets = stage(named.groupBy("s").agg(F.min("doc_id").alias("sid")).withColumn("n", F.size("s")), "distinct-sets")
-    members = stage(candidates(sets).select(
-        F.lit(0).cast("long").alias("region"), "sid", "s", "n", F.lit(True).alias("home"), F.array().cast("array<long>").alias("balls")), "members")
-    leaves, links = [], []
-    for level in range(LEVELS):
+    """Per document: doc_id, n_shingles, component_id (least doc_id reachable by links, itself included).
+
+    A distinct set is a node named by the XXH64 of its size and shingles; its documents share it and so
+    are linked. Links run between nodes; each component then takes the least doc_id of its documents.
+    """
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_of(text_column).alias("text"))
+    spark = docs.sparkSession
+    rows = stage(map_arrow(texts, _sets(words, whole=False), _SETS), "jaccard-prefixes")
+    temps: list[str] = []
+    able = staged(candidates(rows.where("doc_id is not null and n > 0")), "jaccard-candidates", temps)
+    release(spark)
+    # Whole sets only of the candidates: one document of each, its text shingled again.
+    chosen = texts.join(able.select("doc_id"), "doc_id", "left_semi")
+    whole = map_arrow(chosen, _sets(words, whole=True), _SETS).join(able, ["sid", "doc_id"], "left_semi")
+    held: list[str] = []
+    sets = staged(whole.select("sid", "s", "n"), "jaccard-sets", held)
+    drop(spark, temps)
+    release(spark)
+    seen = sets.count()
+    for _ in range(NARROWING):
+        newer: list[str] = []
+        fewer = staged(narrowed(sets), "jaccard-narrowed", newer)
+        release(spark)
+        left = fewer.count()
+        drop(spark, held)
+        sets, held, done = fewer, newer, left == seen
+        seen = left
+        if done:
+            break
+    # A text repeated under one doc_id gave its set more than once.
+    level_made: list[str] = []
+    members = staged(sets.dropDuplicates(["sid"]).select(
+        F.lit(0).cast("long").alias("region"), "sid", "s", "n", F.lit(True).alias("home"), F.array().cast("array<long>").alias("balls")),
+        "members", level_made)
+    drop(spark, held)
+    links = []
+    for level in range(LEVELS + 1):
         sizes = members.groupBy("region").agg(F.count("*").alias("rows"))
+        last = level == LEVELS
+        leaf = members if last else members.join(sizes.where(F.col("rows") <= LEAF).select("region"), "region")
+        links.append(stage(leaf_links(leaf), "leaf-links"))
         big = sizes.where(F.col("rows") > LEAF).select("region")
-        leaves.append(members.join(sizes.where(F.col("rows") <= LEAF).select("region"), "region"))
-        if big.isEmpty():
-            members = None
+        if last or big.isEmpty():
             break
-        members = stage(split(members.join(big, "region"), level), f"level-{level}")
-        links.append(_ball_links(members))
-    if members is not None:
-        leaves.append(members)
-    for leaf in leaves:
-        links.append(leaf_links(leaf))
-    edges = stage(reduce(DataFrame.unionByName, links), "jaccard-links") if links else None
-    roots = graph.components(edges.distinct()) if edges is not None else None
-    # Equal sets are linked: every document hangs on the least doc_id of its set.
-    per_doc = lookup(rows, sets.select("s", "sid"), ["s"], "left")
-    if roots is not None:
-        per_doc = lookup(per_doc, roots.select(F.col("node").alias("sid"), "root"), ["sid"], "left")
-    else:
-        per_doc = per_doc.withColumn("root", F.lit(None).cast("long"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "sid", "doc_id"))
+        helpers: list[str] = []
+        next_made: list[str] = []
+        members = staged(split(members.join(big, "region"), level, helpers), f"level-{level}", next_made)
+        links.append(stage(_ball_links(members), "ball-links"))
+        drop(spark, helpers)
+        drop(spark, level_made)
+        level_made = next_made
+        release(spark)
+    drop(spark, level_made)
+    edges = stage(reduce(DataFrame.unionByName, links), "jaccard-links")
+    roots = graph.components(edges.distinct()).select(F.col("node").alias("sid"), "root")
+    per_doc = lookup(rows.select("doc_id", "n", "sid"), roots, ["sid"], "left")
+    per_doc = per_doc.withColumn("group", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "sid")))
+    least = per_doc.where(F.col("group").isNotNull()).groupBy("group").agg(F.min("doc_id").alias("least"))
+    per_doc = lookup(per_doc, least, ["group"], "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return per_doc.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))

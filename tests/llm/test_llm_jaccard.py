@@ -84,3 +84,12 @@ def test_empty_and_unlinked(spark):
     assert run(spark, []) == []
     rows = [(1, "one two three four five six"), (2, "seven eight nine ten eleven twelve"), (3, None)]
     assert run(spark, rows) == brute(rows)
+
+
+def test_far_regions_and_large_sets(spark, monkeypatch):
+    # Pivots of a few shingles only: the largest sets can be the sole pivot of their region.
+    monkeypatch.setattr(jaccard, "LEAF", 4)
+    monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard, "PIVOT_MAX", 10)
+    rows = corpus(5, 80) + [(5000 + k, " ".join(f"u{k}x{j}" for j in range(40))) for k in range(20)]
+    assert run(spark, rows) == brute(rows)
