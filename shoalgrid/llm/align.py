@@ -36,6 +36,10 @@ from shoalgrid.llm.common import chunks, map_arrow, stage
 from shoalgrid.operators.skew import lookup
 
 A_FILE = "byte_bpe_50k.json"
+#: The same vocabulary as ranks: A is encoded by tiktoken, which returns bare id lists (the ``tokenizers``
+#: encodings also hold strings, offsets and masks of every token, several hundred MB a few MB of text);
+#: the tests encode with ``tokenizers`` from ``A_FILE`` and compare.
+A_RANKS = "byte_bpe_50k.tiktoken"
 B_FILE = "piece_bpe_32k.model"
 
 _ROWS = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -62,7 +66,6 @@ def tokenizers(a_path: str, b_path: str):
     from tokenizers import Tokenizer
 
     a = Tokenizer.from_file(a_path)
-    a.encode_special_tokens = True
     alphabet = _byte_alphabet()
     a_bytes = [b""] * a.get_vocab_size()
     for token, i in a.get_vocab().items():
@@ -78,7 +81,30 @@ def tokenizers(a_path: str, b_path: str):
         else:
             b_bytes.append(piece.replace("▁", " ").encode())
     lengths = lambda table: np.array([len(x) for x in table], dtype=np.int64)
-    return a, b, a_bytes, b_bytes, lengths(a_bytes), lengths(b_bytes)
+    return _ranked(a_path), b, a_bytes, b_bytes, lengths(a_bytes), lengths(b_bytes)
+
+
+def _ranked(a_path: str):
+    """tiktoken encoder of the rank file beside ``a_path``, without special tokens."""
+    import base64
+    import os
+
+    import public_tokenizers
+    import tiktoken
+
+    ranks_path = os.path.join(os.path.dirname(a_path), A_RANKS)
+    with open(ranks_path, "rb") as handle:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, handle) if token}
+    return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+_SEPARATORS = np.array(["", ";", "|", ","], dtype=object)
+
+
+@lru_cache(maxsize=2)
+def _names(size: int) -> np.ndarray:
+    """Decimal text of every id below ``size``."""
+    return np.array([str(i) for i in range(size)], dtype=object)
 
 
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -93,12 +119,12 @@ def align_batch(texts: list[str | None], a_path: str, b_path: str) -> dict[str,
     n = len(texts)
     valid = [bool(t) for t in texts]
     plain = [t if v else "" for t, v in zip(texts, valid)]
-    a_ids = [e.ids for e in a_tok.encode_batch([" " + t for t in plain], add_special_tokens=False)]
+    a_ids = a_tok.encode_ordinary_batch([" " + t for t in plain], num_threads=1)
     b_ids = b_tok.encode(plain, num_threads=1)
     for d, t in enumerate(plain):
         if valid[d]:
             want = b" " + t.encode()
-            if b"".join(a_bytes[i] for i in a_ids[d]) != want or b"".join(b_bytes[i] for i in b_ids[d]) != want:
+            if a_tok.decode_bytes(a_ids[d]) != want or b"".join(map(b_bytes.__getitem__, b_ids[d])) != want:
                 valid[d] = False
     a_ids = [ids if v else [] for ids, v in zip(a_ids, valid)]
     b_ids = [ids if v else [] for ids, v in zip(b_ids, valid)]
@@ -108,11 +134,14 @@ def align_batch(texts: list[str | None], a_path: str, b_path: str) -> dict[str,
     a_end = np.cumsum(a_len[a_flat])
     b_end = np.cumsum(b_len[b_flat])
     a_start, b_start = a_end - a_len[a_flat], b_end - b_len[b_flat]
-    # Ends of both, by a hash join on (document, end).
-    common = pa.table({"doc": a_doc, "end": a_end}).join(pa.table({"doc": b_doc, "end": b_end, "x": np.ones(len(b_end), np.int8)}), ["doc", "end"], join_type="inner")
-    cuts = np.sort(np.asarray(common.column("end"), dtype=np.int64))
-    a_group = np.searchsorted(cuts, a_end, side="left")
-    b_group = np.searchsorted(cuts, b_end, side="left")
+    # Ends of both, by a hash join on (document, end) that carries each side's token number; a token's
+    # group is the number of shared ends before its own.
+    common = pa.table({"doc": a_doc, "end": a_end, "ia": np.arange(len(a_end))}).join(
+        pa.table({"doc": b_doc, "end": b_end, "ib": np.arange(len(b_end))}), ["doc", "end"], join_type="inner")
+    a_cut_at, b_cut_at = np.zeros(len(a_end), np.int64), np.zeros(len(b_end), np.int64)
+    a_cut_at[np.asarray(common.column("ia"), dtype=np.int64)] = 1
+    b_cut_at[np.asarray(common.column("ib"), dtype=np.int64)] = 1
+    a_group, b_group = np.cumsum(a_cut_at) - a_cut_at, np.cumsum(b_cut_at) - b_cut_at
     # Links: for A token i, the B tokens from the first ending after its start to the last starting before its end.
     first = np.searchsorted(b_end, a_start, side="right")
     last = np.searchsorted(b_start, a_end, side="left") - 1
@@ -128,24 +157,26 @@ def align_batch(texts: list[str | None], a_path: str, b_path: str) -> dict[str,
     pair_cut = np.searchsorted(pair_doc[order], np.arange(n + 1))
     a_cut = np.searchsorted(a_doc, np.arange(n + 1))
     b_cut = np.searchsorted(b_doc, np.arange(n + 1))
-    out = {"n_a": [], "n_b": [], "n_groups": [], "n_links": [], "groups_sha256": []}
     link_counts = np.bincount(a_doc[link_a], minlength=n) if len(link_a) else np.zeros(n, np.int64)
+    # Group texts: all tokens ordered by (group, A before B, place); a separator code before each one:
+    # none at a document's start, ';' at a group's, '|' where B starts within a group, ',' otherwise.
+    group = np.concatenate([a_group, b_group])
+    side = np.concatenate([np.zeros(len(a_flat), np.int8), np.ones(len(b_flat), np.int8)])
+    order = np.lexsort((np.concatenate([np.arange(len(a_flat)), np.arange(len(b_flat))]), side, group))
+    ids, group, side = np.concatenate([a_flat, b_flat])[order], group[order], side[order]
+    owner = np.concatenate([a_doc, b_doc])[order]
+    same_doc = np.r_[False, owner[1:] == owner[:-1]]
+    same_group = np.r_[False, group[1:] == group[:-1]]
+    same_side = np.r_[False, side[1:] == side[:-1]]
+    code = np.where(~same_doc, 0, np.where(~same_group, 1, np.where(~same_side, 2, 3)))
+    pieces = _SEPARATORS[code] + _names(max(len(a_bytes), len(b_bytes)))[ids] if len(ids) else np.zeros(0, object)
+    piece_cut = np.searchsorted(owner, np.arange(n + 1))
+    group_counts = np.bincount(a_doc[np.r_[True, np.diff(a_group) != 0]] if len(a_group) else np.zeros(0, np.int64), minlength=n)
+    out = {"n_a": (a_cut[1:] - a_cut[:-1]).tolist(), "n_b": (b_cut[1:] - b_cut[:-1]).tolist(), "n_links": link_counts.tolist(),
+           "n_groups": group_counts.tolist(), "groups_sha256": []}
     for d in range(n):
-        a0, a1, b0, b1 = a_cut[d], a_cut[d + 1], b_cut[d], b_cut[d + 1]
-        out["n_a"].append(int(a1 - a0))
-        out["n_b"].append(int(b1 - b0))
-        out["n_links"].append(int(link_counts[d]))
-        if a1 == a0:
-            out["n_groups"].append(0)
-            out["groups_sha256"].append("")
-            continue
-        ag, bg = a_group[a0:a1], b_group[b0:b1]
-        groups = ag[-1] - ag[0] + 1
-        a_parts = np.split(a_flat[a0:a1], np.flatnonzero(np.diff(ag)) + 1)
-        b_parts = np.split(b_flat[b0:b1], np.flatnonzero(np.diff(bg)) + 1)
-        text = ";".join(",".join(map(str, x.tolist())) + "|" + ",".join(map(str, y.tolist())) for x, y in zip(a_parts, b_parts))
-        out["n_groups"].append(int(groups))
-        out["groups_sha256"].append(hashlib.sha256(text.encode()).hexdigest())
+        p0, p1 = piece_cut[d], piece_cut[d + 1]
+        out["groups_sha256"].append(hashlib.sha256("".join(pieces[p0:p1].tolist()).encode()).hexdigest() if p1 > p0 else "")
     found = pa.StructArray.from_arrays([pa.array(pa_, pa.int32()), pa.array(pb_, pa.int32()), pa.array(pk_, pa.int64())], names=["a", "b", "k"])
     out["pairs"] = pa.ListArray.from_arrays(pa.array(pair_cut, pa.int32()), found)
     return out
@@ -153,7 +184,7 @@ def align_batch(texts: list[str | None], a_path: str, b_path: str) -> dict[str,
 
 def _tokens(a_path: str, b_path: str):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text", 2 << 20):
+        for batch in chunks(batches, "text", 1 << 20):
             found = align_batch(batch.column("text").to_pylist(), a_path, b_path)
             yield pa.RecordBatch.from_pydict({"row": batch.column("row"), "doc_id": batch.column("doc_id"), **found},
                                              schema=pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),

@@ -58,6 +58,8 @@ WINDOW = 0.4 + 1e-9
 REACH = 0.2 + 1e-9
 #: Members this far or more from every pivot of a region are at home in its far region instead.
 FAR = 0.6
+#: Candidates (sid, doc_id) counted up to this many are broadcast, 32 MB at most; beyond it both sides are shuffled.
+BROADCAST_ROWS = 2_000_000
 #: Rounds of the two exact rules among the remaining candidates, until none drops out.
 NARROWING = 4
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -134,9 +136,13 @@ def narrowed(members: DataFrame) -> DataFrame:
     alone = per_shingle.where("lo = hi").groupBy(F.col("lo").alias("sid")).agg(F.count("*").alias("alone"))
     head_shared = per_shingle.where("head_lo != head_hi").select("h")
     meeting = spread.where("head").join(head_shared, "h", "left_semi").select("sid").distinct()
-    counted = members.join(alone, "sid", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
-    return (counted.where((F.col("n") - F.col("alone")) * 100 >= F.col("n") * SIMILARITY).drop("alone")
+    sizes = members.select("sid", "n")
+    kept = (sizes.join(alone, "sid", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+            .where((F.col("n") - F.col("alone")) * 100 >= F.col("n") * SIMILARITY).select("sid")
             .join(meeting, "sid", "left_semi"))
+    kept = stage(kept, "kept-sets")
+    # Only set names travel; the sets themselves are filtered where they lie when the names are few.
+    return members.join(F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept, "sid", "left_semi")
 
 
 def staged(df: DataFrame, label: str, made: list[str]) -> DataFrame:
@@ -239,9 +245,12 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     temps: list[str] = []
     able = staged(candidates(rows.where("doc_id is not null and n > 0")), "jaccard-candidates", temps)
     release(spark)
-    # Whole sets only of the candidates: one document of each, its text shingled again.
-    chosen = texts.join(able.select("doc_id"), "doc_id", "left_semi")
-    whole = map_arrow(chosen, _sets(words, whole=True), _SETS).join(able, ["sid", "doc_id"], "left_semi")
+    # Whole sets only of the candidates: one document of each, its text shingled again. The candidate
+    # list is broadcast when counted below BROADCAST_ROWS (16 bytes a row), so texts are not shuffled.
+    small = able.count() <= BROADCAST_ROWS
+    ids = F.broadcast(able) if small else able
+    chosen = texts.join(ids.select("doc_id"), "doc_id", "left_semi")
+    whole = map_arrow(chosen, _sets(words, whole=True), _SETS).join(ids, ["sid", "doc_id"], "left_semi")
     held: list[str] = []
     sets = staged(whole.select("sid", "s", "n"), "jaccard-sets", held)
     drop(spark, temps)

@@ -7,7 +7,11 @@ from shoalgrid.llm import align
 
 
 def brute(rows):
-    a_tok, b_tok, a_bytes, b_bytes, _, _ = align.tokenizers(align.tokenizer_path(align.A_FILE), align.tokenizer_path(align.B_FILE))
+    from tokenizers import Tokenizer
+
+    _, b_tok, a_bytes, b_bytes, _, _ = align.tokenizers(align.tokenizer_path(align.A_FILE), align.tokenizer_path(align.B_FILE))
+    a_tok = Tokenizer.from_file(align.tokenizer_path(align.A_FILE))
+    a_tok.encode_special_tokens = True
     per, counts = [], Counter()
     for i, t in rows:
         a, b = [], []
