@@ -9,6 +9,7 @@ from shoalgrid.operators.columns import apply_mapping
 from shoalgrid.operators.cube import CubeSpec, cube_chunks, cube_spec
 from shoalgrid.operators.geometry import with_bounds
 from shoalgrid.operators.grid import TILE, grid_chunks
+from shoalgrid.sources.features import RECORD_END
 
 
 def balanced(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -39,6 +40,17 @@ def write_geo_features(df: DataFrame, path: str, source_crs: str, geometry: str
     geo.write.parquet(f"{path}_geo")
 
 
+def write_records(records: DataFrame, path: str, uri: str, xml: str) -> None:
+    """XML documents as text bundles: many to a file, each below a line with its uri, for ``read_records``.
+
+    A file for each would take a few calls to the store per document. Texts of one uri are one
+    document, a line each as in a file of their own. A uri has no line end.
+    """
+    line = F.concat(F.coalesce(F.translate(xml, RECORD_END, "\ufffd"), F.lit("")), F.lit("\n"))
+    documents = records.groupBy(F.col(uri).alias("uri")).agg(F.concat_ws("", F.collect_list(line)).alias("xml"))
+    documents.select(F.concat("uri", F.lit("\n"), "xml").alias("value")).write.text(path, lineSep=RECORD_END)
+
+
 def write_compact(df: DataFrame, path: str) -> None:
     """Copy in as few files as the advisory partition size allows: one for a small table, even ones for a large one."""
     df.hint("rebalance").write.option("compression", "snappy").parquet(path)

@@ -93,8 +93,19 @@ def read_cube(
     return open_cube(chunks, spec, dense, windows)
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """XML documents of a folder, one row each: uri, xml."""
+#: Parts the documents of a bundle; XML holds no such character.
+RECORD_END = "\x1e"
+
+
+def read_records(spark: SparkSession, path: str, bundled: bool = False) -> DataFrame:
+    """XML documents of a folder, one row each: uri, xml.
+
+    ``bundled``: a file holds many documents, each below a line with its uri (see ``write_records``); else
+    a file is a document and its path the uri.
+    """
+    if bundled:
+        head = F.split("value", "\n", 2)
+        return spark.read.text(path, lineSep=RECORD_END).select(head[0].alias("uri"), head[1].alias("xml"))
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("uri"), F.col("value").alias("xml"))
 
 

@@ -214,6 +214,28 @@ def test_records_and_manifest_of_a_folder(spark):
     assert files.columns == ["path", "modified", "size"] and files.count() >= 1
 
 
+def test_bundled_records_are_few_files_and_read_back(spark):
+    path = scratch_path(spark, "bundles")
+    rows = [(f"u{i}", f"<a>\n{i}</a>") for i in range(500)] + [("twice", "<b/>"), ("twice", "<b/>"), ("empty", None)]
+    w.write_records(spark.createDataFrame(rows, "u string, x string"), path, "u", "x")
+    records = src.read_records(spark, path, bundled=True)
+    assert dict(tuples(records, "uri", "xml")) == {**{u: f"{x}\n" for u, x in rows[:500]}, "twice": "<b/>\n<b/>\n", "empty": "\n"}
+    assert records.count() == 502 and len(records.inputFiles()) <= 4
+
+
+def test_records_query_does_not_make_a_file_per_record(spark, tmp_path):
+    import contract
+    from shoalgrid.session import job_folder
+
+    spark.sql("SELECT id AS c_custkey, concat('C', id) AS c_name, 0 AS c_nationkey, 1D AS c_acctbal, 'M' AS c_mktsegment FROM range(300)").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("SELECT 0 AS n_nationkey, 'N' AS n_name, 0 AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.sql("SELECT 0 AS r_regionkey, 'R' AS r_name").write.parquet(f"{tmp_path}/region.parquet")
+    with job_folder(spark) as folder:
+        rows = contract.QUERIES["s8_read_records"](spark, str(tmp_path))
+        assert sorted(tuples(rows, "id", "is_broken")) == sorted((str(i), i % 7 == 0) for i in range(300))
+        assert src.read_manifest(spark, folder).count() < 50
+
+
 def test_compact_copy_of_a_small_table_is_one_file(spark):
     path = scratch_path(spark, "compact")
     w.write_compact(spark.range(0, 100, 1, 7), path)
