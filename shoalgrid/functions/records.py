@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shoalgrid.functions.extents import record_date, rectangle, time_pair
 from shoalgrid.functions.text import doi_of
+from shoalgrid.operators.skew import deal_out
 
 _MARK = "STRING_BROKEN"
 _URI_SCHEMA = "struct<URI:array<struct<_VALUE:string,_protocol:string,_description:string>>>"
@@ -49,7 +50,8 @@ _PATHS = {
 def record_facts(records: DataFrame, xml: str) -> DataFrame:
     """Add box, period, organisation and constraints of each record; nulls for broken records.
 
-    The values come out of two XPath expressions, so a record is not read once per value.
+    The values come out of two XPath expressions, so a record is not read once per value. Records are
+    dealt out first, as reading one takes far longer than its bytes let expect.
     """
     def look(names):
         paths = [p if p.startswith("name(") else f"({p})[1]" for p in map(_PATHS.get, names)]
@@ -57,7 +59,7 @@ def record_facts(records: DataFrame, xml: str) -> DataFrame:
         return F.split(F.xpath_string("__xml", F.lit(f"concat({joined})")), _PART)
 
     names = list(_PATHS)
-    found = records.withColumn("__xml", well_formed(F.col(xml))).withColumn(
+    found = deal_out(records).withColumn("__xml", well_formed(F.col(xml))).withColumn(
         "__v", F.concat(look(names[:4]), look(names[4:]))
     )
     v = {n: F.nullif(F.get("__v", F.lit(i)), F.lit("")) for i, n in enumerate(_PATHS)}
@@ -106,7 +108,7 @@ def record_links(records: DataFrame, xml: str, layer_name: str, row_tag: str = "
         ),
     )
     keys = [c for c in records.columns if c != xml]
-    rows = records.withColumn("__xml", well_formed(F.col(xml))).withColumn("__links", named)
+    rows = deal_out(records).withColumn("__xml", well_formed(F.col(xml))).withColumn("__links", named)
     return (
         rows.select(*keys, F.explode("__links").alias("u"))
         .groupBy(*keys, F.col("u.description").alias("description"))

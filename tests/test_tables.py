@@ -236,6 +236,15 @@ def test_records_query_does_not_make_a_file_per_record(spark, tmp_path):
         assert src.read_manifest(spark, folder).count() < 50
 
 
+def test_costly_rows_of_one_part_are_dealt_out(spark):
+    from shoalgrid.functions.records import record_facts
+
+    records = spark.range(0, 400, 1, 1).selectExpr("id", "concat('<a>', id, '</a>') AS xml", "map('k', id) AS m")
+    parts = record_facts(records, "xml").groupBy(F.spark_partition_id().alias("p")).count()
+    found = [n for _, n in tuples(parts, "p", "count")]
+    assert sum(found) == 400 and len(found) == 4 and max(found) < 200
+
+
 def test_compact_copy_of_a_small_table_is_one_file(spark):
     path = scratch_path(spark, "compact")
     w.write_compact(spark.range(0, 100, 1, 7), path)
