@@ -16,7 +16,7 @@ from shoalgrid.functions.extents import (
     converted_item_id, day_start, footprint, item_providers, native_item_id,
 )
 from shoalgrid.functions.text import extension_links, item_title, media_type, native_of, slug
-from shoalgrid.operators.skew import lookup
+from shoalgrid.operators.skew import deal_by, lookup
 from shoalgrid.operators.state import newest_rows
 
 # Fixed value: licence text of a collection.
@@ -68,15 +68,15 @@ def mapped_variables(layers: DataFrame) -> DataFrame:
 
 def variables_in_assets(mapped: DataFrame, asset_variables: DataFrame) -> DataFrame:
     """Mapped variables that exist in the converted assets of their layer."""
-    return mapped.join(_variable_keys(asset_variables), ["id", "variable"], "left_semi")
+    return deal_by(mapped, "id", "variable").join(_variable_keys(asset_variables), ["id", "variable"], "left_semi")
 
 
 def variables_missing(mapped: DataFrame, asset_variables: DataFrame) -> DataFrame:
-    return mapped.join(_variable_keys(asset_variables), ["id", "variable"], "left_anti")
+    return deal_by(mapped, "id", "variable").join(_variable_keys(asset_variables), ["id", "variable"], "left_anti")
 
 
 def _variable_keys(asset_variables: DataFrame) -> DataFrame:
-    return asset_variables.select("id", F.col("name").alias("variable")).distinct()
+    return deal_by(asset_variables.select("id", F.col("name").alias("variable")), "id", "variable").distinct()
 
 
 def _ready(layers: DataFrame) -> DataFrame:

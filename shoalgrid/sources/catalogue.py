@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoalgrid.operators.skew import deal_by, sort_in_parts
 from shoalgrid.session import scratch_path
 
 # Fields of a vocabulary entry besides its convention.
@@ -90,8 +91,8 @@ def flatten_layer_tree(documents: DataFrame, json: str, doc_pos: str, leaf_field
         depth += LEVELS
     leaves = _numbered(reduce(DataFrame.unionByName, found))
     # of equal ids the last one, at the place of the first
-    places = leaves.where("id is not null").groupBy("doc", "id").agg(F.min("pos").alias("first"), F.max("pos").alias("pos"))
-    last = leaves.join(places.select("doc", "pos", "first"), ["doc", "pos"], "left").where("id is null or first is not null")
+    places = deal_by(leaves.where("id is not null").select("doc", "id", "pos"), "doc", "id").groupBy("doc", "id").agg(F.min("pos").alias("first"), F.max("pos").alias("pos"))
+    last = deal_by(leaves, "doc", "pos").join(deal_by(places.select("doc", "pos", "first"), "doc", "pos"), ["doc", "pos"], "left").where("id is null or first is not null")
     return last.select(F.coalesce("first", "pos").alias("pos"), "thematic_lot", "subtheme", "subsubtheme", *names)
 
 
@@ -103,13 +104,13 @@ def _staged(df: DataFrame, label: str) -> DataFrame:
 
 def _numbered(leaves: DataFrame) -> DataFrame:
     """``pos`` from the place of ``path`` within its document: a global sort, then counts per sorted part."""
-    ordered = _staged(leaves.orderBy("doc", "path").withColumn("row", F.monotonically_increasing_id()), "leaves")
+    ordered = _staged(sort_in_parts(leaves, "doc", "path").withColumn("row", F.monotonically_increasing_id()), "leaves")
     part, place = F.shiftright("row", 33), F.col("row").bitwiseAND(F.lit((1 << 33) - 1))
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # one row per sorted part
     starts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select("part", F.coalesce(before, F.lit(0)).alias("start"))
     ranked = ordered.withColumn("part", part).join(starts, "part").withColumn("rank", F.col("start") + place)
-    heads = ranked.groupBy("doc").agg(F.min("rank").alias("head"))
-    return ranked.join(heads, "doc").withColumn("pos", F.shiftleft("doc", 32) + F.col("rank") - F.col("head")).drop("path", "row", "part", "start", "rank", "head")
+    heads = deal_by(ranked.select("doc", "rank"), "doc").groupBy("doc").agg(F.min("rank").alias("head"))
+    return deal_by(ranked, "doc").join(heads, "doc").withColumn("pos", F.shiftleft("doc", 32) + F.col("rank") - F.col("head")).drop("path", "row", "part", "start", "rank", "head")
 
 
 def with_id(layers: DataFrame) -> DataFrame:

@@ -245,6 +245,14 @@ def test_costly_rows_of_one_part_are_dealt_out(spark):
     assert sum(found) == 400 and len(found) == 4 and max(found) < 200
 
 
+def test_tree_and_issue_tables_keep_their_parts(spark):
+    docs = [(i, '{"layerCatalog":{"children":[{"name":"lot","children":[{"id":"a"},{"id":"b"},{"name":"none"}]}]}}') for i in range(200)]
+    tree = cat.flatten_layer_tree(spark.createDataFrame(docs, "d long, j string").coalesce(1), "j", "d")
+    assert tree.count() == 600 and tree.select("pos").distinct().count() == 600
+    plan = tree._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") >= 3
+
+
 def test_compact_copy_of_a_small_table_is_one_file(spark):
     path = scratch_path(spark, "compact")
     w.write_compact(spark.range(0, 100, 1, 7), path)
