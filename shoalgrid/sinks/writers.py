@@ -44,9 +44,10 @@ def write_records(records: DataFrame, path: str, uri: str, xml: str) -> None:
     """XML documents as text bundles: many to a file, each below a line with its uri, for ``read_records``.
 
     A file for each would take a few calls to the store per document. Texts of one uri are one
-    document, a line each as in a file of their own. A uri has no line end.
+    document, a line each as in a file of their own. A uri has no line end. A U+001E, which XML forbids,
+    becomes U+001F, which it forbids too, so a broken text stays broken.
     """
-    line = F.concat(F.coalesce(F.translate(xml, RECORD_END, "\ufffd"), F.lit("")), F.lit("\n"))
+    line = F.concat(F.coalesce(F.translate(xml, RECORD_END, "\x1f"), F.lit("")), F.lit("\n"))
     documents = records.groupBy(F.col(uri).alias("uri")).agg(F.concat_ws("", F.collect_list(line)).alias("xml"))
     documents.select(F.concat("uri", F.lit("\n"), "xml").alias("value")).write.text(path, lineSep=RECORD_END)
 

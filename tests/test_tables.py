@@ -216,11 +216,11 @@ def test_records_and_manifest_of_a_folder(spark):
 
 def test_bundled_records_are_few_files_and_read_back(spark):
     path = scratch_path(spark, "bundles")
-    rows = [(f"u{i}", f"<a>\n{i}</a>") for i in range(500)] + [("twice", "<b/>"), ("twice", "<b/>"), ("empty", None)]
+    rows = [(f"u{i}", f"<a>\n{i}</a>") for i in range(500)] + [("twice", "<b/>"), ("twice", "<b/>"), ("empty", None), ("odd", "<a>\x1e</a>")]
     w.write_records(spark.createDataFrame(rows, "u string, x string"), path, "u", "x")
     records = src.read_records(spark, path, bundled=True)
-    assert dict(tuples(records, "uri", "xml")) == {**{u: f"{x}\n" for u, x in rows[:500]}, "twice": "<b/>\n<b/>\n", "empty": "\n"}
-    assert records.count() == 502 and len(records.inputFiles()) <= 4
+    assert dict(tuples(records, "uri", "xml")) == {**{u: f"{x}\n" for u, x in rows[:500]}, "twice": "<b/>\n<b/>\n", "empty": "\n", "odd": "<a>\x1f</a>\n"}
+    assert records.count() == 503 and len(records.inputFiles()) <= 4
 
 
 def test_records_query_does_not_make_a_file_per_record(spark, tmp_path):
