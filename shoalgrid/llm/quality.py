@@ -53,14 +53,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes: polynomial sums up to the span's ends, mixed with its length."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, total: int | None = None) -> np.ndarray:
+    """A 64-bit hash of each span of bytes: polynomial sums up to the span's ends, mixed with its length.
+
+    It depends on the length of all bytes; ``total`` gives the hashes that the span has among so many bytes.
+    """
     n = len(data)
     powers = np.cumprod(np.full(n + 1, _BASE, dtype=np.uint64)) * np.uint64(pow(int(_BASE), -1, 1 << 64))
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:n], out=sums[1:])
     # equal spans differ by a power of the base: bring all to the place of the last byte
     own = (sums[ends] - sums[starts]) * powers[n - starts]
+    if total is not None:
+        own *= np.uint64(pow(int(_BASE), total - n, 1 << 64))
     return _mix(own ^ _mix((ends - starts).astype(np.uint64)))
 
 
@@ -77,9 +82,12 @@ def _copies_in_doc(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class Batch:
-    """Words, lines and hashed grams of some texts, as arrays over their joined bytes (a line feed after each)."""
+    """Words, lines and hashed grams of some texts, as arrays over their joined bytes (a line feed after each).
+
+    ``total``: length of the joined bytes of the batch that these texts are a part of, if not a batch of their own.
+    """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], total: int | None = None):
         self.count = len(texts)
         joined = b"\n".join([*texts, b""])
         self.data = np.frombuffer(joined, dtype=np.uint8)
@@ -90,7 +98,7 @@ class Batch:
         edge = np.diff(np.r_[True, space, True].astype(np.int8))
         self.word_start, self.word_end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         self.word_doc = np.searchsorted(self.end, self.word_start)
-        self.word_hash = span_hashes(self.data, self.word_start, self.word_end)
+        self.word_hash = span_hashes(self.data, self.word_start, self.word_end, total)
         self.space = space
 
     def per_doc(self, doc: np.ndarray, value: np.ndarray | None = None) -> np.ndarray:
@@ -177,12 +185,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, id_column: st
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of each text as of its batch, made for a few texts at a time: they take some 250 times the bytes of these."""
     for batch in chunks(batches, "text"):
-        own = Batch(list(texts_of(batch.column("text")))).features()
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").cast(pa.string()), batch.column("label").cast(pa.int32()),
-             pa.array([x.tobytes() for x, _ in own], pa.binary()), pa.array([x.tobytes() for _, x in own], pa.binary())],
-            names=["doc_id", "label", "buckets", "amounts"])
+        total = sum(map(len, texts_of(batch.column("text")))) + batch.num_rows
+        for part in chunks(iter([batch]), "text", _STRIPE):
+            own = Batch(list(texts_of(part.column("text"))), total).features()
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id").cast(pa.string()), part.column("label").cast(pa.int32()),
+                 pa.array([x.tobytes() for x, _ in own], pa.binary()), pa.array([x.tobytes() for _, x in own], pa.binary())],
+                names=["doc_id", "label", "buckets", "amounts"])
 
 
 def fit(labels: np.ndarray, buckets: list[np.ndarray], amounts: list[np.ndarray], rounds: int = 60) -> tuple[np.ndarray, float, float] | None:

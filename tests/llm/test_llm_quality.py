@@ -102,3 +102,25 @@ def test_pieces_of_the_fit_do_not_change_it(monkeypatch):
     monkeypatch.setattr(q, "_PIECE", 100)
     parts = q.fit(labels, buckets, amounts)
     assert parts[0] == pytest.approx(whole[0], abs=1e-3) and parts[1:] == pytest.approx(whole[1:], rel=1e-2)
+
+
+def test_sample_features_take_little_memory_and_stay_those_of_the_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = ["".join(chr(c) for c in rng.integers(97, 123, 3000)) + " \u00e9 word " * (i % 5) for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(texts), pa.array([1] * 300)], ["doc_id", "text", "label"])
+    want = q.Batch([t.encode() for t in texts]).features()
+    tracemalloc.start()
+    found = 0
+    for part in q._sample_features(iter([batch])):
+        for row in part.to_pylist():
+            bucket, value = want[int(row["doc_id"])]
+            assert row["buckets"] == bucket.tobytes() and row["amounts"] == value.tobytes()
+            found += 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 300
+    assert peak < 60e6  # 230 MB over the whole batch
