@@ -11,14 +11,21 @@ as wide, and a region without members at home takes no copies.
 Regions larger than ``LEAF`` are split again the same way (up to ``LEVELS`` times), with the home flag
 carried down, so a pair is only looked for where its home end lives. A member within 0.2 of a pivot
 links with the pivot itself (a document too): such links are emitted, and two members in the same
-pivot's ball need no test, as they already share a component. In the leaves, pairs of one region whose
-sizes allow a link (``0.8 |A| <= |B| <= |A| / 0.8``) are tested exactly by their set intersection.
-
-Two exact steps come first, each in linear work: equal sets are one node, named by a hash of the set
-(its documents are linked); and in the order of the shingle hashes, two sets with ``J >= 0.8`` share a
-shingle among the first ``n - ceil(0.8 n) + 1`` hashes of each, so a set whose such prefix shares
-nothing with the prefix of another set links with nothing. Only prefixes are staged; the whole sets of
-the remaining candidates are made again from one document of each. Pivots are chosen among sets of
+pivot's ball need no test, as they already share a component. Pivots that link with each other are one
+region and one ball, under the least pivot they link with, so a large group of near copies is copied
+once and not into the region of each of its pivots. In the leaves, whatever their size, pairs of one
+region meet at a shingle among the ``n - ceil(0.8 n) + 1`` first of both, with the region's rarest
+shingles first (the prefix lemma holds in any order that both share); those whose sizes allow a link
+(``0.8 |A| <= |B| <= |A| / 0.8``) are tested exactly by their set intersection.
+
+Exact steps come first, each in linear work: equal sets are one node, named by a hash of the set
+(its documents are linked); a set of ``n`` shingles that links with another shares ``ceil(0.8 n)`` of
+them with it, so one with more than ``n - ceil(0.8 n)`` shingles that no other set holds links with
+nothing. This is first counted on the shingles whose hash lies in the lowest ``SLICE`` of the hash range
+(the same part of every set, so a shared shingle is in the slices of both, and no link is lost); only
+slices are staged, and the whole sets of the remaining candidates are made again from one document of
+each. Among these, the rule is counted on all shingles, and in the order of the hashes two sets with
+``J >= 0.8`` share a shingle among the first ``n - ceil(0.8 n) + 1`` of each. Pivots are chosen among sets of
 at most ``PIVOT_MAX`` shingles by a hash, about ``PIVOTS`` per region, so the pivot table is bounded.
 
 Shingles are the distinct space-joined 5-word runs of lower-cased (A-Z only) words ``[^\\x20\\x09-\\x0D]+``,
@@ -37,7 +44,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoalgrid.llm import graph
@@ -49,9 +56,11 @@ WORDS = 5
 #: A link needs ``100 * |A n B| >= SIMILARITY * |A u B|``.
 SIMILARITY = 80
 LEAF = 512
-LEVELS = 4
+LEVELS = 1
 PIVOTS = 64
 PIVOT_MAX = 4096
+#: Part of the hash range, from its low end, that the first rule counts on. More leaves fewer candidates, and more rows to count.
+SLICE = 0.3
 #: Window of the triangle inequality, 2 * (1 - 0.8), with room for rounding (it only adds copies).
 WINDOW = 0.4 + 1e-9
 #: Distance of a link, with the same room: a pivot's region takes members within its radius plus this.
@@ -82,14 +91,19 @@ def prefix_length(n: int) -> int:
     return n - (SIMILARITY * n + 99) // 100 + 1 if n else 0
 
 
+def in_slice(hashes: np.ndarray) -> np.ndarray:
+    """The hashes (sorted, signed) in the lowest ``SLICE`` of the hash range."""
+    return hashes[:np.searchsorted(hashes, int(SLICE * 2 ** 64) - 2 ** 63)]
+
+
 def _sets(words: int, whole: bool):
-    """(doc_id, n, sid, s): the set's size, its name (XXH64 of size and hashes), and all hashes or the prefix."""
+    """(doc_id, n, sid, s): the set's size, its name (XXH64 of size and hashes), and all hashes or the slice."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
             found = [shingle_hashes(t, words) for t in texts_of(batch.column("text"))]
             sizes = np.array([len(x) for x in found], dtype=np.int64)
             names = [np.uint64(xxhash.xxh64_intdigest(x.tobytes(), seed=len(x))).view(np.int64) if len(x) else None for x in found]
-            kept = found if whole else [x[:prefix_length(len(x))] for x in found]
+            kept = found if whole else [in_slice(x) for x in found]
             offsets = np.zeros(len(kept) + 1, dtype=np.int32)
             np.cumsum([len(x) for x in kept], out=offsets[1:])
             flat = np.concatenate(kept) if kept else np.zeros(0, np.int64)
@@ -102,23 +116,27 @@ def _sets(words: int, whole: bool):
 _SETS = "doc_id long, n long, sid long, s array<long>"
 
 
+def _able(alone: Column) -> Column:
+    """May a set of ``n`` shingles link, of which ``alone`` are in no other set."""
+    return (F.col("n") - alone) * 100 >= F.col("n") * SIMILARITY
+
+
 def _links(a: Column, b: Column) -> Column:
     """Exact test of two sets given their sizes ``a``, ``b`` and the intersection in column ``i``."""
     return F.col("i") * 100 >= (a + b - F.col("i")) * SIMILARITY
 
 
-def candidates(prefixes: DataFrame) -> DataFrame:
+def candidates(slices: DataFrame) -> DataFrame:
     """(sid, doc_id) of each set that may link, with its least doc_id.
 
-    In the order of the hashes, two sets with ``J >= 0.8`` share a shingle among the first
-    ``prefix_length`` of each; a shingle is in the prefix of another set exactly when the least and
-    greatest set names holding it there differ. Copies of a document name the same set.
+    A shingle of a slice is alone if no slice of another set holds it, so no other set does; the least and
+    greatest set names holding it are equal then. Copies of a document name the same set.
     """
-    spread = prefixes.select("sid", F.explode("s").alias("h"))
-    per_shingle = spread.groupBy("h").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
-    shared = per_shingle.where("lo != hi").select("h")
-    able = spread.join(shared, "h", "left_semi").select("sid").distinct()
-    return prefixes.join(able, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    per_shingle = slices.select("sid", F.explode("s").alias("h")).groupBy("h").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
+    alone = per_shingle.where("lo = hi").groupBy(F.col("lo").alias("sid")).agg(F.count("*").alias("alone"))
+    # One slice per name: a set's rows hold equal sizes and slices.
+    sets = slices.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
+    return sets.join(alone, "sid", "left").where(_able(F.coalesce("alone", F.lit(0)))).select("sid", "doc_id")
 
 
 def narrowed(members: DataFrame) -> DataFrame:
@@ -138,7 +156,7 @@ def narrowed(members: DataFrame) -> DataFrame:
     meeting = spread.where("head").join(head_shared, "h", "left_semi").select("sid").distinct()
     sizes = members.select("sid", "n")
     kept = (sizes.join(alone, "sid", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
-            .where((F.col("n") - F.col("alone")) * 100 >= F.col("n") * SIMILARITY).select("sid")
+            .where(_able(F.col("alone"))).select("sid")
             .join(meeting, "sid", "left_semi"))
     kept = stage(kept, "kept-sets")
     # Only set names travel; the sets themselves are filtered where they lie when the names are few.
@@ -202,12 +220,16 @@ def split(members: DataFrame, level: int, made: list[str]) -> DataFrame:
     # A pivot's radius: farthest member that is home there; a region without one has no pair to find.
     radius = (placed.where(F.col("home") & near & (F.col("psid") == F.col("best.psid")))
               .groupBy("region", "psid").agg(F.max("d").alias("radius")))
-    kept = (placed.join(radius, ["region", "psid"])
+    # Each pivot goes by the least pivot that it links with, itself included.
+    labels = (each.where("ball").join(pivots.select("region", F.col("psid").alias("sid")), ["region", "sid"], "left_semi")
+              .groupBy("region", "psid").agg(F.min("sid").alias("label")))
+    kept = (placed.join(radius, ["region", "psid"]).join(labels, ["region", "psid"])
             .where(F.col("d") <= F.col("best.d") + WINDOW)
             .where(F.col("d") <= F.col("radius") + REACH)
-            .select("region", "sid", F.xxhash64("region", "psid").alias("child"),
-                    (F.col("home") & near & (F.col("psid") == F.col("best.psid"))).alias("home"),
-                    F.when(F.col("ball"), F.array("psid")).otherwise(F.array().cast("array<long>")).alias("ball")))
+            .groupBy("region", "sid", "label")
+            .agg(F.max(F.col("home") & near & (F.col("psid") == F.col("best.psid"))).alias("home"), F.max("ball").alias("ball"))
+            .select("region", "sid", F.xxhash64("region", "label").alias("child"), "home",
+                    F.when(F.col("ball"), F.array("label")).otherwise(F.array().cast("array<long>")).alias("ball")))
     # The far region: at home whoever is FAR or more from every pivot, copied whoever is FAR - 0.2 or more.
     far = (each.select("region", "sid", "home").distinct().join(nearest, ["region", "sid"])
            .where(F.col("best.d") >= FAR - REACH)
@@ -218,19 +240,46 @@ def split(members: DataFrame, level: int, made: list[str]) -> DataFrame:
 
 
 def _ball_links(members: DataFrame) -> DataFrame:
-    """Links of members to the pivots whose balls hold them (the pivot is the last of ``balls``)."""
+    """Links of members to the pivots whose balls hold them, or to the pivot these go by."""
     return members.select(F.col("sid").alias("a"), F.explode("balls").alias("b")).where("a != b")
 
 
+def _rare_prefixes(leaves: DataFrame) -> DataFrame:
+    """(region, h, sid, n, home, balls): of each member the first shingles, rarest of the region first, that a link must share.
+
+    A shingle that no other member of the region holds takes a place of the prefix but meets nothing, so
+    it has no row; nor has one whose holders are all in one pivot's ball.
+    """
+    spread = leaves.select("region", "sid", "n", F.coalesce(F.try_element_at("balls", F.lit(1)), "sid").alias("own"), F.explode("s").alias("h"))
+    held = spread.groupBy("region", "h").agg(F.count("*").alias("holders"), (F.min("own") != F.max("own")).alias("mixed")).where("holders > 1")
+    of_set = Window.partitionBy("region", "sid")
+    ranked = (lookup(spread.drop("own"), held, ["region", "h"], "inner")
+              .withColumn("shared", F.count("*").over(of_set))
+              .withColumn("place", F.row_number().over(of_set.orderBy("holders", "h")) + F.col("n") - F.col("shared")))
+    first = F.col("n") - F.floor((F.col("n") * SIMILARITY + 99) / 100) + 1
+    return (ranked.where((F.col("place") <= first) & F.col("mixed")).select("region", "h", "sid", "n")
+            .join(leaves.select("region", "sid", "home", "balls"), ["region", "sid"]))
+
+
+def leaf_pairs(leaves: DataFrame) -> DataFrame:
+    """(a, b) of each region that meet in their rare prefixes, whose sizes allow a link and that share no pivot ball."""
+    rows = _rare_prefixes(leaves)
+    x = rows.select("region", "h", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("balls").alias("ba"), F.col("home").alias("ha"))
+    y = rows.where("home").select("region", "h", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("balls").alias("bb"))
+    return (x.join(y, ["region", "h"]).where("a < b or (a != b and not ha)")
+            .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SIMILARITY)
+            .where(~F.arrays_overlap("ba", "bb"))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def leaf_links(leaves: DataFrame) -> DataFrame:
-    """Exact test of the pairs of one leaf whose sizes allow a link and that share no pivot ball."""
-    x = leaves.select("region", F.col("sid").alias("a"), F.col("s").alias("sa"), F.col("n").alias("na"), F.col("balls").alias("ba"))
-    y = leaves.where("home").select("region", F.col("sid").alias("b"), F.col("s").alias("sb"), F.col("n").alias("nb"), F.col("balls").alias("bb"))
-    pairs = (x.join(y, "region").where("a != b")
-             .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SIMILARITY)
-             .where(~F.arrays_overlap("ba", "bb")))
-    tested = pairs.withColumn("i", F.size(F.array_intersect("sa", "sb")))
-    return tested.where(_links(F.col("na"), F.col("nb"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    """Exact test of the pairs of ``leaf_pairs``."""
+    pairs = stage(leaf_pairs(leaves), "leaf-pairs")
+    sets = leaves.select("sid", "s", "n").dropDuplicates(["sid"])
+    tested = (pairs.join(sets.select(F.col("sid").alias("a"), F.col("s").alias("sa"), F.col("n").alias("na")), "a")
+              .join(sets.select(F.col("sid").alias("b"), F.col("s").alias("sb"), F.col("n").alias("nb")), "b")
+              .withColumn("i", F.size(F.array_intersect("sa", "sb"))))
+    return tested.where(_links(F.col("na"), F.col("nb"))).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS) -> DataFrame:
@@ -241,7 +290,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_of(text_column).alias("text"))
     spark = docs.sparkSession
-    rows = stage(map_arrow(texts, _sets(words, whole=False), _SETS), "jaccard-prefixes")
+    rows = stage(map_arrow(texts, _sets(words, whole=False), _SETS), "jaccard-slices")
     temps: list[str] = []
     able = staged(candidates(rows.where("doc_id is not null and n > 0")), "jaccard-candidates", temps)
     release(spark)

@@ -93,3 +93,27 @@ def test_far_regions_and_large_sets(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "PIVOT_MAX", 10)
     rows = corpus(5, 80) + [(5000 + k, " ".join(f"u{k}x{j}" for j in range(40))) for k in range(20)]
     assert run(spark, rows) == brute(rows)
+
+
+def test_shared_passages_leave_no_candidates(spark):
+    # A fifth of each text is shared, so prefixes meet, but no two texts link.
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(i, passage + " " + " ".join(f"d{i}x{k}" for k in range(240))) for i in range(60)]
+    slices = jaccard.map_arrow(frame(spark, rows).select("doc_id", "text"), jaccard._sets(5, whole=False), jaccard._SETS)
+    assert jaccard.candidates(slices).count() <= 6
+    rows += [(100 + i, t.replace("x7 ", "y7 ")) for i, t in rows[:9]]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_near_copies_are_copied_once_and_not_paired(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PIVOTS", 8)
+    base = [f"w{k}" for k in range(200)]
+    rows = [(i, " ".join([*base[:i], f"u{i}", *base[i + 1:]])) for i in range(100)]
+    members = (jaccard.map_arrow(frame(spark, rows).select("doc_id", "text"), jaccard._sets(5, whole=True), jaccard._SETS)
+               .selectExpr("0L as region", "sid", "s", "n", "true as home", "cast(array() as array<long>) as balls"))
+    made = []
+    parts = jaccard.staged(jaccard.split(members, 0, made), "parts", made)
+    assert parts.count() == 100
+    assert jaccard.leaf_links(parts).count() == 0  # all in one ball
+    monkeypatch.setattr(jaccard, "LEAF", 8)
+    assert run(spark, rows) == brute(rows)
