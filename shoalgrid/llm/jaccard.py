@@ -11,12 +11,16 @@ as wide, and a region without members at home takes no copies.
 Regions larger than ``LEAF`` are split again the same way (up to ``LEVELS`` times), with the home flag
 carried down, so a pair is only looked for where its home end lives. A member within 0.2 of a pivot
 links with the pivot itself (a document too): such links are emitted, and two members in the same
-pivot's ball need no test, as they already share a component. Pivots that link with each other are one
-region and one ball, under the least pivot they link with, so a large group of near copies is copied
-once and not into the region of each of its pivots. In the leaves, whatever their size, pairs of one
+pivot's ball need no test, as they already share a component. A pivot within the window (0.4) of a lesser
+one is dropped, so a large group of near copies has few pivots and is not copied into the region of each. In the leaves, whatever their size, pairs of one
 region meet at a shingle among the ``n - ceil(0.8 n) + 1`` first of both, with the region's rarest
-shingles first (the prefix lemma holds in any order that both share); those whose sizes allow a link
-(``0.8 |A| <= |B| <= |A| / 0.8``) are tested exactly by their set intersection.
+shingles first (the prefix lemma holds in any order that both share), and are tested exactly by their set
+intersection. Only components are asked for, so a large group of near copies need not meet in pairs: in
+``ROUNDS`` rounds each member is tested against at most ``REPS`` others, each drawn for one shingle from all
+that hold it, and members found connected get one label; shingles whose holders have one label drop out.
+Whatever pairs of two labels are left meet after that, so no link between components is lost: with ``i``
+shared shingles needed, at places up to ``n - i + 1`` of both, and with bitmaps (parities of ``BITS``
+classes of shingles) that differ in no more bits than the sets may in shingles.
 
 Exact steps come first, each in linear work: equal sets are one node, named by a hash of the set
 (its documents are linked); a set of ``n`` shingles that links with another shares ``ceil(0.8 n)`` of
@@ -71,6 +75,11 @@ FAR = 0.6
 BROADCAST_ROWS = 2_000_000
 #: Rounds of the two exact rules among the remaining candidates, until none drops out.
 NARROWING = 4
+#: Rounds of tests against drawn holders of a shingle before the pairs of two labels meet, and tests of a member in each.
+ROUNDS = 2
+REPS = 8
+#: Bits of a set's bitmap, a power of two and a multiple of 64.
+BITS = 512
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -199,12 +208,20 @@ def _pivots(members: DataFrame, level: int) -> DataFrame:
     return chosen.select("region", F.col("sid").alias("psid"), F.col("n").alias("pn"), F.col("s").alias("ps"))
 
 
+def _apart(pivots: DataFrame) -> DataFrame:
+    """Pivots without those within WINDOW of a lesser one, so that a large group of near copies has few; the least of a region stays."""
+    lesser = pivots.select("region", F.col("psid").alias("qsid"), F.col("pn").alias("qn"), F.col("ps").alias("qs"))
+    near = (pivots.join(lesser, "region").where("qsid < psid").withColumn("i", F.size(F.array_intersect("ps", "qs")))
+            .where(1 - F.col("i") / (F.col("pn") + F.col("qn") - F.col("i")) <= WINDOW))
+    return pivots.join(near.select("region", "psid").distinct(), ["region", "psid"], "left_anti").select(pivots.columns)
+
+
 def split(members: DataFrame, level: int, made: list[str]) -> DataFrame:
     """Members of the next level: each in the regions of the pivots within both windows of the module.
 
     Its staged helpers are noted in ``made``; they may go once the result is staged.
     """
-    pivots = staged(_pivots(members, level), "pivots", made)
+    pivots = staged(_apart(staged(_pivots(members, level), "drawn-pivots", made)), "pivots", made)
     spread = pivots.select("region", "psid", F.explode("ps").alias("h"))
     shared = (members.select("region", "sid", F.explode("s").alias("h")).join(spread, ["region", "h"])
               .groupBy("region", "sid", "psid").agg(F.count("*").alias("i")))
@@ -220,16 +237,12 @@ def split(members: DataFrame, level: int, made: list[str]) -> DataFrame:
     # A pivot's radius: farthest member that is home there; a region without one has no pair to find.
     radius = (placed.where(F.col("home") & near & (F.col("psid") == F.col("best.psid")))
               .groupBy("region", "psid").agg(F.max("d").alias("radius")))
-    # Each pivot goes by the least pivot that it links with, itself included.
-    labels = (each.where("ball").join(pivots.select("region", F.col("psid").alias("sid")), ["region", "sid"], "left_semi")
-              .groupBy("region", "psid").agg(F.min("sid").alias("label")))
-    kept = (placed.join(radius, ["region", "psid"]).join(labels, ["region", "psid"])
+    kept = (placed.join(radius, ["region", "psid"])
             .where(F.col("d") <= F.col("best.d") + WINDOW)
             .where(F.col("d") <= F.col("radius") + REACH)
-            .groupBy("region", "sid", "label")
-            .agg(F.max(F.col("home") & near & (F.col("psid") == F.col("best.psid"))).alias("home"), F.max("ball").alias("ball"))
-            .select("region", "sid", F.xxhash64("region", "label").alias("child"), "home",
-                    F.when(F.col("ball"), F.array("label")).otherwise(F.array().cast("array<long>")).alias("ball")))
+            .select("region", "sid", F.xxhash64("region", "psid").alias("child"),
+                    (F.col("home") & near & (F.col("psid") == F.col("best.psid"))).alias("home"),
+                    F.when(F.col("ball"), F.array("psid")).otherwise(F.array().cast("array<long>")).alias("ball")))
     # The far region: at home whoever is FAR or more from every pivot, copied whoever is FAR - 0.2 or more.
     far = (each.select("region", "sid", "home").distinct().join(nearest, ["region", "sid"])
            .where(F.col("best.d") >= FAR - REACH)
@@ -240,46 +253,108 @@ def split(members: DataFrame, level: int, made: list[str]) -> DataFrame:
 
 
 def _ball_links(members: DataFrame) -> DataFrame:
-    """Links of members to the pivots whose balls hold them, or to the pivot these go by."""
+    """Links of members to the pivots whose balls hold them."""
     return members.select(F.col("sid").alias("a"), F.explode("balls").alias("b")).where("a != b")
 
 
 def _rare_prefixes(leaves: DataFrame) -> DataFrame:
-    """(region, h, sid, n, home, balls): of each member the first shingles, rarest of the region first, that a link must share.
+    """(region, h, sid, n, place, home, label): of each member the first shingles, rarest of the region first, that a link must share.
 
     A shingle that no other member of the region holds takes a place of the prefix but meets nothing, so
-    it has no row; nor has one whose holders are all in one pivot's ball.
+    it has no row; nor has one whose holders are all in one pivot's ball. The label is the first ball, or the set itself.
     """
-    spread = leaves.select("region", "sid", "n", F.coalesce(F.try_element_at("balls", F.lit(1)), "sid").alias("own"), F.explode("s").alias("h"))
-    held = spread.groupBy("region", "h").agg(F.count("*").alias("holders"), (F.min("own") != F.max("own")).alias("mixed")).where("holders > 1")
+    label = F.coalesce(F.try_element_at("balls", F.lit(1)), "sid")
+    spread = leaves.select("region", "sid", "n", label.alias("label"), F.explode("s").alias("h"))
+    held = spread.groupBy("region", "h").agg(F.count("*").alias("holders"), (F.min("label") != F.max("label")).alias("mixed")).where("holders > 1")
     of_set = Window.partitionBy("region", "sid")
-    ranked = (lookup(spread.drop("own"), held, ["region", "h"], "inner")
+    ranked = (lookup(spread, held, ["region", "h"], "inner")
               .withColumn("shared", F.count("*").over(of_set))
               .withColumn("place", F.row_number().over(of_set.orderBy("holders", "h")) + F.col("n") - F.col("shared")))
     first = F.col("n") - F.floor((F.col("n") * SIMILARITY + 99) / 100) + 1
-    return (ranked.where((F.col("place") <= first) & F.col("mixed")).select("region", "h", "sid", "n")
-            .join(leaves.select("region", "sid", "home", "balls"), ["region", "sid"]))
+    return (ranked.where((F.col("place") <= first) & F.col("mixed")).select("region", "h", "sid", "n", "place", "label")
+            .join(leaves.select("region", "sid", "home"), ["region", "sid"]))
+
+
+_BITMAP = [f"q{k}" for k in range(BITS // 64)]
+
+
+def _with_bitmaps(sets: DataFrame) -> DataFrame:
+    """(sid, n, s) and the bitmap in columns of 64 bits: bit ``k`` says if an odd number of hashes is ``k`` modulo ``BITS``."""
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("s")
+            rows = np.repeat(np.arange(len(lists)), np.asarray(pa.compute.list_value_length(lists)))
+            held = np.bincount(rows * BITS + (np.asarray(lists.flatten()) & (BITS - 1)), minlength=len(lists) * BITS) & 1
+            words = np.packbits(held.astype(np.uint8)).view(np.int64).reshape(len(lists), len(_BITMAP))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(words[:, k].copy()) for k in range(len(_BITMAP)))], ["sid", "n", "s", *_BITMAP])
+    return map_arrow(sets.select("sid", "n", "s"), step, ", ".join(["sid long, n long, s array<long>", *(f"{q} long" for q in _BITMAP)]))
+
+
+def _bitmaps_allow() -> Column:
+    """May sets of ``na`` and ``nb`` shingles link: a shingle of only one of them flips one bit, so no more bits differ than such shingles."""
+    flipped = reduce(Column.__add__, [F.bit_count(F.col(f"{q}a").bitwiseXOR(F.col(f"{q}b"))) for q in _BITMAP])
+    return flipped * (100 + SIMILARITY) <= (F.col("na") + F.col("nb")) * (100 - SIMILARITY)
+
+
+def _named(df: DataFrame, end: str, columns: list[str], shared: list[str] | None = None) -> DataFrame:
+    """One end of a pair: the set's name as ``<end>``, its columns with ``<end>`` behind their names, and the shared ones as they are."""
+    return df.select(*(shared or []), F.col("sid").alias(end), *[F.col(c).alias(c + end) for c in columns])
+
+
+def _exact(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link, by their set intersection."""
+    return (pairs.join(_named(sets, "a", ["s", "n"]), "a").join(_named(sets, "b", ["s", "n"]), "b")
+            .withColumn("i", F.size(F.array_intersect("sa", "sb")))
+            .where(_links(F.col("na"), F.col("nb"))).select("a", "b"))
+
+
+def mixed_rows(rows: DataFrame, *more: Column) -> DataFrame:
+    """Rows of the shingles whose holders have two labels or more, with ``more`` aggregates of their shingle."""
+    per_shingle = rows.groupBy("region", "h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), *more).where("lo != hi").drop("lo", "hi")
+    return lookup(rows, per_shingle, ["region", "h"], "inner")
+
+
+def drawn_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each member with at most ``REPS`` members of other labels, each drawn by a hash among the holders of a shingle."""
+    drawn = F.xxhash64("sid", "h", F.lit(turn))
+    met = mixed_rows(rows, F.min_by("sid", drawn).alias("rep"), F.min_by("label", drawn).alias("rep_label")).where("label != rep_label")
+    some = met.groupBy("sid").agg(*[F.min_by("rep", F.xxhash64("region", "h", "sid", F.lit(turn * REPS + k))).alias(f"r{k}") for k in range(REPS)])
+    return (some.select("sid", F.explode(F.array(*[f"r{k}" for k in range(REPS)])).alias("rep"))
+            .select(F.least("sid", "rep").alias("a"), F.greatest("sid", "rep").alias("b")).distinct())
 
 
-def leaf_pairs(leaves: DataFrame) -> DataFrame:
-    """(a, b) of each region that meet in their rare prefixes, whose sizes allow a link and that share no pivot ball."""
-    rows = _rare_prefixes(leaves)
-    x = rows.select("region", "h", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("balls").alias("ba"), F.col("home").alias("ha"))
-    y = rows.where("home").select("region", "h", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("balls").alias("bb"))
-    return (x.join(y, ["region", "h"]).where("a < b or (a != b and not ha)")
+def leaf_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of two labels that meet in their rare prefixes and whose sizes, places and bitmaps allow a link."""
+    rows = lookup(mixed_rows(rows), sets.select("sid", *_BITMAP), ["sid"], "inner")
+    ends = ["n", "place", "home", "label", *_BITMAP]
+    shared = ["region", "h"]
+    met = _named(rows, "a", ends, shared).join(_named(rows.where("home"), "b", ends, shared), shared)
+    shorter = (F.col("na") + F.col("nb")) * SIMILARITY  # a link shares at least this many shingles, times 100 + SIMILARITY
+    return (met.where("a < b or (a != b and not homea)").where("labela != labelb")
             .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SIMILARITY)
-            .where(~F.arrays_overlap("ba", "bb"))
+            .where(((F.col("na") - F.col("placea") + 1) * (100 + SIMILARITY) >= shorter) & ((F.col("nb") - F.col("placeb") + 1) * (100 + SIMILARITY) >= shorter))
+            .where(_bitmaps_allow())
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def leaf_links(leaves: DataFrame) -> DataFrame:
-    """Exact test of the pairs of ``leaf_pairs``."""
-    pairs = stage(leaf_pairs(leaves), "leaf-pairs")
-    sets = leaves.select("sid", "s", "n").dropDuplicates(["sid"])
-    tested = (pairs.join(sets.select(F.col("sid").alias("a"), F.col("s").alias("sa"), F.col("n").alias("na")), "a")
-              .join(sets.select(F.col("sid").alias("b"), F.col("s").alias("sb"), F.col("n").alias("nb")), "b")
-              .withColumn("i", F.size(F.array_intersect("sa", "sb"))))
-    return tested.where(_links(F.col("na"), F.col("nb"))).select("a", "b")
+    """Links (a, b) inside the leaves that, with those of the balls, connect whatever sets link there."""
+    rows = stage(_rare_prefixes(leaves), "leaf-prefixes")
+    if rows.isEmpty():
+        return rows.select(F.col("sid").alias("a"), F.col("sid").alias("b"))
+    sets = stage(_with_bitmaps(leaves.dropDuplicates(["sid"])), "leaf-sets")
+    slim = sets.drop("s")
+    known, found = _ball_links(leaves), []
+    for turn in range(ROUNDS):
+        drawn = drawn_pairs(rows, turn)
+        able = (drawn.join(_named(slim, "a", ["n", *_BITMAP]), "a").join(_named(slim, "b", ["n", *_BITMAP]), "b")
+                .where(_bitmaps_allow()).select("a", "b"))
+        found.append(stage(_exact(able, sets), "drawn-links"))
+        roots = graph.components(reduce(DataFrame.unionByName, found, known)).select(F.col("node").alias("sid"), "root")
+        rows = stage(lookup(mixed_rows(rows).drop("label"), roots, ["sid"], "left")
+                     .withColumn("label", F.coalesce("root", "sid")).drop("root"), "leaf-prefixes")
+    pairs = stage(leaf_pairs(rows, sets), "leaf-pairs")
+    return reduce(DataFrame.unionByName, found, _exact(pairs, sets))
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS) -> DataFrame:

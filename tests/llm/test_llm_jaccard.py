@@ -117,3 +117,46 @@ def test_near_copies_are_copied_once_and_not_paired(spark, monkeypatch):
     assert jaccard.leaf_links(parts).count() == 0  # all in one ball
     monkeypatch.setattr(jaccard, "LEAF", 8)
     assert run(spark, rows) == brute(rows)
+
+
+def near_copies(seed, n, words, changes):
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(words)]
+    rows = []
+    for i in range(n):
+        copy = list(base)
+        for at in rng.sample(range(words), rng.choice(changes)):
+            copy[at] = f"u{i}x{at}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_large_group_of_near_copies_meets_in_few_pairs(spark, monkeypatch):
+    # One group, no pivots: about half of its pairs link, and there are 300 * 299 / 2 of them.
+    met = []
+    real = jaccard.stage
+    monkeypatch.setattr(jaccard, "stage", lambda df, label: met.append((label, real(df, label))) or met[-1][1])
+    rows = near_copies(7, 300, 150, (1, 2, 3))
+    assert run(spark, rows) == brute(rows)
+    tested = sum(df.count() for label, df in met if label == "leaf-pairs")
+    assert 0 < len([label for label, _ in met if label == "leaf-pairs"]) and tested < 3000
+
+
+def test_links_left_after_the_rounds(spark, monkeypatch):
+    # One test a member draws little: the pairs of two labels must find the rest.
+    monkeypatch.setattr(jaccard, "REPS", 1)
+    monkeypatch.setattr(jaccard, "ROUNDS", 1)
+    rows = near_copies(8, 80, 60, (0, 1, 2, 3)) + [(1000 + i, t) for i, t in corpus(9, 40)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_bitmaps_allow_every_link(spark):
+    rows = near_copies(10, 60, 90, (0, 1, 2, 3, 4))
+    sets = (jaccard.map_arrow(frame(spark, rows).select("doc_id", "text"), jaccard._sets(5, whole=True), jaccard._SETS).drop("sid").withColumnRenamed("doc_id", "sid"))
+    made = jaccard._with_bitmaps(sets)
+    ends = ["n", "s", *jaccard._BITMAP]
+    pairs = jaccard._named(made, "a", ends).join(jaccard._named(made, "b", ends)).withColumn("i", jaccard.F.size(jaccard.F.array_intersect("sa", "sb")))
+    links = pairs.where(jaccard._links(jaccard.F.col("na"), jaccard.F.col("nb")))
+    assert links.count() > 60
+    assert links.where(jaccard._bitmaps_allow()).count() == links.count()
+    assert pairs.where(jaccard._bitmaps_allow()).count() < pairs.count()
